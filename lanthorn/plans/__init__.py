@@ -2,7 +2,7 @@
 
 import importlib
 
-_MODULES = ["catalog"]
+_MODULES = ["catalog", "analytics"]
 
 
 def load_all() -> None:
