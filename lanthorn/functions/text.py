@@ -73,7 +73,7 @@ def contains_any(col: Column | str, keywords: Iterable[str]) -> Column:
     """Lower-cased text contains any keyword as a substring (never null)."""
     low = F.lower(F.coalesce(_c(col), F.lit("")))
     kws = F.array(*[F.lit(k.lower()) for k in keywords])
-    return F.exists(kws, lambda k: F.locate(k, low) > 0)
+    return F.exists(kws, lambda k: low.contains(k))
 
 
 def snippet(col: Column | str, n: int = 200) -> Column:

@@ -2,7 +2,7 @@
 
 import importlib
 
-_MODULES = ["catalog", "analytics"]
+_MODULES = ["catalog", "analytics", "support"]
 
 
 def load_all() -> None:
