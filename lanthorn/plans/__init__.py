@@ -2,7 +2,7 @@
 
 import importlib
 
-_MODULES = ["catalog", "analytics", "support"]
+_MODULES = ["catalog", "analytics", "support", "sources"]
 
 
 def load_all() -> None:
