@@ -117,8 +117,8 @@ def one_hot(train: DataFrame, df: DataFrame, col: str, prefix: str | None = None
     prefix = prefix if prefix is not None else f"{col}_"
     indexer = StringIndexer(inputCol=col, outputCol=f"{col}__idx", handleInvalid="keep",
                             stringOrderType="alphabetAsc").fit(train)
-    enc = OneHotEncoder(inputCols=[f"{col}__idx"], outputCols=[f"{col}__vec"], dropLast=True,
-                        handleInvalid="keep").fit(indexer.transform(train))
+    enc = OneHotEncoder(inputCols=[f"{col}__idx"], outputCols=[f"{col}__vec"], dropLast=True) \
+        .fit(indexer.transform(train))
     out = enc.transform(indexer.transform(df)).withColumn(f"{col}__arr", vector_to_array(f"{col}__vec"))
     for i, lab in enumerate(indexer.labels):
         out = out.withColumn(f"{prefix}{lab}", F.col(f"{col}__arr")[i].cast("int"))

@@ -9,6 +9,14 @@ partition, so broadcasting it has a proven size bound.
 
 The order keys must form a total order (add a unique tie-break column):
 the local numbering then does not depend on how shuffle blocks arrive.
+
+The totals and the numbered rows must see one and the same partition
+assignment.  Two range exchanges in one plan each sample their own bounds,
+so the ranged, sorted rows are written once with ``checkpoint()`` to the
+shared folder named by ``spark.checkpoint.dir``; both branches read those
+files.  This also cuts the lineage, so a lost executor costs a re-read,
+not a re-sort.  Narrow the frame to the columns needed before calling on
+very wide tables.
 """
 
 from __future__ import annotations
@@ -31,25 +39,13 @@ def _cols(order: Sequence[Column | str]) -> list[Column]:
 def _ranged(df: DataFrame, order: Sequence[Column | str], partitions: int | None) -> DataFrame:
     keys = _cols(order)
     ranged = df.repartitionByRange(partitions, *keys) if partitions else df.repartitionByRange(*keys)
-    return ranged.sortWithinPartitions(*keys).withColumn(_PID, F.spark_partition_id())
-
-
-def _whole_row(df: DataFrame) -> Column:
-    """A never-null expression over every column.
-
-    The totals branch references it so that column pruning leaves both
-    branches with the same range exchange, which Spark then reuses: the
-    partition bounds are sampled once and shared by both branches.
-    """
-    return F.struct(*[F.col(f"`{c}`") for c in df.columns]).isNotNull()
+    ranged = ranged.sortWithinPartitions(*keys).checkpoint(eager=True)
+    return ranged.withColumn(_PID, F.spark_partition_id())
 
 
 def _offsets(tagged: DataFrame, measures: dict[str, Column]) -> DataFrame:
     """Per-partition totals turned into exclusive prefix offsets (tiny)."""
-    keep = _whole_row(tagged)
-    totals = tagged.groupBy(_PID).agg(
-        *[F.max(F.when(keep, F.lit(0))).alias("__keep"), *[m.alias(k) for k, m in measures.items()]]
-    ).drop("__keep")
+    totals = tagged.groupBy(_PID).agg(*[m.alias(k) for k, m in measures.items()])
     w = Window.orderBy(_PID).rowsBetween(Window.unboundedPreceding, -1)
     return F.broadcast(totals.select(
         _PID, *[F.coalesce(F.sum(k).over(w), F.lit(0)).alias(f"{k}__off") for k in measures]))

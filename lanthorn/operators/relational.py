@@ -10,8 +10,9 @@ from pyspark.sql import functions as F
 
 from lanthorn.operators.ordinal import global_ordinal
 
-# Order of the catalog join result: category asc, rating desc, book id asc.
-JOIN_ORDER = [F.col("category").asc(), F.col("rating").desc(), F.col("book_id").asc()]
+def join_order() -> list[Column]:
+    """Order of the catalog join result: category asc, rating desc, book id asc."""
+    return [F.col("category").asc(), F.col("rating").desc(), F.col("book_id").asc()]
 
 
 def lookup_join(df: DataFrame, dictionary: DataFrame, key: str, dict_key: str,

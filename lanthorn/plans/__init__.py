@@ -2,7 +2,7 @@
 
 import importlib
 
-_MODULES = ["catalog", "analytics", "support", "sources"]
+_MODULES = ["catalog", "analytics", "support", "sources", "models"]
 
 
 def load_all() -> None:

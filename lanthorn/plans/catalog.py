@@ -392,7 +392,7 @@ SELECT CAST(row_number() OVER ({JOIN_ORDER_SQL}) AS BIGINT) AS position, b.book_
 FROM books b JOIN categories c ON b.category_id = c.category_id"""))
 def q_inner_join_sql(spark, sf_dir):
     register_catalog_views(spark, sf_dir)
-    return rel.with_position(spark.sql(STATEMENTS["05_join"]), rel.JOIN_ORDER, "position")
+    return rel.with_position(spark.sql(STATEMENTS["05_join"]), rel.join_order(), "position")
 
 
 @query("inner_join_df", _with(f"""
@@ -401,7 +401,7 @@ SELECT CAST(row_number() OVER ({JOIN_ORDER_SQL}) AS BIGINT) AS position, b.book_
 FROM books b JOIN categories c ON b.category_id = c.category_id"""))
 def q_inner_join_df(spark, sf_dir):
     _, _, _, categories, books = catalog_tables(spark, sf_dir)
-    return rel.with_position(rel.catalog_join_df(books, categories), rel.JOIN_ORDER, "position")
+    return rel.with_position(rel.catalog_join_df(books, categories), rel.join_order(), "position")
 
 
 @query("multi_key_sort", _with(f"""
@@ -411,7 +411,7 @@ FROM books b JOIN categories c ON b.category_id = c.category_id"""))
 def q_multi_key_sort(spark, sf_dir):
     _, _, _, categories, books = catalog_tables(spark, sf_dir)
     joined = rel.catalog_join_df(books, categories).select("book_id", "category", "rating")
-    return rel.with_position(joined, rel.JOIN_ORDER, "position")
+    return rel.with_position(joined, rel.join_order(), "position")
 
 
 _ZIP_SQL = f"""
@@ -431,7 +431,7 @@ def q_positional_zip(spark, sf_dir):
     cols = ["book_id", "title", "rating", "category"]
     sql_side = spark.sql(STATEMENTS["05_join"]).select(*cols)
     df_side = rel.catalog_join_df(books, categories).select(*cols)
-    return rel.positional_zip(sql_side, df_side, rel.JOIN_ORDER, "sql_", "df_")
+    return rel.positional_zip(sql_side, df_side, rel.join_order(), "sql_", "df_")
 
 
 @query("side_by_side", _with(_ZIP_SQL.replace("\n, j AS", ", j AS")))
@@ -448,7 +448,7 @@ def q_frames_equal(spark, sf_dir):
     register_catalog_views(spark, sf_dir)
     _, _, _, categories, books = catalog_tables(spark, sf_dir)
     return rel.frames_equal(spark.sql(STATEMENTS["05_join"]), rel.catalog_join_df(books, categories),
-                            order=rel.JOIN_ORDER)
+                            order=rel.join_order())
 
 
 @query("constraint_audit", _with("""
