@@ -2,7 +2,7 @@
 
 import importlib
 
-_MODULES = ["catalog", "analytics", "support", "sources", "models"]
+_MODULES = ["catalog", "analytics", "support", "sources", "models", "streams"]
 
 
 def load_all() -> None:
