@@ -232,8 +232,8 @@ def value_counts(df: DataFrame, col: str) -> DataFrame:
 def corr_matrix(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """Pearson r for every ordered pair (i, j), one aggregate pass.
 
-    A constant column makes r undefined: guarded by a variance test so the
-    result is null instead of an ANSI divide-by-zero error.
+    A constant column makes r undefined: the result is null instead of an
+    ANSI divide-by-zero error.
     """
     aggs = []
     for i, a in enumerate(cols):
@@ -243,8 +243,10 @@ def corr_matrix(df: DataFrame, cols: Sequence[str]) -> DataFrame:
             xa, xb = F.col(a).cast("double"), F.col(b).cast("double")
             both = xa.isNotNull() & xb.isNotNull()
             va, vb = F.when(both, xa), F.when(both, xb)
-            safe = (F.stddev_pop(va) > 0) & (F.stddev_pop(vb) > 0)
-            aggs.append(F.when(safe, F.corr(va, vb)).alias(f"{i}_{j}"))
+            # cov / (sd * sd) with try_divide: a constant column gives null,
+            # where corr() would raise under ANSI mode
+            aggs.append(F.try_divide(F.covar_pop(va, vb), F.stddev_pop(va) * F.stddev_pop(vb))
+                        .alias(f"{i}_{j}"))
     wide = df.agg(*aggs)
     row = wide.unpivot([], wide.columns, "pair", "correlation")
     ij = F.split("pair", "_")
