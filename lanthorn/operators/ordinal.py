@@ -17,6 +17,12 @@ shared folder named by ``spark.checkpoint.dir``; both branches read those
 files.  This also cuts the lineage, so a lost executor costs a re-read,
 not a re-sort.  Narrow the frame to the columns needed before calling on
 very wide tables.
+
+Inputs proven small (``limit(n + 1).count() <= n`` with n =
+``lanthorn.ordinal.singleTaskRows``, default one million) skip all that:
+they are gathered into one partition (the upstream stays parallel), sorted
+and numbered in one task.  One partition numbers the same way every time it
+is computed, so no checkpoint is needed there.
 """
 
 from __future__ import annotations
@@ -36,6 +42,20 @@ def _cols(order: Sequence[Column | str]) -> list[Column]:
     return [F.col(c) if isinstance(c, str) else c for c in order]
 
 
+def _single_task_rows(df: DataFrame) -> int:
+    return int(df.sparkSession.conf.get("lanthorn.ordinal.singleTaskRows", "1000000"))
+
+
+def _is_small(df: DataFrame) -> bool:
+    """True when the frame has at most the single-task bound of rows."""
+    bound = _single_task_rows(df)
+    return df.limit(bound + 1).count() <= bound
+
+
+def _one_sorted_partition(df: DataFrame, order: Sequence[Column | str]) -> DataFrame:
+    return df.repartition(1).sortWithinPartitions(*_cols(order))
+
+
 def _ranged(df: DataFrame, order: Sequence[Column | str], partitions: int | None) -> DataFrame:
     keys = _cols(order)
     ranged = df.repartitionByRange(partitions, *keys) if partitions else df.repartitionByRange(*keys)
@@ -54,6 +74,8 @@ def _offsets(tagged: DataFrame, measures: dict[str, Column]) -> DataFrame:
 def global_ordinal(df: DataFrame, order: Sequence[Column | str], name: str = "ordinal",
                    partitions: int | None = None) -> DataFrame:
     """Add ``name`` = 1..n following ``order`` (a total order)."""
+    if partitions is None and _is_small(df):
+        return _one_sorted_partition(df, order).withColumn(name, F.monotonically_increasing_id() + 1)
     tagged = _ranged(df, order, partitions)
     # monotonically_increasing_id keeps the partition index in the upper
     # 31 bits and the position inside the partition in the lower 33 bits.
@@ -73,6 +95,17 @@ def running_sums(df: DataFrame, order: Sequence[Column | str], values: dict[str,
     doubles for fractional columns and in longs for integral ones.  With
     ``ordinal`` set, a 1..n position column is added as well.
     """
+    if partitions is None and _is_small(df):
+        w = Window.orderBy(*_cols(order)).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        out = _one_sorted_partition(df, order)
+        for name, src in values.items():
+            integral = isinstance(df.schema[src].dataType,
+                                  (T.ByteType, T.ShortType, T.IntegerType, T.LongType))
+            out = out.withColumn(name, F.coalesce(F.sum(F.coalesce(F.col(src), F.lit(0))).over(w), F.lit(0))
+                                 .cast("long" if integral else "double"))
+        if ordinal:
+            out = out.withColumn(ordinal, F.row_number().over(Window.orderBy(*_cols(order))).cast("long"))
+        return out
     tagged = _ranged(df, order, partitions)
     kinds = {c: tagged.schema[src].dataType for c, src in values.items()}
     measures = {out: F.sum(F.col(src)) for out, src in values.items()}
