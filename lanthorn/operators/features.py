@@ -12,7 +12,7 @@ from collections.abc import Sequence
 
 from pyspark.ml.feature import OneHotEncoder, StringIndexer
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lanthorn.operators.ordinal import global_ordinal, rank_within
@@ -35,21 +35,17 @@ def stratified_split(df: DataFrame, label: str, key: str, test_fraction: float =
     key.  The per-label rank is computed without a one-task window.
     """
     per = df.groupBy(label).agg(F.count(F.lit(1)).alias("n_label"))
-    # one row per class: a small table, the windows below are over classes
-    w_all = Window.partitionBy()
-    n = F.sum("n_label").over(w_all)
-    test = F.ceil(n * test_fraction)
-    alloc = per.select(label, "n_label", (test * F.col("n_label") / n).alias("exact"),
-                       test.alias("test"))
-    alloc = alloc.withColumn("base", F.floor("exact")).withColumn(
-        "frac", F.col("exact") - F.col("base"))
-    left = F.col("test") - F.sum("base").over(w_all)
-    order = Window.orderBy(F.col("frac").desc(), F.col(label))
-    alloc = alloc.withColumn("extra", (F.row_number().over(order) <= left).cast("long")) \
-        .select(label, (F.col("base") + F.col("extra")).cast("long").alias("n_test"))
+    n = scalars(df.agg(F.count(F.lit(1)).alias("n")))["n"]
+    test = math.ceil(n * test_fraction) if n else 0
+    exact = F.lit(test) * F.col("n_label") / F.lit(max(n, 1))
+    alloc = per.select(label, F.floor(exact).alias("base"), (exact - F.floor(exact)).alias("frac"))
+    left = test - (scalars(alloc.agg(F.sum("base").alias("s")))["s"] or 0)
+    # largest remainders first (ties to the smaller label), ranked without a one-task window
+    alloc = global_ordinal(alloc, [F.col("frac").desc(), F.col(label)], "__k") \
+        .select(label, (F.col("base") + (F.col("__k") <= left).cast("long")).cast("long").alias("n_test"))
     ranked = rank_within(df.withColumn("__h", F.md5(F.col(key).cast("string"))), [label],
                          ["__h", key], "__r")
-    return (ranked.join(F.broadcast(alloc), label)
+    return (ranked.join(alloc, label)
             .withColumn(split_col, F.when(F.col("__r") <= F.col("n_test"), F.lit("test"))
                         .otherwise(F.lit("train")))
             .drop("__h", "__r", "n_test"))
@@ -128,14 +124,13 @@ def one_hot(train: DataFrame, df: DataFrame, col: str, prefix: str | None = None
 def class_weights(df: DataFrame, label: str) -> DataFrame:
     """'balanced' weight n / (k * n_class) per class."""
     per = df.groupBy(label).agg(F.count(F.lit(1)).alias("n_class"))
-    w = Window.partitionBy()  # one row per class
+    st = scalars(per.agg(F.sum("n_class").alias("n"), F.count(F.lit(1)).alias("k")))
     return per.select(label, "n_class",
-                      (F.sum("n_class").over(w).cast("double") /
-                       (F.count(F.lit(1)).over(w) * F.col("n_class"))).alias("weight"))
+                      (F.lit(float(st["n"] or 0)) / (F.lit(st["k"]) * F.col("n_class"))).alias("weight"))
 
 
 def with_class_weight(df: DataFrame, label: str, weight_col: str = "weight") -> DataFrame:
-    return df.join(F.broadcast(class_weights(df, label).select(label, weight_col)), label)
+    return df.join(class_weights(df, label).select(label, weight_col), label)
 
 
 def smote(df: DataFrame, label: str, key: str, vector: str, minority, k: int = 5,

@@ -6,7 +6,8 @@ quantiles avoid ``percentile``'s single-task value map on a global
 aggregate: values are counted per (column, value) with map-side combine,
 running counts along (column, value) come from the distributed
 ``running_sums``, and the ranks a quantile needs are looked up with a
-broadcast of (columns x probabilities) targets - a bounded table.
+join with the (columns x probabilities) targets - a table the size of the
+report.
 """
 
 from __future__ import annotations
@@ -14,7 +15,7 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -139,7 +140,9 @@ def exact_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
     local = cum.select(*keys, "value", (F.col("cum") - F.col("c")).alias("from_"),
                        F.col("cum").alias("to_"))
     at = lambda r: (F.col("start") + F.col(r) >= F.col("from_")) & (F.col("start") + F.col(r) < F.col("to_"))
-    tg = F.broadcast(targets)
+    # one row per (group, column, probability): small for reports, but the
+    # number of groups is the caller's, so the join strategy is left to AQE
+    tg = targets
     lo_v = local.join(tg, keys).filter(at("lo")).select(*keys, "p", F.col("value").alias("v_lo"), "frac")
     hi_v = local.join(tg, keys).filter(at("hi")).select(*keys, "p", F.col("value").alias("v_hi"))
     out = lo_v.join(hi_v, [*keys, "p"])
@@ -223,9 +226,8 @@ def group_rate(df: DataFrame, keys: Sequence[str], target: str, name: str = "rat
 def value_counts(df: DataFrame, col: str) -> DataFrame:
     """Count and % per value, sorted by value (total via a window over classes)."""
     counts = df.groupBy(col).agg(F.count(F.lit(1)).alias("count"))
-    # one row per class: the window over all classes is a small table
-    total = F.sum("count").over(Window.partitionBy())
-    return counts.withColumn("percentage", F.col("count").cast("double") * 100.0 / total) \
+    total = scalars(df.agg(F.count(F.lit(1)).alias("n")))["n"]
+    return counts.withColumn("percentage", F.col("count").cast("double") * 100.0 / F.lit(total)) \
         .orderBy(col)
 
 
@@ -316,8 +318,7 @@ def box_stats(df: DataFrame, value: str, group: str, k: float = 1.5) -> DataFram
     fences = q.withColumn("lower_fence", F.col("q1") - k * (F.col("q3") - F.col("q1"))) \
         .withColumn("upper_fence", F.col("q3") + k * (F.col("q3") - F.col("q1")))
     x = F.col(value).cast("double")
-    joined = df.select(group, x.alias("__x")).where(F.col("__x").isNotNull()) \
-        .join(F.broadcast(fences), group)
+    joined = df.select(group, x.alias("__x")).where(F.col("__x").isNotNull()).join(fences, group)
     inside = (F.col("__x") >= F.col("lower_fence")) & (F.col("__x") <= F.col("upper_fence"))
     agg = joined.groupBy(group).agg(
         F.min(F.when(inside, F.col("__x"))).alias("whisker_low"),
