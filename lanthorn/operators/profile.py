@@ -120,32 +120,31 @@ def exact_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
                     group: str | None = None) -> DataFrame:
     """Linear-interpolation quantiles (like ``percentile``/``quantile_cont``).
 
-    Output: (group?, column, p, quantile).  Nulls are ignored.
+    Output: (group?, column, p, quantile).  Nulls are ignored.  The counts
+    per (key, value) are written once (checkpoint), so the input plan runs
+    once however many times the steps below read them.
     """
     ids = [group] if group else []
     long = to_long(df, cols, ids).filter(F.col("value").isNotNull())
     keys = [*ids, "column"]
-    counts = long.groupBy(*keys, "value").agg(F.count(F.lit(1)).alias("c"))
+    counts = long.groupBy(*keys, "value").agg(F.count(F.lit(1)).alias("c")).checkpoint(eager=True)
     cum = running_sums(counts, [*keys, "value"], {"cum": "c"})
-    # start of each key's run in the global order, and its size
-    bounds = counts.groupBy(*keys).agg(F.sum("c").alias("n"))
-    starts = cum.groupBy(*keys).agg(F.min(F.col("cum") - F.col("c")).alias("start"))
-    h = (F.col("n") - 1) * F.col("p")
-    targets = (bounds.join(starts, keys)
-               .withColumn("p", F.explode(F.array(*[F.lit(float(p)) for p in probs])))
-               .select(*keys, "p", F.floor(h).cast("long").alias("lo"),
-                       F.ceil(h).cast("long").alias("hi"), (h - F.floor(h)).alias("frac"),
-                       "start"))
-    # value at 0-based rank r inside its key: start + r in (cum - c, cum]
-    local = cum.select(*keys, "value", (F.col("cum") - F.col("c")).alias("from_"),
-                       F.col("cum").alias("to_"))
-    at = lambda r: (F.col("start") + F.col(r) >= F.col("from_")) & (F.col("start") + F.col(r) < F.col("to_"))
-    # one row per (group, column, probability): small for reports, but the
-    # number of groups is the caller's, so the join strategy is left to AQE
-    tg = targets
-    lo_v = local.join(tg, keys).filter(at("lo")).select(*keys, "p", F.col("value").alias("v_lo"), "frac")
-    hi_v = local.join(tg, keys).filter(at("hi")).select(*keys, "p", F.col("value").alias("v_hi"))
-    out = lo_v.join(hi_v, [*keys, "p"])
+    # rows of a key occupy global ranks (start, start + n]; the value at
+    # 0-based rank r of a key covers (cum - c, cum] around start + r + 1
+    per_key = cum.groupBy(*keys).agg(F.min(F.col("cum") - F.col("c")).alias("start"),
+                                     F.max("cum").alias("end"))
+    h = (F.col("end") - F.col("start") - 1) * F.col("p")
+    targets = (per_key.withColumn("p", F.explode(F.array(*[F.lit(float(p)) for p in probs])))
+               .select(*keys, "p", (F.col("start") + F.floor(h)).cast("long").alias("lo"),
+                       (F.col("start") + F.ceil(h)).cast("long").alias("hi"),
+                       (h - F.floor(h)).alias("frac")))
+    # one row per (group, column, probability): the size of the report; the
+    # join strategy is left to AQE
+    covers = lambda r: (F.col(r) >= F.col("cum") - F.col("c")) & (F.col(r) < F.col("cum"))
+    hits = cum.select(*keys, "value", "c", "cum").join(targets, keys).filter(covers("lo") | covers("hi"))
+    out = hits.groupBy(*keys, "p").agg(F.max(F.when(covers("lo"), F.col("value"))).alias("v_lo"),
+                                       F.max(F.when(covers("hi"), F.col("value"))).alias("v_hi"),
+                                       F.first("frac").alias("frac"))
     return out.select(*keys, "p", (F.col("v_lo") + (F.col("v_hi") - F.col("v_lo")) * F.col("frac"))
                       .alias("quantile"))
 

@@ -30,7 +30,7 @@ def passengers(spark: SparkSession, sf_dir: str) -> DataFrame:
     li = read_table(spark, sf_dir, "lineitem")
     items = li.groupBy("l_orderkey").agg(
         F.count(F.lit(1)).alias("n_items"),
-        F.count_if(F.col("l_returnflag") == "R").alias("n_returned"))
+        F.count(F.when(F.col("l_returnflag") == "R", F.lit(1))).alias("n_returned"))
     k = F.col("o_orderkey")
     j = o.join(c, o.o_custkey == c.c_custkey).join(items, k == F.col("l_orderkey"), "left")
     return j.select(
