@@ -338,9 +338,10 @@ def q_embed_text(spark, sf_dir):
 def q_answer_batch(spark, sf_dir):
     docs = read_table(spark, sf_dir, "documents")
     model = vx.fit_text_embedder(docs, "text")
+    # the index is a stored table: embedded once, written to the checkpoint folder
     index = rt.chunk_index(vx.embed_text(model, docs, "text").select("doc_id", "embedding"),
                            docs.select("doc_id", "text"),
-                           "doc_id", "embedding", "doc_id", "text")
+                           "doc_id", "embedding", "doc_id", "text").checkpoint(eager=True)
     queries = vx.embed_text(model, user_turns(spark, sf_dir), "text", "qvec")
     out = rt.answer_batch(queries, index, "query_id", "text", "qvec", DRV_KEYWORDS)
     return out.select("query_id", "intent", "answer", F.array_join("sources", ",").alias("sources"),
