@@ -34,8 +34,9 @@ def _strip(x: str) -> str:
 SELECT page_id, 0 AS position,
   {_dec(_strip("regexp_extract(html, '(?s)<title>([^<]*)</title>', 1)"))} AS title,
   {_dec(_strip("regexp_extract(html, '(?s)<h1>([^<]*)</h1>', 1)"))} AS heading,
-  len(regexp_extract_all(regexp_extract(html, '(?s)<article>(.*)</article>', 1), '<p>')) AS paragraphs,
-  len(regexp_extract_all(regexp_extract(html, '(?s)<nav>(.*?)</nav>', 1), '<a ')) AS nav_links,
+  CAST(len(regexp_extract_all(regexp_extract(html, '(?s)<article>(.*)</article>', 1), '<p>')) AS INTEGER)
+    AS paragraphs,
+  CAST(len(regexp_extract_all(regexp_extract(html, '(?s)<nav>(.*?)</nav>', 1), '<a ')) AS INTEGER) AS nav_links,
   {_dec(_strip("regexp_extract(html, '(?s)<div class=\"ad\">([^<]*)</div>', 1)"))} AS ad
 FROM pages""")
 def q_html_extract_records(spark, sf_dir):

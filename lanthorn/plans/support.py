@@ -139,7 +139,7 @@ def q_answer_template(spark, sf_dir):
 # ------------------------------------------------------------------ vectors
 @query("vector_index", """
 SELECT e.vec_id AS key, printf('doc_%02d_chunk_01', e.vec_id) AS id, printf('doc_%02d', e.vec_id) AS document_id,
-  length(d.text) AS text_chars, len(e.embedding) AS dim
+  CAST(length(d.text) AS INTEGER) AS text_chars, CAST(len(e.embedding) AS INTEGER) AS dim
 FROM embeddings e LEFT JOIN documents d ON d.doc_id = e.vec_id""")
 def q_vector_index(spark, sf_dir):
     idx = index_table(spark, sf_dir)
@@ -170,7 +170,7 @@ def q_knn_top3(spark, sf_dir):
 @query("retrieve_and_answer", "WITH " + NN_SQL + f"""
 SELECT query_id, '{rt.ANSWER_PREFIX}' || regexp_replace(replace(substring(coalesce(
     max(text) FILTER (WHERE rank = 1), ''), 1, 200), chr(10), ' '), '^\\s+|\\s+$', '', 'g') AS answer,
-  string_agg(id, ',' ORDER BY rank) AS sources, 1.0 AS confidence FROM chunks GROUP BY query_id""")
+  string_agg(id, ',' ORDER BY rank) AS sources, CAST(1.0 AS DOUBLE) AS confidence FROM chunks GROUP BY query_id""")
 def q_retrieve_and_answer(spark, sf_dir):
     a = rt.answer_from_chunks(nearest(spark, sf_dir))
     return a.select("query_id", "answer", F.array_join("sources", ",").alias("sources"), "confidence")
@@ -186,7 +186,7 @@ def q_extract_list(spark, sf_dir):
 @query("assemble_context", "WITH " + NN_SQL + """,
 ctx AS (SELECT query_id, string_agg('Source: ' || id || chr(10) || coalesce(text, ''), chr(10) || chr(10)
           ORDER BY rank) AS context FROM chunks GROUP BY query_id)
-SELECT c.query_id, md5(c.context) AS context_md5, length(c.context) AS context_chars,
+SELECT c.query_id, md5(c.context) AS context_md5, CAST(length(c.context) AS INTEGER) AS context_chars,
   md5('CONTEXT:' || chr(10) || c.context || chr(10) || chr(10) || 'QUESTION:' || chr(10)
       || coalesce(d.text, '')) AS prompt_md5
 FROM ctx c LEFT JOIN documents d ON d.doc_id = c.query_id""")
@@ -283,7 +283,8 @@ def q_route(spark, sf_dir):
 
 
 @query("direct_answer", f"""
-SELECT conv_id * 1000 + turn AS query_id, '{rt.DIRECT_ANSWER}' AS answer, 0 AS n_sources, 1.0 AS confidence
+SELECT conv_id * 1000 + turn AS query_id, '{rt.DIRECT_ANSWER}' AS answer, 0 AS n_sources,
+  CAST(1.0 AS DOUBLE) AS confidence
 FROM conversations WHERE role = 'user' AND NOT {_kw_sql('text')}""")
 def q_direct_answer(spark, sf_dir):
     c = rt.classify_intent(user_turns(spark, sf_dir), "text", DRV_KEYWORDS)
