@@ -197,33 +197,37 @@ def extract_links(pages: DataFrame, key: str, url: str, html: str, selector: str
     return links.withColumn("resolved", resolve_url(F.col(url), F.col("href")))
 
 
-def follow_links(edges: DataFrame, starts: DataFrame, src: str, dst: str, max_hops: int | None = None,
-                 checkpoint_every: int = 4) -> DataFrame:
+def follow_links(edges: DataFrame, starts: DataFrame, src: str, dst: str, max_hops: int | None = None) -> DataFrame:
     """Pages reachable from each start by following ``src -> dst`` edges.
 
-    Output (start, node, hop).  A visited set (anti join) ends cycles; each
-    hop is one join of the frontier with the edges, and lineage is cut with
-    ``checkpoint`` (the shared checkpoint folder) every few hops.
+    Output (start, node, hop).  One join of the frontier with the edges per
+    hop; a visited set (anti join) ends cycles.  Every hop's frontier is
+    written with ``checkpoint()`` to the shared folder, so the emptiness
+    test and the next hop read that instead of recomputing earlier hops,
+    and a lost executor costs one hop, not the whole chain.
     """
     e = edges.select(F.col(src).alias("__s"), F.col(dst).alias("__d")).where(F.col("__d").isNotNull())
-    frontier = starts.select(F.col(src).alias("start"), F.col(src).alias("node"), F.lit(0).alias("hop"))
-    reached = frontier
+    frontier = starts.select(F.col(src).alias("start"), F.col(src).alias("node"),
+                             F.lit(0).alias("hop")).checkpoint(eager=True)
+    parts = [frontier]
+    seen = frontier.select("start", "node")
     hop = 0
     while max_hops is None or hop < max_hops:
         hop += 1
         nxt = (frontier.join(e, F.col("node") == F.col("__s"))
                .select("start", F.col("__d").alias("node"), F.lit(hop).alias("hop"))
-               .join(reached.select("start", "node"), ["start", "node"], "left_anti")
-               .dropDuplicates(["start", "node"]))
-        if hop % checkpoint_every == 0:
-            nxt = nxt.checkpoint(eager=True)
-        if nxt.limit(1).count() == 0:
+               .join(seen, ["start", "node"], "left_anti")
+               .dropDuplicates(["start", "node"])
+               .checkpoint(eager=True))
+        if nxt.isEmpty():
             break
-        reached = reached.unionByName(nxt)
-        if hop % checkpoint_every == 0:
-            reached = reached.checkpoint(eager=True)
+        parts.append(nxt)
+        seen = seen.unionByName(nxt.select("start", "node"))
         frontier = nxt
-    return reached
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
 
 
 def required_nonempty(df: DataFrame, what: str) -> DataFrame:
