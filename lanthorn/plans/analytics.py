@@ -692,3 +692,15 @@ def q_union_reports(spark, sf_dir):
         F.lit("class_sex_mean").alias("model"), F.lit("regression").alias("task"),
         r6(F.col("mae")).alias("mae"))
     return rel.append_batches([cls, reg]).select("model", "task", "accuracy", "mae")
+
+
+@query("residual_spread", _with(_REG_SQL + """
+, st AS (SELECT min(predicted_fare) AS lo, max(predicted_fare) AS hi FROM reg),
+b AS (SELECT least(CAST(floor((predicted_fare - lo) / ((hi - lo) / 10)) AS INTEGER), 9) AS bin,
+             fare - predicted_fare AS r FROM reg, st)
+SELECT bin, count(*) AS n, round(avg(r), 6) + 0.0 AS mean_residual,
+  round(stddev_samp(r), 6) + 0.0 AS std_residual FROM b GROUP BY bin"""))
+def q_residual_spread(spark, sf_dir):
+    s = ev.residual_spread(_regression_frame(spark, sf_dir), "fare", "predicted_fare", 10)
+    return s.select("bin", "n", r6(F.col("mean_residual")).alias("mean_residual"),
+                    r6(F.col("std_residual")).alias("std_residual"))
