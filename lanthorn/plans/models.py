@@ -56,7 +56,15 @@ def _report(spark, sf_dir, names=BASE_MODELS) -> DataFrame:
     return rel.append_batches(rows)
 
 
-@query("column_transformer")
+@query("column_transformer", an._with("""
+, names AS (
+  SELECT 0 AS grp, 0 AS k, 'pclass__z' AS feature UNION ALL SELECT 0, 1, 'age__z'
+  UNION ALL SELECT 0, 2, 'sibsp__z' UNION ALL SELECT 0, 3, 'parch__z' UNION ALL SELECT 0, 4, 'fare__z'
+  UNION ALL SELECT DISTINCT 1, 0, 'sex__v_' || sex FROM split WHERE split = 'train' AND sex IS NOT NULL
+  UNION ALL SELECT DISTINCT 2, 0, 'embarked__v_' || embarked FROM split
+    WHERE split = 'train' AND embarked IS NOT NULL)
+SELECT CAST(row_number() OVER (ORDER BY grp, k, feature) - 1 AS INTEGER) AS position, feature FROM names"""
+                                         .replace("\n, names AS", ", names AS")))
 def q_column_transformer(spark, sf_dir):
     pr = Prepared(spark, sf_dir)
     return spark.createDataFrame(list(enumerate(pr.names)), "position int, feature string")
