@@ -2,7 +2,7 @@
 
 import importlib
 
-_MODULES = ["catalog", "analytics", "support", "sources", "models", "streams"]
+_MODULES = ["catalog", "analytics", "support", "sources", "models", "streams", "gates"]
 
 
 def load_all() -> None:
