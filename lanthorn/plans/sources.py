@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from lanthorn.operators import quality as qa
+from lanthorn.plans import analytics as an
 from lanthorn.plans import catalog as cat
 from lanthorn.plans.registry import query
 from lanthorn.session import read_table, scratch_path
@@ -97,6 +98,15 @@ def q_csv_round_trip(spark, sf_dir):
     return fs.read_csv(spark, path, cust.schema)
 
 
+@query("csv_read", an._with("SELECT * FROM passengers"))
+def q_csv_read(spark, sf_dir):
+    """The passenger table through CSV: its planted nulls are written as empty
+    cells and read back as missing values (strings, doubles and booleans)."""
+    p = an.passengers(spark, sf_dir)
+    path = fs.write_csv(p, scratch_path(spark, "csv-passengers"))
+    return fs.read_csv(spark, path, p.schema)
+
+
 @query("normalise_load", "WITH " + cat.RAW_SQL.strip() + """
 SELECT b.book_id, b.title, b.price_gbp, b.price_inr, b.rating, b.in_stock, c.category_name AS category
 FROM books b JOIN categories c USING (category_id)""")
