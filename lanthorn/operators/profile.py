@@ -192,12 +192,15 @@ def iqr_outliers(df: DataFrame, cols: Sequence[str], k: float = 1.5) -> DataFram
         .withColumn("lower_bound", F.col("q1") - k * F.col("iqr")) \
         .withColumn("upper_bound", F.col("q3") + k * F.col("iqr"))
     long = to_long(df, cols)
-    # fences: one row per column, a bounded broadcast
-    flagged = long.join(F.broadcast(fences.select("column", "lower_bound", "upper_bound")), "column")
+    # fences: one row per column, a bounded broadcast.  The fence columns
+    # ride through the aggregate (constant per column), so the quantile
+    # plan is read once, not once more for a join back.
+    flagged = long.join(F.broadcast(fences), "column")
     outside = (F.col("value") < F.col("lower_bound")) | (F.col("value") > F.col("upper_bound"))
-    counts = flagged.groupBy("column").agg(F.count_if(F.coalesce(outside, F.lit(False)))
-                                           .alias("outlier_count"))
-    return fences.join(counts, "column")
+    fence_cols = ["q1", "q3", "iqr", "lower_bound", "upper_bound"]
+    return flagged.groupBy("column").agg(
+        *[F.max(c).alias(c) for c in fence_cols],
+        F.count_if(F.coalesce(outside, F.lit(False))).alias("outlier_count"))
 
 
 def skew_by_order(df: DataFrame, col: str) -> DataFrame:
@@ -319,11 +322,14 @@ def box_stats(df: DataFrame, value: str, group: str, k: float = 1.5) -> DataFram
     x = F.col(value).cast("double")
     joined = df.select(group, x.alias("__x")).where(F.col("__x").isNotNull()).join(fences, group)
     inside = (F.col("__x") >= F.col("lower_fence")) & (F.col("__x") <= F.col("upper_fence"))
-    agg = joined.groupBy(group).agg(
+    # fence columns are constant per group: carried through the aggregate
+    # instead of joining the quantile plan a second time
+    fence_cols = ["q1", "median", "q3", "lower_fence", "upper_fence"]
+    return joined.groupBy(group).agg(
+        *[F.max(c).alias(c) for c in fence_cols],
         F.min(F.when(inside, F.col("__x"))).alias("whisker_low"),
         F.max(F.when(inside, F.col("__x"))).alias("whisker_high"),
         F.count_if(~inside).alias("outliers"))
-    return fences.join(agg, group)
 
 
 def mean_std(df: DataFrame, cols: Sequence[str]) -> DataFrame:
