@@ -129,10 +129,12 @@ def exact_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
     keys = [*ids, "column"]
     counts = long.groupBy(*keys, "value").agg(F.count(F.lit(1)).alias("c")).checkpoint(eager=True)
     cum = running_sums(counts, [*keys, "value"], {"cum": "c"})
-    # rows of a key occupy global ranks (start, start + n]; the value at
-    # 0-based rank r of a key covers (cum - c, cum] around start + r + 1
-    per_key = cum.groupBy(*keys).agg(F.min(F.col("cum") - F.col("c")).alias("start"),
-                                     F.max("cum").alias("end"))
+    # rows of a key occupy global ranks (start, end]; the value at 0-based
+    # rank r of a key covers (cum - c, cum] around start + r + 1.  The
+    # bounds come from the per-key totals (one row per key, summed along
+    # the same key order), so the pass over ``cum`` runs once, in the join.
+    per_key = running_sums(counts.groupBy(*keys).agg(F.sum("c").alias("n")), keys, {"end": "n"}) \
+        .select(*keys, (F.col("end") - F.col("n")).alias("start"), "end")
     h = (F.col("end") - F.col("start") - 1) * F.col("p")
     targets = (per_key.withColumn("p", F.explode(F.array(*[F.lit(float(p)) for p in probs])))
                .select(*keys, "p", (F.col("start") + F.floor(h)).cast("long").alias("lo"),
