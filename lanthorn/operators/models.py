@@ -184,7 +184,9 @@ def grid_search(train: DataFrame, label: str, prep: FeaturePrep, p: int,
             .build())
     evaluator = MulticlassClassificationEvaluator(labelCol=label, metricName="fMeasureByLabel",
                                                   metricLabel=1.0)
-    data = stratified_folds(train, label, key, folds)
+    # written once to the shared checkpoint folder: every fold of every
+    # setting reads these files instead of recomputing the input plan
+    data = stratified_folds(train, label, key, folds).checkpoint(eager=True)
     cv = CrossValidator(estimator=Pipeline(stages=[prep, rf]), estimatorParamMaps=grid, evaluator=evaluator,
                         numFolds=folds, foldCol="fold", parallelism=parallelism, seed=42)
     model = cv.fit(data)

@@ -30,7 +30,9 @@ class Prepared:
     """Split, fitted feature preparation and cached train/test features."""
 
     def __init__(self, spark, sf_dir):
-        s = an.split(spark, sf_dir)
+        # the split is written once (shared checkpoint folder); train and
+        # test are filters over those files, not two runs of the joins
+        s = an.split(spark, sf_dir).checkpoint(eager=True)
         self.train_raw = s.filter(F.col("split") == "train").drop("split")
         self.test_raw = s.filter(F.col("split") == "test").drop("split")
         self.prep = md.FeaturePrep(numeric=NUMERIC, categorical=CATEGORICAL)
