@@ -88,3 +88,19 @@ def max_broadcast_bytes(spark: SparkSession) -> int:
             break
     value = int(float(raw) * mult)
     return value if value > 0 else 10 << 20
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Spread a frame read as few partitions over the cluster's task slots.
+
+    A file stored as one row group is scanned by one task; CPU-heavy
+    per-row work after it (tokenising, HTML parsing) would then run on one
+    core.  When the frame has fewer partitions than the default
+    parallelism it is repartitioned round robin (deterministic on retry:
+    Spark sorts before a round-robin exchange).  A frame already split
+    across the cluster, as any large table is, is returned unchanged.
+    """
+    slots = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < slots:
+        return df.repartition(slots)
+    return df

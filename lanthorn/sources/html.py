@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lanthorn.functions.text import resolve_url
+from lanthorn.session import spread
 
 _VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "param",
          "source", "track", "wbr"}
@@ -157,7 +158,7 @@ def extract_records(pages: DataFrame, key: str, html: str, record_selector: str,
     A missing field gives null and never drops the record.  ``keep``
     columns of the page (e.g. its category) are carried to each record.
     """
-    src = pages.select(key, *keep, html)
+    src = spread(pages.select(key, *keep, html))
     schema = T.StructType(
         [src.schema[key], *[src.schema[k] for k in keep], T.StructField("position", T.IntegerType())]
         + [T.StructField(f.name, T.IntegerType() if f.how == "count" else T.StringType()) for f in fields])
@@ -179,7 +180,7 @@ def extract_records(pages: DataFrame, key: str, html: str, record_selector: str,
 
 def extract_links(pages: DataFrame, key: str, url: str, html: str, selector: str = "a") -> DataFrame:
     """Every ``href`` under ``selector``: (page, position, text, href, resolved url)."""
-    src = pages.select(key, url, html)
+    src = spread(pages.select(key, url, html))
     schema = T.StructType([src.schema[key], src.schema[url], T.StructField("position", T.IntegerType()),
                            T.StructField("text", T.StringType()), T.StructField("href", T.StringType())])
 
