@@ -254,14 +254,16 @@ def corr_matrix(df: DataFrame, cols: Sequence[str]) -> DataFrame:
             aggs.append(F.try_divide(F.covar_pop(va, vb), F.stddev_pop(va) * F.stddev_pop(vb))
                         .alias(f"{i}_{j}"))
     wide = df.agg(*aggs)
-    row = wide.unpivot([], wide.columns, "pair", "correlation")
+    # both orders of a pair read the same aggregate column: one pass, no union
+    n = len(cols)
+    both_orders = wide.select(*[F.col(f"{min(i, j)}_{max(i, j)}").alias(f"{i}_{j}")
+                                for i in range(n) for j in range(n)])
+    row = both_orders.unpivot([], both_orders.columns, "pair", "correlation")
     ij = F.split("pair", "_")
     names = F.array(*[F.lit(c) for c in cols])
     pairs = row.select(ij[0].cast("int").alias("i"), ij[1].cast("int").alias("j"), "correlation")
-    mirrored = pairs.unionByName(pairs.filter("i <> j").select(
-        F.col("j").alias("i"), F.col("i").alias("j"), "correlation"))
-    return mirrored.select("i", "j", F.element_at(names, F.col("i") + 1).alias("feature_1"),
-                           F.element_at(names, F.col("j") + 1).alias("feature_2"), "correlation")
+    return pairs.select("i", "j", F.element_at(names, F.col("i") + 1).alias("feature_1"),
+                        F.element_at(names, F.col("j") + 1).alias("feature_2"), "correlation")
 
 
 def top_correlations(df: DataFrame, cols: Sequence[str], k: int = 2) -> DataFrame:
