@@ -58,3 +58,27 @@ def test_filters_and_columns_reach_the_scan(spark):
     plan = li._jdf.queryExecution().executedPlan().toString()
     assert "PushedFilters: [IsNotNull(l_quantity), GreaterThan(l_quantity,10.0)]" in plan
     assert "ReadSchema: struct<l_orderkey:bigint,l_quantity:double>" in plan
+
+
+def test_spread_only_touches_narrow_frames(spark):
+    from lanthorn.session import spread
+
+    slots = spark.sparkContext.defaultParallelism
+    narrow = spark.range(1000).coalesce(1)
+    spread_out = spread(narrow)
+    assert spread_out.rdd.getNumPartitions() == slots
+    assert sorted(r.id for r in spread_out.collect()) == list(range(1000))
+    wide = spark.range(0, 1000, 1, slots + 2)
+    assert spread(wide) is wide
+
+
+def test_corr_matrix_aggregates_once(spark):
+    from lanthorn.operators import profile as pr
+
+    li = read_table(spark, SF_SMALL, "lineitem")
+    m = pr.corr_matrix(li, ["l_quantity", "l_discount", "l_tax"])
+    plan = m._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Aggregate [") == 1 and "Union" not in plan
+    rows = {(r["feature_1"], r["feature_2"]): r["correlation"] for r in m.collect()}
+    assert len(rows) == 9 and rows[("l_tax", "l_quantity")] == rows[("l_quantity", "l_tax")]
+    assert abs(rows[("l_discount", "l_discount")] - 1.0) < 1e-9
