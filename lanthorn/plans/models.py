@@ -212,3 +212,29 @@ def q_select_and_persist(spark, sf_dir):
     eq = rel.frames_equal(a, b)
     return eq.select(F.lit(best).alias("best_model"), F.lit(path).alias("saved_to"),
                      F.col("equal").alias("predictions_match"), "left_rows")
+
+
+@query("expect_same_predictions", an._with("""
+SELECT 'reloaded pipeline predicts as the original' AS rule, CAST(0 AS BIGINT) AS violations"""))
+def q_expect_same_predictions(spark, sf_dir):
+    """Feature stage + decision tree saved and reloaded; the violations are
+    test rows whose prediction or probability differ (keyed join, so rows
+    are compared one to one, on the whole test set)."""
+    from pyspark.ml import PipelineModel
+
+    pr = Prepared(spark, sf_dir)
+    whole = PipelineModel(stages=[pr.prep_model, pr.estimator("Decision Tree").fit(pr.train)])
+    path = scratch_path(spark, "reload-check")
+    whole.write().overwrite().save(path)
+    reloaded = PipelineModel.load(path)
+
+    def scored(model, tag):
+        out = model.transform(pr.test_raw)
+        return out.select("passenger_id", F.col("prediction").alias(f"pred_{tag}"),
+                          vector_to_array("probability").alias(f"prob_{tag}"))
+
+    pairs = scored(whole, "a").join(scored(reloaded, "b"), "passenger_id", "full_outer")
+    differ = ~F.coalesce((F.col("pred_a") == F.col("pred_b")) & (F.col("prob_a") == F.col("prob_b")),
+                         F.lit(False))
+    return pairs.agg(F.count_if(differ).alias("violations")).select(
+        F.lit("reloaded pipeline predicts as the original").alias("rule"), F.col("violations").cast("long"))
