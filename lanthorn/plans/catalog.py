@@ -426,8 +426,7 @@ FROM j l FULL OUTER JOIN j r ON l.position = r.position"""
 
 @query("positional_zip", _with(_ZIP_SQL.replace("\n, j AS", ", j AS")))
 def q_positional_zip(spark, sf_dir):
-    register_catalog_views(spark, sf_dir)
-    _, _, _, categories, books = catalog_tables(spark, sf_dir)
+    books, categories = register_catalog_views(spark, sf_dir)
     cols = ["book_id", "title", "rating", "category"]
     sql_side = spark.sql(STATEMENTS["05_join"]).select(*cols)
     df_side = rel.catalog_join_df(books, categories).select(*cols)
@@ -445,8 +444,7 @@ def q_side_by_side(spark, sf_dir):
 SELECT true AS equal, (SELECT count(*) FROM j) AS left_rows, (SELECT count(*) FROM j) AS right_rows,
        CAST(0 AS BIGINT) AS left_only, CAST(0 AS BIGINT) AS right_only""".replace("\n, j AS", ", j AS")))
 def q_frames_equal(spark, sf_dir):
-    register_catalog_views(spark, sf_dir)
-    _, _, _, categories, books = catalog_tables(spark, sf_dir)
+    books, categories = register_catalog_views(spark, sf_dir)
     return rel.frames_equal(spark.sql(STATEMENTS["05_join"]), rel.catalog_join_df(books, categories),
                             order=rel.join_order())
 
