@@ -8,7 +8,7 @@ from lanthorn.operators import quality as qa
 from lanthorn.plans import analytics as an
 from lanthorn.plans import catalog as cat
 from lanthorn.plans.registry import query
-from lanthorn.session import read_table, scratch_path
+from lanthorn.session import read_table, scratch_path, spread
 from lanthorn.sources import files as fs
 from lanthorn.sources import html as hx
 
@@ -41,7 +41,7 @@ SELECT page_id, 0 AS position,
   {_dec(_strip("regexp_extract(html, '(?s)<div class=\"ad\">([^<]*)</div>', 1)"))} AS ad
 FROM pages""")
 def q_html_extract_records(spark, sf_dir):
-    pages = read_table(spark, sf_dir, "pages")
+    pages = spread(read_table(spark, sf_dir, "pages"))
     return hx.extract_records(pages, "page_id", "html", "", PAGE_FIELDS)
 
 
@@ -59,7 +59,7 @@ SELECT page_id, url, CAST(position AS INTEGER) AS position,
     AS resolved
 FROM tags""")
 def q_html_extract_links(spark, sf_dir):
-    pages = read_table(spark, sf_dir, "pages")
+    pages = spread(read_table(spark, sf_dir, "pages"))
     links = hx.extract_links(pages, "page_id", "url", "html", "a")
     return hx.required_nonempty(links, "links")
 
@@ -69,7 +69,7 @@ SELECT page_id, CAST(position AS INTEGER) AS position,
   regexp_extract(url, '^([A-Za-z][A-Za-z0-9+.-]*://[^/?#]*)', 1) || regexp_extract(tag, 'href="([^"]*)"', 1)
     AS resolved FROM tags""")
 def q_resolve_url(spark, sf_dir):
-    pages = read_table(spark, sf_dir, "pages")
+    pages = spread(read_table(spark, sf_dir, "pages"))
     return hx.extract_links(pages, "page_id", "url", "html", "a").select("page_id", "position", "resolved")
 
 
@@ -142,7 +142,7 @@ SELECT 'links not empty' AS rule, CAST(CASE WHEN (SELECT count(*) FROM pages
 UNION ALL SELECT 'at least 60 clean rows', CAST(greatest(60 - count(*), 0) AS BIGINT) FROM clean
 UNION ALL SELECT 'at least 3 categories', CAST(greatest(3 - count(DISTINCT category), 0) AS BIGINT) FROM clean""")
 def q_quality_gates(spark, sf_dir):
-    links = hx.extract_links(read_table(spark, sf_dir, "pages"), "page_id", "url", "html", "a")
+    links = hx.extract_links(spread(read_table(spark, sf_dir, "pages")), "page_id", "url", "html", "a")
     clean = cat.catalog_tables(spark, sf_dir)[1]
     return qa.audit([qa.expect_nonempty(links, "links not empty"),
                      qa.expect_min_rows(clean, 60, "at least 60 clean rows"),

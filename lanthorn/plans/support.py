@@ -19,7 +19,7 @@ from lanthorn.operators import features as fe
 from lanthorn.operators import retrieval as rt
 from lanthorn.operators import vectors as vx
 from lanthorn.plans.registry import query
-from lanthorn.session import read_table
+from lanthorn.session import read_table, spread
 
 # Intent keywords for the driver's invented prose (the reference's own
 # list, ``retrieval.POLICY_KEYWORDS``, never occurs in it).
@@ -329,7 +329,7 @@ def q_first_valid_attempt(spark, sf_dir):
 # ------------------------------------------------------------------ text embedding (rows-only)
 @query("embed_text")
 def q_embed_text(spark, sf_dir):
-    docs = read_table(spark, sf_dir, "documents")
+    docs = spread(read_table(spark, sf_dir, "documents"))  # one row group: spread before tokenising
     model = vx.fit_text_embedder(docs, "text")
     emb = vx.embed_text(model, docs, "text")
     return emb.select("doc_id", F.size("embedding").alias("dim"), r6(vx.norm("embedding")).alias("norm"))
@@ -337,7 +337,7 @@ def q_embed_text(spark, sf_dir):
 
 @query("answer_batch")
 def q_answer_batch(spark, sf_dir):
-    docs = read_table(spark, sf_dir, "documents")
+    docs = spread(read_table(spark, sf_dir, "documents"))  # one row group: spread before tokenising
     model = vx.fit_text_embedder(docs, "text")
     # the index is a stored table: embedded once, written to the checkpoint folder
     index = rt.chunk_index(vx.embed_text(model, docs, "text").select("doc_id", "embedding"),

@@ -99,6 +99,10 @@ def spread(df: DataFrame) -> DataFrame:
     parallelism it is repartitioned round robin (deterministic on retry:
     Spark sorts before a round-robin exchange).  A frame already split
     across the cluster, as any large table is, is returned unchanged.
+
+    Call it on a frame straight off a scan (filters and projections are
+    fine): counting the partitions of a plan that holds a shuffle would
+    run that shuffle's stages first.
     """
     slots = df.sparkSession.sparkContext.defaultParallelism
     if df.rdd.getNumPartitions() < slots:
