@@ -2,7 +2,7 @@
 
 import importlib
 
-_MODULES = ["q_quality_rules"]
+_MODULES = ["q_jaccard", "q_quality_rules", "q_tokens"]
 _loaded: tuple[dict, dict] | None = None
 
 
