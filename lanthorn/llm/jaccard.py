@@ -182,7 +182,7 @@ def jaccard_components(docs: DataFrame, width: int = WIDTH, percent: int = PERCE
         F.min("doc_id").alias("rep"))
     classes = written(sets, "jaccard-classes")
 
-    index = (prof.join(classes, [prof.doc_id == classes.rep, prof.set_hash == classes.set_hash], "left_semi")
+    index = (prof.join(classes.hint("merge"), [prof.doc_id == classes.rep, prof.set_hash == classes.set_hash], "left_semi")
              .select(F.col("doc_id").alias("rep"), F.col("n_shingles").alias("n"), F.posexplode("prefix").alias("pos", "gram")))
     shared = written(shared_grams(index), "jaccard-index")
     links = linked_classes(shared, base, classes, heat, width, percent)
@@ -239,7 +239,7 @@ def linked_classes(shared: DataFrame, base: DataFrame, classes: DataFrame, heat,
         pairs = written(pairs, "jaccard-pairs")
         if segs is None:
             ids = shared.select(F.col("rep").alias("doc_id")).distinct()
-            texts = base.join(ids, "doc_id", "left_semi").groupBy("doc_id").agg(F.min("text").alias("text"))
+            texts = base.join(ids.hint("merge"), "doc_id", "left_semi").groupBy("doc_id").agg(F.min("text").alias("text"))
             segs = written(segments(texts, heat, width), "jaccard-segments")
         found = written(verified(pairs, segs, percent), "jaccard-links")
         links = found if links is None else links.union(found)
