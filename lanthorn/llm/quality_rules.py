@@ -55,7 +55,8 @@ def fit_ratio(docs: DataFrame, trusted: DataFrame, id_col: str = "doc_id", text_
     ``smoothing``, so a bucket seen a few times stays near 0.
     """
     marks = trusted.select(F.col(id_col).cast("bigint").alias("doc_id")).where("doc_id is not null").distinct()
-    flagged = id_and_bytes(docs, id_col, text_col).join(marks.withColumn("trusted", F.lit(True)), "doc_id", "left")
+    marks = marks.withColumn("trusted", F.lit(True)).hint("merge")  # both sides grow with the corpus
+    flagged = id_and_bytes(docs, id_col, text_col).join(marks, "doc_id", "left")
 
     def count(batches):
         total = np.zeros(2 * buckets, dtype=np.int64)
