@@ -9,8 +9,8 @@ the distinct (source, size) cells, kept inside a bracket so that they always con
 
 The rates become whole copies by systematic rounding: along each source, ordered by size, running
 sums of the rates (fixed point, exact) are rounded, and a document gets the
-difference of two neighbouring sums.  So a source's copies of any stretch of sizes are off by one at
-most and its words by about one document.
+difference of two neighbouring sums, so the copies of any stretch of sizes are off by one at most.
+The words still missing or too many, about one document's, are settled on the smallest documents.
 
 Defined cases: null text has size 0, and a document of size 0 is taken 0 times; a null
 source is a source of its own, last in the order; repeated rows are separate documents;
@@ -140,29 +140,46 @@ def mixed(docs: DataFrame, weights=WEIGHTS, cap: int = CAP, id_col: str = "doc_i
     rated = rows.join(rates, F.col("source").eqNullSafe(F.col("of"))).select(
         "doc_id", "source", "size", "source_size", "target",
         F.round(rate * float(1 << UNIT_BITS)).cast("bigint").alias("units"))
-    return rounded(rated)
+    return rounded(rated, cap)
 
 
-def rounded(rated: DataFrame) -> DataFrame:
+def rounded(rated: DataFrame, cap: int = CAP) -> DataFrame:
     """Copies by systematic rounding of the running sums of ``units`` along (source, size, id).
 
     The rows are range-partitioned and written, so their parts stay fixed; a part's running sum
     starts from the sum of its source's earlier parts, a table of one row per part and source at most.
+    What then is still missing from a source's target (about one document's words) is
+    added to or taken from its smallest documents, one copy each, by a second running sum.
     """
-    spark = rated.sparkSession
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    mixed_id = F.xxhash64("doc_id")
-    spread = rated.withColumn("h", mixed_id).repartitionByRange(parts, F.col("source"), F.col("size"), F.col("h"))
+    parts = int(rated.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    spread = rated.withColumn("h", F.xxhash64("doc_id")).repartitionByRange(parts, "source", "size", "h")
     fixed = written(spread.withColumn("part", F.spark_partition_id()), "mix-rows")
-    sums = fixed.groupBy("source", "part").agg(F.sum("units").alias("sum"))
+    half = 1 << (UNIT_BITS - 1)
+    run = _running(fixed, {"units": "units"})
+    after = F.shiftright(F.col("units_upto") + half, UNIT_BITS)
+    before = F.shiftright(F.col("units_upto") - F.col("units") + half, UNIT_BITS)
+    first = written(run.withColumn("copies", after - before)
+                    .withColumn("more", F.when(F.col("copies") < cap, F.col("size")).otherwise(0))
+                    .withColumn("less", F.when(F.col("copies") > 0, F.col("size")).otherwise(0))
+                    .drop("units_upto"), "mix-copies")
+    gaps = (first.groupBy("source").agg((F.round(F.max("target")) - F.sum(F.col("copies") * F.col("size"))).cast("bigint").alias("gap"))
+            .withColumnRenamed("source", "g"))
+    gaps = F.broadcast(gaps) if _few(gaps) else gaps
+    last = _running(first, {"more": "more", "less": "less"}).join(gaps, F.col("source").eqNullSafe(F.col("g")))
+    step = (F.when((F.col("gap") > 0) & (F.col("more") > 0) & (F.col("more_upto") <= F.col("gap")), 1)
+            .when((F.col("gap") < 0) & (F.col("less") > 0) & (F.col("less_upto") <= -F.col("gap")), -1).otherwise(0))
+    copies = F.col("copies") + step
+    return last.select("doc_id", "size", "source_size", "target", copies.alias("copies"), (copies * F.col("size")).alias("taken"))
+
+
+def _running(fixed: DataFrame, columns: dict) -> DataFrame:
+    """``fixed`` with ``<name>_upto``: running sum of each column along its source, this row included."""
+    sums = fixed.groupBy("source", "part").agg(*[F.sum(c).alias(n) for n, c in columns.items()])
     earlier = Window.partitionBy("source").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     starts = sums.select(F.col("source").alias("s"), F.col("part").alias("p"),
-                         F.coalesce(F.sum("sum").over(earlier), F.lit(0)).alias("start"))
-    local = Window.partitionBy("part", "source").orderBy("size", "h", "doc_id", "units").rowsBetween(Window.unboundedPreceding, 0)
-    half = 1 << (UNIT_BITS - 1)
-    run = fixed.withColumn("upto", F.sum("units").over(local))
-    whole = run.join(starts, (F.col("part") == F.col("p")) & F.col("source").eqNullSafe(F.col("s")))
-    after = F.shiftright(F.col("start") + F.col("upto") + half, UNIT_BITS)
-    before = F.shiftright(F.col("start") + F.col("upto") - F.col("units") + half, UNIT_BITS)
-    return whole.select("doc_id", "size", "source_size", "target", (after - before).alias("copies"),
-                        ((after - before) * F.col("size")).alias("taken"))
+                         *[F.coalesce(F.sum(n).over(earlier), F.lit(0)).alias(n + "_start") for n in columns])
+    local = Window.partitionBy("part", "source").orderBy("size", "h", "doc_id", "units").rowsBetween(
+        Window.unboundedPreceding, 0)
+    run = fixed.withColumns({n + "_local": F.sum(c).over(local) for n, c in columns.items()})
+    run = run.join(starts, (F.col("part") == F.col("p")) & F.col("source").eqNullSafe(F.col("s")))
+    return run.select(*fixed.columns, *[(F.col(n + "_local") + F.col(n + "_start")).alias(n + "_upto") for n in columns])
