@@ -42,6 +42,7 @@ HEAT_BITS = 5
 FRAGMENTS_BITS = 3
 SLICE_BYTES = 4 << 20
 HUB_ROUNDS = 3
+BROADCAST_IDS = 1 << 20
 PROFILE = "doc_id bigint, n_shingles bigint, set_hash bigint, prefix array<bigint>"
 
 
@@ -237,10 +238,18 @@ def linked_classes(shared: DataFrame, base: DataFrame, classes: DataFrame, heat,
         if tested is not None:
             pairs = pairs.join(tested, ["a", "b"], "left_anti")
         pairs = written(pairs, "jaccard-pairs")
-        if segs is None:
-            ids = shared.select(F.col("rep").alias("doc_id")).distinct()
-            texts = base.join(ids.hint("merge"), "doc_id", "left_semi").groupBy("doc_id").agg(F.min("text").alias("text"))
-            segs = written(segments(texts, heat, width), "jaccard-segments")
+        need = pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct()
+        if segs is not None:
+            need = need.join(segs.select(F.col("rep").alias("doc_id")).distinct(), "doc_id", "left_anti")
+        need = written(need, "jaccard-need")
+        count = need.count()
+        if count or segs is None:
+            # the ids are broadcast only below a checked count; beyond it the texts are shuffled
+            need = F.broadcast(need) if count <= BROADCAST_IDS else need.hint("merge")
+            texts = base.join(need, "doc_id", "left_semi")
+            texts = texts.groupBy("doc_id").agg(F.min("text").alias("text"))
+            new = written(segments(texts, heat, width), "jaccard-segments")
+            segs = new if segs is None else segs.union(new)
         found = written(verified(pairs, segs, percent), "jaccard-links")
         links = found if links is None else links.union(found)
         tested = pairs.select("a", "b") if tested is None else tested.union(pairs.select("a", "b"))
