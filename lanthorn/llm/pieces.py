@@ -32,7 +32,7 @@ from lanthorn.llm.textbuf import long_column
 MARK = "▁"
 WIDTH = 16          # symbols by which suffixes are sorted; no piece may be longer
 GROUP_CHARS = 1 << 20
-CACHE_WORDS = 400_000
+CACHE_WORDS = 500_000
 CACHE_PAIRS = 4_000_000
 LONG = 1 << 40
 ENCODED = "doc_id bigint, text string, n_pieces bigint, n_byte_pieces bigint, ids binary"
@@ -86,10 +86,6 @@ class PieceModel:
                     merges.append((node[p[:k]] << 32 | node[p[k:]], order[score[p]], n))
         merges = np.array(sorted(merges), dtype=np.int64).reshape(-1, 3)
         self.keys, self.ranks, self.made = merges[:, 0].copy(), merges[:, 1].copy(), merges[:, 2].copy()
-        low = np.ascontiguousarray(self.spell[self.unknown + 1:])
-        high = low.copy()
-        high[np.arange(WIDTH)[None, :] >= self.length[self.unknown + 1:, None]] = 0xFFFF
-        self.low, self.high = _sortable(low), _sortable(high)
         self.raw = [b""] * len(proto.pieces)
         for i, p in enumerate(proto.pieces):
             self.raw[i] = p.piece.replace(MARK, " ").encode() if p.type == 1 else bytes([int(p.piece[1:-1], 16)]) if p.type == 6 else b""
@@ -144,11 +140,6 @@ class PieceModel:
         return out
 
 
-def _sortable(symbols: np.ndarray) -> np.ndarray:
-    """Rows of WIDTH symbols as byte strings that sort like the rows."""
-    return np.ascontiguousarray(symbols.astype(">u2")).view(f"S{2 * WIDTH}").reshape(-1)
-
-
 class Encoder:
     """Encodes texts of one worker; remembers a bounded number of words and of piece pairs."""
 
@@ -178,18 +169,28 @@ class Encoder:
     def edges(self, s: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(start, end, node) of every piece occurrence in a symbol text, sorted by end."""
         n = len(s)
-        wide = np.concatenate([s, np.zeros(WIDTH, np.uint16)]).astype(np.uint64)
-        quads = [sum(wide[4 * k + j: 4 * k + j + n] << np.uint64(48 - 16 * j) for j in range(4)) for k in range(WIDTH // 4)]
-        order = np.lexsort(quads[::-1])
-        packed = np.stack([q[order] for q in quads], axis=1).astype(">u8")
-        keys = np.ascontiguousarray(packed).view(f"S{2 * WIDTH}").reshape(-1)
-        lo = np.searchsorted(keys, self.m.low, side="left")
-        hi = np.searchsorted(keys, self.m.high, side="right")
+        used = np.unique(np.append(s, 0))  # symbols of this batch, the gap first; renumbered in order
+        renumber = np.zeros(self.m.unknown + 1, dtype=np.int64)
+        renumber[used] = np.arange(len(used))
+        kind = np.dtype(">u1") if len(used) < 255 else np.dtype(">u2")
+        wide = np.concatenate([renumber[s], np.zeros(WIDTH, np.int64)]).astype(kind)
+        rows = np.ascontiguousarray(np.lib.stride_tricks.sliding_window_view(wide, WIDTH)[:n])
+        quads = rows.view(">u8").astype(np.uint64)
+        order = np.lexsort(quads.T[::-1])
+        keys = rows[order].view(f"S{WIDTH * kind.itemsize}").reshape(-1)
+        here = np.isin(self.m.spell[self.m.unknown + 1:], used).all(axis=1)
+        piece = np.flatnonzero(here)
+        spell, size = renumber[self.m.spell[self.m.unknown + 1:][piece]], self.m.length[self.m.unknown + 1:][piece]
+        beyond = np.arange(WIDTH)[None, :] >= size[:, None]
+        low = np.ascontiguousarray(spell.astype(kind)).view(keys.dtype).reshape(-1)
+        high = np.ascontiguousarray(np.where(beyond, (1 << 8 * kind.itemsize) - 1, spell).astype(kind)).view(keys.dtype).reshape(-1)
+        lo = np.searchsorted(keys, low, side="left")
+        hi = np.searchsorted(keys, high, side="right")
         found = np.flatnonzero(hi > lo)
         times = hi[found] - lo[found]
         place = np.arange(times.sum()) - np.repeat(np.cumsum(times) - times, times) + np.repeat(lo[found], times)
         start = order[place]
-        node = np.repeat(found + self.m.unknown + 1, times)
+        node = np.repeat(piece[found] + self.m.unknown + 1, times)
         single = np.flatnonzero(s)
         start = np.concatenate([single, start])
         node = np.concatenate([s[single].astype(np.int64), node])
