@@ -19,7 +19,7 @@ a source without words has target 0; an empty table gives an empty result; extra
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lanthorn.llm.common import written
@@ -29,17 +29,19 @@ CAP = 3
 NEWTON_STEPS = 60
 TOLERANCE = 1e-7
 UNIT_BITS = 30
-WORD = r"[^\x20\x09-\x0D]+"
+
+
+def word_count(text: Column) -> Column:
+    """Number of words: white space runs become one blank each, so words are blanks plus one."""
+    trimmed = F.trim(F.regexp_replace(text.cast("string"), r"[\x20\x09-\x0D]+", " "))
+    words = F.when(F.length(trimmed) > 0, F.length(trimmed) - F.length(F.replace(trimmed, F.lit(" "))) + 1).otherwise(0)
+    return F.coalesce(words, F.lit(0)).cast("bigint")
 
 
 def sizes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
     """(doc_id, source, size): number of words of each text, counted by the scan itself."""
-    # the gaps between words become one blank each, so the words are the blanks' neighbours
-    blank = F.regexp_replace(F.col(text_col).cast("string"), r"[\x20\x09-\x0D]+", " ")
-    trimmed = F.trim(blank)
-    words = F.when(F.length(trimmed) > 0, F.length(trimmed) - F.length(F.replace(trimmed, F.lit(" "))) + 1).otherwise(0)
     return docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(source_col).cast("string").alias("source"),
-                       F.coalesce(words, F.lit(0)).cast("bigint").alias("size"))
+                       word_count(F.col(text_col)).alias("size"))
 
 
 def targets(totals: DataFrame, weights=WEIGHTS, cap: int = CAP) -> DataFrame:
@@ -183,3 +185,22 @@ def _running(fixed: DataFrame, columns: dict) -> DataFrame:
     run = fixed.withColumns({n + "_local": F.sum(c).over(local) for n, c in columns.items()})
     run = run.join(starts, (F.col("part") == F.col("p")) & F.col("source").eqNullSafe(F.col("s")))
     return run.select(*fixed.columns, *[(F.col(n + "_local") + F.col(n + "_start")).alias(n + "_upto") for n in columns])
+
+
+def repeated(docs: DataFrame, weights=WEIGHTS, cap: int = CAP, id_col: str = "doc_id", text_col: str = "text",
+             source_col: str = "source") -> DataFrame:
+    """``docs`` as the mix takes them: each row as often as its copies, dropped at none.
+
+    Rows of one id, source and size are told apart by their order, so repeated rows get their own copies.
+    """
+    taken = mixed(docs, weights, cap, id_col, text_col, source_col)
+    per = taken.groupBy(F.col("doc_id").alias("mix_id"), F.col("size").alias("mix_size")).agg(
+        F.sort_array(F.collect_list("copies"), asc=False).alias("mix_copies")).hint("merge")
+    sized = docs.withColumn("mix_words", word_count(F.col(text_col)))
+    rows = sized.join(per, F.col(id_col).cast("bigint").eqNullSafe(F.col("mix_id")) & (F.col("mix_words") == F.col("mix_size")))
+    order = Window.partitionBy("mix_id", "mix_size").orderBy(*[F.col(c) for c in (source_col, text_col)])
+    few = F.size("mix_copies") == 1
+    rows = rows.withColumn("mix_n", F.when(few, F.element_at("mix_copies", 1)).otherwise(
+        F.element_at("mix_copies", F.row_number().over(order).cast("int"))))
+    rows = rows.where("mix_n > 0").withColumn("mix_copy", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("mix_n"))))
+    return rows.select(*docs.columns)

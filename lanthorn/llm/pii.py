@@ -39,6 +39,7 @@ MIN_DIGITS = 7
 ROUNDS = 3
 CONFIDENCE = 0.8
 SUPPORT = 4
+BROADCAST_SPANS = 1 << 18
 SPANS = "array<struct<s:int,k:int,e:int>>"
 CANDIDATES = "array<struct<s:int,e:int,value:string,left:string,right:string>>"
 
@@ -173,7 +174,10 @@ def redact(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", leng
     """
     found = find_personal_data(docs, id_col, text_col).where(F.size("spans") > 0)
     found = written(found.select(F.col("doc_id").alias("__doc"), F.col("h").alias("__hash"), F.col("spans").alias("__spans")).distinct(),
-                    "pii-spans").hint("merge")
+                    "pii-spans")
+    # spans are broadcast only below a checked number; beyond it the texts are shuffled
+    number = found.select(F.coalesce(F.sum(F.size("__spans") + 2), F.lit(0))).first()[0]
+    found = F.broadcast(found) if number <= BROADCAST_SPANS else found.hint("merge")
     text = F.col(text_col)
     kinds = F.array(*map(F.lit, KINDS))
 

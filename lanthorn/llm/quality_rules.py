@@ -128,3 +128,20 @@ def apply_rules(docs: DataFrame, ratio: np.ndarray, threshold: float = THRESHOLD
                     names=[c.split()[0] for c in SCHEMA.split(", ")])
 
     return id_and_bytes(docs, id_col, text_col).mapInArrow(run, SCHEMA)
+
+
+def drop_rejected(docs: DataFrame, ratio: np.ndarray, threshold: float = THRESHOLD, text_col: str = "text") -> DataFrame:
+    """``docs`` without the documents that the rules reject; the verdict is taken as the rows pass, without a join."""
+    shared = docs.sparkSession.sparkContext.broadcast(ratio)
+    extra = "bytes_of_" + "_".join(docs.columns)
+
+    def run(batches):
+        for batch in batches:
+            kept = [np.zeros(0, dtype=bool)]
+            for x in tb.slices(batch, extra, SLICE_BYTES):
+                m = measure(x, shared.value)
+                failed = (m["n_words"] < MIN_WORDS) | (100 * m["n_repeat_words"] > MAX_REPEAT_PERCENT * m["n_words"])
+                kept.append(~failed & (m["llr"] >= threshold))
+            yield batch.filter(pa.array(np.concatenate(kept))).select(batch.schema.names[:-1])
+
+    return docs.withColumn(extra, F.col(text_col).cast("binary")).mapInArrow(run, docs.schema)
