@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import gc
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -26,6 +28,12 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def release(spark) -> None:
+    """Let Spark drop the shuffle files of finished steps, whose results are written, before the next begins."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def count_blobs(counts, slices_: int):
     """Arrow rows (slice, counts) of one task's integer vector, cut into equal slices."""
     import numpy as np

@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from lanthorn.llm import textbuf as tb
-from lanthorn.llm.common import count_blobs, id_and_bytes, summed_counts, written
+from lanthorn.llm.common import count_blobs, id_and_bytes, release, summed_counts, written
 
 WIDTH = 4
 PERCENT = 85
@@ -186,16 +186,14 @@ def jaccard_components(docs: DataFrame, width: int = WIDTH, percent: int = PERCE
     index = (prof.join(classes.hint("merge"), [prof.doc_id == classes.rep, prof.set_hash == classes.set_hash], "left_semi")
              .select(F.col("doc_id").alias("rep"), F.col("n_shingles").alias("n"), F.posexplode("prefix").alias("pos", "gram")))
     shared = written(shared_grams(index), "jaccard-index")
-    links = linked_classes(shared, base, classes, heat, width, percent)
+    release(spark)
+    links = linked_classes(shared, base, heat, width, percent)
 
     same = prof.select("doc_id", "n_shingles", "set_hash")
     known = same.join(classes.withColumnRenamed("n_shingles", "n"),
                       (same.set_hash == classes.set_hash) & (same.n_shingles == F.col("n")) & same.doc_id.isNotNull(), "left")
     known = known.select("doc_id", "n_shingles", "rep")
-    if links is not None:
-        known = known.join(links.toDF("rep", "root"), "rep", "left")
-    else:
-        known = known.withColumn("root", F.lit(None).cast("bigint"))
+    known = known.join(links.toDF("rep", "root"), "rep", "left")
     return known.select("doc_id", "n_shingles", F.coalesce("root", "rep", "doc_id").alias("component_id"))
 
 
@@ -206,57 +204,73 @@ def shared_grams(index: DataFrame) -> DataFrame:
     return ends.where("before is not null or after is not null").select("gram", "rep", "n", "pos")
 
 
-def linked_classes(shared: DataFrame, base: DataFrame, classes: DataFrame, heat, width: int, percent: int):
-    """Component of every linked class, or None where no two classes share an indexed n-gram."""
-    fits = (f"100 * least(na, nb) >= {percent} * greatest(na, nb) and "
-            f"{100 + percent} * least(na - pa, nb - pb) >= {percent} * (na + nb)")
-    segs = None
-    links = roots = tested = None
-    open_ = shared
+def linked_classes(shared: DataFrame, base: DataFrame, heat, width: int, percent: int) -> DataFrame:
+    """(node, root) of every linked class; each turn's shuffle files are released before the next."""
+    spark = shared.sparkSession
+    segs = links = roots = tested = None
+    open_ = shared.withColumn("root", F.col("rep"))
     for turn in range(HUB_ROUNDS + 1):
-        if roots is None:
-            rows = open_.withColumn("root", F.col("rep"))
-        else:
-            rows = open_.drop("root").join(roots.toDF("rep", "root"), "rep", "left").withColumn("root", F.coalesce("root", "rep"))
-            spread_over = rows.groupBy("gram").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo < hi")
-            rows = rows.join(spread_over.select("gram"), "gram", "left_semi")
-            rows = open_ = written(rows, "jaccard-open")
-            if rows.isEmpty():
+        if roots is not None:
+            open_ = written(still_open(open_, roots), "jaccard-open")
+            if open_.isEmpty():
                 break
-        if turn < HUB_ROUNDS:
-            order = F.col("rep") if turn == 0 else F.xxhash64("rep", F.lit(turn))
-            hubs = rows.groupBy("gram").agg(F.min(F.struct(order.alias("o"), "rep", "n", "pos", "root")).alias("hub"))
-            pairs = (rows.join(hubs, "gram").where("root <> hub.root")
-                     .selectExpr("rep as x", "n as nx", "pos as px", "hub.rep as y", "hub.n as ny", "hub.pos as py"))
-        else:
-            other = rows.select("gram", F.col("rep").alias("y"), F.col("n").alias("ny"), F.col("pos").alias("py"), F.col("root").alias("ry"))
-            pairs = (rows.select("gram", F.col("rep").alias("x"), F.col("n").alias("nx"), F.col("pos").alias("px"), F.col("root").alias("rx"))
-                     .join(other, "gram").where("x < y and rx <> ry"))
-        pairs = pairs.selectExpr(
-            "least(x, y) as a", "greatest(x, y) as b", "if(x < y, nx, ny) as na", "if(x < y, ny, nx) as nb",
-            "if(x < y, px, py) as pa", "if(x < y, py, px) as pb").where(fits).select("a", "b", "na", "nb").distinct()
-        if tested is not None:
-            pairs = pairs.join(tested, ["a", "b"], "left_anti")
-        pairs = written(pairs, "jaccard-pairs")
-        need = pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct()
-        if segs is not None:
-            need = need.join(segs.select(F.col("rep").alias("doc_id")).distinct(), "doc_id", "left_anti")
-        need = written(need, "jaccard-need")
-        count = need.count()
-        if count or segs is None:
-            # the ids are broadcast only below a checked count; beyond it the texts are shuffled
-            need = F.broadcast(need) if count <= BROADCAST_IDS else need.hint("merge")
-            texts = base.join(need, "doc_id", "left_semi")
-            texts = texts.groupBy("doc_id").agg(F.min("text").alias("text"))
-            new = written(segments(texts, heat, width), "jaccard-segments")
-            segs = new if segs is None else segs.union(new)
+        pairs = written(candidates(open_, turn, percent, tested), "jaccard-pairs")
+        release(spark)
+        segs = segments_of(pairs, segs, base, heat, width)
         found = written(verified(pairs, segs, percent), "jaccard-links")
+        release(spark)
         links = found if links is None else links.union(found)
-        tested = pairs.select("a", "b") if tested is None else tested.union(pairs.select("a", "b"))
+        done = pairs.select("a", "b")
+        tested = done if tested is None else tested.union(done)
         roots = components(links)
+        release(spark)
     return roots
 
 
+def still_open(rows: DataFrame, roots: DataFrame) -> DataFrame:
+    """Index rows with their classes' present components, of n-grams that still span several."""
+    rows = rows.drop("root").join(roots.toDF("rep", "root"), "rep", "left").withColumn("root", F.coalesce("root", "rep"))
+    several = rows.groupBy("gram").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo < hi")
+    return rows.join(several.select("gram"), "gram", "left_semi")
+
+
+def candidates(rows: DataFrame, turn: int, percent: int, tested: DataFrame | None) -> DataFrame:
+    """Untested pairs (a, b, na, nb) that may reach the threshold: with a hub per n-gram, in the last turn all across components."""
+    if turn < HUB_ROUNDS:
+        order = F.col("rep") if turn == 0 else F.xxhash64("rep", F.lit(turn))
+        hubs = rows.groupBy("gram").agg(F.min(F.struct(order.alias("o"), "rep", "n", "pos", "root")).alias("hub"))
+        pairs = (rows.join(hubs, "gram").where("root <> hub.root")
+                 .selectExpr("rep as x", "n as nx", "pos as px", "hub.rep as y", "hub.n as ny", "hub.pos as py"))
+    else:
+        one = rows.selectExpr("gram", "rep as x", "n as nx", "pos as px", "root as rx")
+        other = rows.selectExpr("gram", "rep as y", "n as ny", "pos as py", "root as ry")
+        pairs = one.join(other, "gram").where("x < y and rx <> ry")
+    pairs = pairs.selectExpr(
+        "least(x, y) as a", "greatest(x, y) as b", "if(x < y, nx, ny) as na", "if(x < y, ny, nx) as nb",
+        "if(x < y, px, py) as pa", "if(x < y, py, px) as pb")
+    # sizes near enough, and enough n-grams left from the shared one on if it is the first that both have
+    pairs = pairs.where(f"100 * least(na, nb) >= {percent} * greatest(na, nb) and "
+                        f"{100 + percent} * least(na - pa, nb - pb) >= {percent} * (na + nb)")
+    pairs = pairs.select("a", "b", "na", "nb").distinct()
+    return pairs if tested is None else pairs.join(tested, ["a", "b"], "left_anti")
+
+
+def segments_of(pairs: DataFrame, segs: DataFrame | None, base: DataFrame, heat, width: int) -> DataFrame:
+    """``segs`` with the segments of the pairs' sets that it lacks."""
+    need = pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct()
+    if segs is not None:
+        need = need.join(segs.select(F.col("rep").alias("doc_id")).distinct(), "doc_id", "left_anti")
+    need = written(need, "jaccard-need")
+    count = need.count()
+    if not count and segs is not None:
+        return segs
+    # the ids are broadcast only below a checked count; beyond it the texts are shuffled
+    need = F.broadcast(need) if count <= BROADCAST_IDS else need.hint("merge")
+    texts = base.join(need, "doc_id", "left_semi").groupBy("doc_id").agg(F.min("text").alias("text"))
+    new = written(segments(texts, heat, width), "jaccard-segments")
+    return new if segs is None else segs.union(new)
+
+
 def one_per_component(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT, id_col: str = "doc_id",
                       text_col: str = "text") -> DataFrame:
     """``docs`` with one document of each component, that of the smallest id; equal rows of one id are one document."""

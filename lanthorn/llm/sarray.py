@@ -27,7 +27,6 @@ returned.  A text longer than a chunk is a chunk of its own; memory follows the
 
 from __future__ import annotations
 
-import gc
 import hashlib
 
 import numpy as np
@@ -38,7 +37,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lanthorn.llm import textbuf as tb
-from lanthorn.llm.common import id_and_bytes, written
+from lanthorn.llm.common import id_and_bytes, release, written
 
 LENGTH = 200
 CHUNK_BYTES = 2 << 20
@@ -231,12 +230,6 @@ def _rows(batch: pa.RecordBatch):
         yield {n: batch.column(k)[i].as_py() for k, n in enumerate(batch.schema.names)}
 
 
-def _free(spark) -> None:
-    """Let Spark drop the shuffle files of finished steps; their results are written."""
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
-
-
 def repeated_spans(docs: DataFrame, length: int = LENGTH, id_col: str = "doc_id", text_col: str = "text",
                    chunk_bytes: int = CHUNK_BYTES, names_per_bucket: int = NAMES_PER_BUCKET) -> DataFrame:
     """Per document: bytes, bytes and spans removed, hash of what is kept, and the removed byte ranges."""
@@ -271,9 +264,9 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, id_col: str = "doc_id"
                 yield _result(c, row["ids"], copied, at)
 
     one = exchanged(chunked.mapInArrow(first, BLOB), "repeat-blocks")
-    _free(spark)
+    release(spark)
     two = exchanged(_answered(chunked, one).mapInArrow(second, BLOB), "repeat-prefixes")
-    _free(spark)
+    release(spark)
     return _answered(chunked, one.union(two)).mapInArrow(last, RESULT)
 
 
