@@ -133,9 +133,9 @@ def mixed(docs: DataFrame, weights=WEIGHTS, cap: int = CAP, id_col: str = "doc_i
     wanted = written(targets(cells.groupBy("source").agg(F.sum(F.col("size") * F.col("n")).alias("source_size")),
                              weights, cap), "mix-targets")
     lam = tilts(cells.where("size > 0"), wanted, cap)
-    lam = lam.select(F.col("source").alias("s"), "lam", "scale")
+    lam = lam.select(F.col("source").alias("s"), "lam", "scale", F.lit(True).alias("has"))
     rates = (wanted.join(lam, F.col("source").eqNullSafe(F.col("s")), "left")
-             .select(F.col("source").alias("of"), "source_size", "target", "lam", "scale", F.col("s").isNull().alias("empty")))
+             .select(F.col("source").alias("of"), "source_size", "target", "lam", "scale", F.col("has").isNull().alias("empty")))
     rates = F.broadcast(rates) if _few(rates) else rates
     rate = F.when(F.col("empty") | (F.col("size") == 0), 0.0).when(F.col("lam").isNull(), float(cap)).otherwise(
         F.least(F.lit(float(cap)), F.exp(F.least(F.col("lam") * F.col("size") / F.col("scale"), F.lit(50.0)))))
