@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lanthorn.operators.ordinal import global_ordinal, rank_within
+from lanthorn.session import small_side
 from lanthorn.operators.profile import exact_quantiles, modes, scalars
 
 
@@ -40,15 +41,18 @@ def stratified_split(df: DataFrame, label: str, key: str, test_fraction: float =
     exact = F.lit(test) * F.col("n_label") / F.lit(max(n, 1))
     alloc = per.select(label, F.floor(exact).alias("base"), (exact - F.floor(exact)).alias("frac"))
     left = test - (scalars(alloc.agg(F.sum("base").alias("s")))["s"] or 0)
-    # largest remainders first (ties to the smaller label), ranked without a one-task window
-    alloc = global_ordinal(alloc, [F.col("frac").desc(), F.col(label)], "__k") \
+    # largest remainders first (ties to the smaller label); one row per label
+    alloc = global_ordinal(alloc, [F.col("frac").desc(), F.col(label)], "__k", bounded=True) \
         .select(label, (F.col("base") + (F.col("__k") <= left).cast("long")).cast("long").alias("n_test"))
-    ranked = rank_within(df.withColumn("__h", F.md5(F.col(key).cast("string"))), [label],
-                         ["__h", key], "__r")
-    return (ranked.join(alloc, label)
-            .withColumn(split_col, F.when(F.col("__r") <= F.col("n_test"), F.lit("test"))
-                        .otherwise(F.lit("train")))
-            .drop("__h", "__r", "n_test"))
+    # only (label, md5, key) is ranked; the rows then compare with their label's last test position
+    place = F.struct(F.md5(F.col(key).cast("string")).alias("h"), F.col(key).alias("k"))
+    ranked = rank_within(df.select(label, place.alias("__p")), [label], ["__p"], "__r")
+    last = ranked.join(small_side(alloc), label).where(F.col("__r") <= F.col("n_test")) \
+        .groupBy(label).agg(F.max("__p").alias("__last"))
+    borders = alloc.select(label).join(last, label, "left")
+    return (df.join(small_side(borders), label)
+            .withColumn(split_col, F.when(place <= F.col("__last"), F.lit("test")).otherwise(F.lit("train")))
+            .drop("__last"))
 
 
 def random_split(df: DataFrame, key: str, test_fraction: float = 0.2,
@@ -56,10 +60,13 @@ def random_split(df: DataFrame, key: str, test_fraction: float = 0.2,
     """Not stratified: the ceil(f * n) rows first by md5(key), key are test."""
     n = df.count()
     test = math.ceil(n * test_fraction)
-    ranked = global_ordinal(df.withColumn("__h", F.md5(F.col(key).cast("string"))),
-                            ["__h", key], "__r")
-    return ranked.withColumn(split_col, F.when(F.col("__r") <= test, F.lit("test"))
-                             .otherwise(F.lit("train"))).drop("__h", "__r")
+    place = F.struct(F.md5(F.col(key).cast("string")).alias("h"), F.col(key).alias("k"))
+    ranked = global_ordinal(df.select(place.alias("__p")), ["__p"], "__r")
+    last = ranked.where(F.col("__r") <= test).agg(F.max("__p").alias("p")).first()["p"]  # the last test position
+    if last is None:
+        return df.withColumn(split_col, F.lit("train"))
+    border = F.struct(F.lit(last["h"]).alias("h"), F.lit(last["k"]).alias("k"))
+    return df.withColumn(split_col, F.when(place <= border, F.lit("test")).otherwise(F.lit("train")))
 
 
 def split_balance(df: DataFrame, label: str, split_col: str = "split") -> DataFrame:
@@ -130,7 +137,7 @@ def class_weights(df: DataFrame, label: str) -> DataFrame:
 
 
 def with_class_weight(df: DataFrame, label: str, weight_col: str = "weight") -> DataFrame:
-    return df.join(class_weights(df, label).select(label, weight_col), label)
+    return df.join(small_side(class_weights(df, label).select(label, weight_col)), label)
 
 
 def smote(df: DataFrame, label: str, key: str, vector: str, minority, k: int = 5,
@@ -152,7 +159,7 @@ def smote(df: DataFrame, label: str, key: str, vector: str, minority, k: int = 5
         return df.limit(0).select(F.col(key).alias("parent"), F.lit(0).alias("copy"), label, vector)
     mino = global_ordinal(df.filter(F.col(label) == minority).select(key, vector), [key], "__o")
     reps = F.lit(m // n_min) + (F.col("__o") <= m % n_min).cast("long")
-    copies = mino.withColumn("__c", F.explode(F.sequence(F.lit(1), reps.cast("int")))) \
+    copies = mino.withColumn("__c", F.explode(F.sequence(F.lit(1).cast("long"), reps.cast("long")))) \
         .where(reps > 0) \
         .withColumn("copy", ((F.col("__c") - 1) * n_min + F.col("__o")).cast("long"))
     nn = neighbours if neighbours is not None else knn(

@@ -18,11 +18,12 @@ files.  This also cuts the lineage, so a lost executor costs a re-read,
 not a re-sort.  Narrow the frame to the columns needed before calling on
 very wide tables.
 
-Inputs proven small (``limit(n + 1).count() <= n`` with n =
-``lanthorn.ordinal.singleTaskRows``, default one million) skip all that:
-they are gathered into one partition (the upstream stays parallel), sorted
-and numbered in one task.  One partition numbers the same way every time it
-is computed, so no checkpoint is needed there.
+One path serves every size.  The input runs once: it is checkpointed, and both
+the sampling of the range bounds and the exchange read those files.  The number
+of range partitions is that of the input, the session's setting at least.
+A caller whose rows are bounded by a report (classes, categories, columns,
+probabilities) says so with ``bounded=True`` and gets a plain window; nothing
+is counted to find out.
 """
 
 from __future__ import annotations
@@ -34,6 +35,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from lanthorn.session import small_side
+
 _PID = "__pid"
 _LOCAL = "__local"
 
@@ -42,24 +45,12 @@ def _cols(order: Sequence[Column | str]) -> list[Column]:
     return [F.col(c) if isinstance(c, str) else c for c in order]
 
 
-def _single_task_rows(df: DataFrame) -> int:
-    return int(df.sparkSession.conf.get("lanthorn.ordinal.singleTaskRows", "1000000"))
-
-
-def _is_small(df: DataFrame) -> bool:
-    """True when the frame has at most the single-task bound of rows."""
-    bound = _single_task_rows(df)
-    return df.limit(bound + 1).count() <= bound
-
-
-def _one_sorted_partition(df: DataFrame, order: Sequence[Column | str]) -> DataFrame:
-    return df.repartition(1).sortWithinPartitions(*_cols(order))
-
-
-def _ranged(df: DataFrame, order: Sequence[Column | str], partitions: int | None) -> DataFrame:
+def _ranged(df: DataFrame, order: Sequence[Column | str], partitions: int | None, stored: bool = False) -> DataFrame:
     keys = _cols(order)
-    ranged = df.repartitionByRange(partitions, *keys) if partitions else df.repartitionByRange(*keys)
-    ranged = ranged.sortWithinPartitions(*keys).checkpoint(eager=True)
+    once = df if stored else df.checkpoint(eager=True)
+    partitions = partitions or max(once.rdd.getNumPartitions(),
+                                   int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    ranged = once.repartitionByRange(partitions, *keys).sortWithinPartitions(*keys).checkpoint(eager=True)
     return ranged.withColumn(_PID, F.spark_partition_id())
 
 
@@ -72,10 +63,10 @@ def _offsets(tagged: DataFrame, measures: dict[str, Column]) -> DataFrame:
 
 
 def global_ordinal(df: DataFrame, order: Sequence[Column | str], name: str = "ordinal",
-                   partitions: int | None = None) -> DataFrame:
+                   partitions: int | None = None, bounded: bool = False) -> DataFrame:
     """Add ``name`` = 1..n following ``order`` (a total order)."""
-    if partitions is None and _is_small(df):
-        return _one_sorted_partition(df, order).withColumn(name, F.monotonically_increasing_id() + 1)
+    if bounded:
+        return df.withColumn(name, F.row_number().over(Window.orderBy(*_cols(order))).cast("long"))
     tagged = _ranged(df, order, partitions)
     # monotonically_increasing_id keeps the partition index in the upper
     # 31 bits and the position inside the partition in the lower 33 bits.
@@ -88,16 +79,18 @@ def global_ordinal(df: DataFrame, order: Sequence[Column | str], name: str = "or
 
 
 def running_sums(df: DataFrame, order: Sequence[Column | str], values: dict[str, str],
-                 ordinal: str | None = None, partitions: int | None = None) -> DataFrame:
+                 ordinal: str | None = None, partitions: int | None = None, bounded: bool = False,
+                 stored: bool = False) -> DataFrame:
     """Running (inclusive) sums of numeric columns along a global total order.
 
     ``values`` maps output name -> input column.  Sums are carried in
     doubles for fractional columns and in longs for integral ones.  With
-    ``ordinal`` set, a 1..n position column is added as well.
+    ``ordinal`` set, a 1..n position column is added as well.  ``stored``:
+    the caller has checkpointed ``df`` itself.
     """
-    if partitions is None and _is_small(df):
+    if bounded:
         w = Window.orderBy(*_cols(order)).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-        out = _one_sorted_partition(df, order)
+        out = df
         for name, src in values.items():
             integral = isinstance(df.schema[src].dataType,
                                   (T.ByteType, T.ShortType, T.IntegerType, T.LongType))
@@ -106,7 +99,7 @@ def running_sums(df: DataFrame, order: Sequence[Column | str], values: dict[str,
         if ordinal:
             out = out.withColumn(ordinal, F.row_number().over(Window.orderBy(*_cols(order))).cast("long"))
         return out
-    tagged = _ranged(df, order, partitions)
+    tagged = _ranged(df, order, partitions, stored)
     kinds = {c: tagged.schema[src].dataType for c, src in values.items()}
     measures = {out: F.sum(F.col(src)) for out, src in values.items()}
     if ordinal:
@@ -150,16 +143,12 @@ def rank_within(df: DataFrame, group: Sequence[str], order: Sequence[Column | st
 
     A group that holds a third of all rows is split across range
     partitions like any other key range: the global ordinal over
-    (group, order) minus the group's first ordinal (the per-group starts
-    join is left to AQE, which splits skewed partitions).  Inputs proven
-    small use a plain per-group window.
+    (group, order) minus the group's first ordinal.  The table of first
+    ordinals has one row per group; it is broadcast where its size is
+    checked to allow it, else joined (AQE splits skewed partitions).
     """
-    if partitions is None and _is_small(df):
-        # bounded input: a per-group window, each group's rows in one task
-        w = Window.partitionBy(*group).orderBy(*_cols(order))
-        return df.withColumn(name, F.row_number().over(w).cast("long"))
     ordered = global_ordinal(df, [*group, *order], "__g_ord", partitions)
     starts = ordered.groupBy(*group).agg(F.min("__g_ord").alias("__g_start"))
-    return (ordered.join(starts, list(group))
+    return (ordered.join(small_side(starts), list(group))
             .withColumn(name, F.col("__g_ord") - F.col("__g_start") + 1)
             .drop("__g_ord", "__g_start"))

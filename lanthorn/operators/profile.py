@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lanthorn.operators.ordinal import running_sums
+from lanthorn.session import small_side
 
 NUMERIC = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType,
            T.DecimalType)
@@ -128,22 +129,22 @@ def exact_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
     long = to_long(df, cols, ids).filter(F.col("value").isNotNull())
     keys = [*ids, "column"]
     counts = long.groupBy(*keys, "value").agg(F.count(F.lit(1)).alias("c")).checkpoint(eager=True)
-    cum = running_sums(counts, [*keys, "value"], {"cum": "c"})
+    cum = running_sums(counts, [*keys, "value"], {"cum": "c"}, stored=True)
     # rows of a key occupy global ranks (start, end]; the value at 0-based
     # rank r of a key covers (cum - c, cum] around start + r + 1.  The
     # bounds come from the per-key totals (one row per key, summed along
     # the same key order), so the pass over ``cum`` runs once, in the join.
-    per_key = running_sums(counts.groupBy(*keys).agg(F.sum("c").alias("n")), keys, {"end": "n"}) \
+    per_key = running_sums(counts.groupBy(*keys).agg(F.sum("c").alias("n")), keys, {"end": "n"}, bounded=True) \
         .select(*keys, (F.col("end") - F.col("n")).alias("start"), "end")
     h = (F.col("end") - F.col("start") - 1) * F.col("p")
     targets = (per_key.withColumn("p", F.explode(F.array(*[F.lit(float(p)) for p in probs])))
                .select(*keys, "p", (F.col("start") + F.floor(h)).cast("long").alias("lo"),
                        (F.col("start") + F.ceil(h)).cast("long").alias("hi"),
                        (h - F.floor(h)).alias("frac")))
-    # one row per (group, column, probability): the size of the report; the
-    # join strategy is left to AQE
+    # one row per (group, column, probability): the size of the report,
+    # broadcast where the check of its size allows it
     covers = lambda r: (F.col(r) >= F.col("cum") - F.col("c")) & (F.col(r) < F.col("cum"))
-    hits = cum.select(*keys, "value", "c", "cum").join(targets, keys).filter(covers("lo") | covers("hi"))
+    hits = cum.select(*keys, "value", "c", "cum").join(small_side(targets), keys).filter(covers("lo") | covers("hi"))
     out = hits.groupBy(*keys, "p").agg(F.max(F.when(covers("lo"), F.col("value"))).alias("v_lo"),
                                        F.max(F.when(covers("hi"), F.col("value"))).alias("v_hi"),
                                        F.first("frac").alias("frac"))
@@ -324,7 +325,7 @@ def box_stats(df: DataFrame, value: str, group: str, k: float = 1.5) -> DataFram
     fences = q.withColumn("lower_fence", F.col("q1") - k * (F.col("q3") - F.col("q1"))) \
         .withColumn("upper_fence", F.col("q3") + k * (F.col("q3") - F.col("q1")))
     x = F.col(value).cast("double")
-    joined = df.select(group, x.alias("__x")).where(F.col("__x").isNotNull()).join(fences, group)
+    joined = df.select(group, x.alias("__x")).where(F.col("__x").isNotNull()).join(small_side(fences), group)
     inside = (F.col("__x") >= F.col("lower_fence")) & (F.col("__x") <= F.col("upper_fence"))
     # fence columns are constant per group: carried through the aggregate
     # instead of joining the quantile plan a second time

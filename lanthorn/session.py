@@ -7,6 +7,7 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 TABLES = (
     "region nation customer supplier part orders lineitem events documents "
@@ -30,6 +31,7 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", os.environ.get("LANTHORN_DRIVER_MEMORY", "16g"))
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .config("spark.sql.execution.arrow.maxRecordsPerBatch", "4096")
         .getOrCreate()
@@ -70,12 +72,6 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def register_tables(spark: SparkSession, sf_dir: str, names=TABLES) -> None:
-    """Register the driver tables as temp views under their own names."""
-    for name in names:
-        read_table(spark, sf_dir, name).createOrReplaceTempView(name)
-
-
 def max_broadcast_bytes(spark: SparkSession) -> int:
     """The size bound a side must stay under to be broadcast."""
     raw = spark.conf.get("spark.sql.autoBroadcastJoinThreshold", "10485760")
@@ -90,6 +86,22 @@ def max_broadcast_bytes(spark: SparkSession) -> int:
     return value if value > 0 else 10 << 20
 
 
+def small_side(df: DataFrame) -> DataFrame:
+    """``df`` with a broadcast hint if its size, checked here, stays under the session's bound.
+
+    The size is the checked row count times the row width that the schema
+    implies (strings and arrays taken at 64 bytes).  A larger side comes
+    back as it is and is joined by shuffling.
+    """
+    def width(kind) -> int:
+        return {"boolean": 1, "byte": 1, "short": 2, "integer": 4, "float": 4, "date": 4}.get(
+            kind.typeName(), 8 if kind.typeName() in ("long", "double", "timestamp") else 64)
+
+    row = 16 + sum(width(f.dataType) for f in df.schema.fields)
+    bound = max(max_broadcast_bytes(df.sparkSession) // row, 1)
+    return F.broadcast(df) if df.limit(bound + 1).count() <= bound else df
+
+
 def spread(df: DataFrame) -> DataFrame:
     """Spread a frame read as few partitions over the cluster's task slots.
 
