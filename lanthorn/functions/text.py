@@ -90,12 +90,13 @@ def format_chunk_id(num: Column | str, chunk: int = 1) -> Column:
 
 
 def resolve_url(base: Column | str, href: Column | str) -> Column:
-    """``urljoin`` for the common forms, as a SQL expression.
+    """``urljoin`` of an absolute base URL and a link, as a SQL expression.
 
-    Absolute hrefs stay, ``//host`` takes the base scheme, ``/path`` takes
-    the base origin, ``?q`` and ``#f`` attach to the base path, and a
-    relative path replaces the last segment of the base path; ``./`` and
-    ``../`` segments are then folded.
+    A link with a scheme stays, ``//host`` takes the base scheme, an empty one
+    is the base itself, ``?q`` and ``#f`` replace the base's own; any other
+    path is joined to the base's folder (or the root) and folded in one pass
+    over its segments: ``.`` goes, ``..`` drops the segment before it and stops
+    at the root.  Query and fragment are never folded.
     """
     b, h = _c(base), _c(href)
     origin = F.regexp_extract(b, r"^([A-Za-z][A-Za-z0-9+.-]*://[^/?#]*)", 1)
@@ -103,20 +104,26 @@ def resolve_url(base: Column | str, href: Column | str) -> Column:
     base_path = F.regexp_extract(b, r"^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*([^?#]*)", 1)
     base_nofrag = F.regexp_replace(b, r"#.*$", "")
     base_noquery = F.regexp_replace(base_nofrag, r"\?.*$", "")
-    directory = F.regexp_replace(base_path, r"[^/]*$", "")
-    directory = F.when(directory == "", F.lit("/")).otherwise(directory)
-    joined = F.concat(origin, directory, h)
-    # fold "/./" and "/seg/../" repeatedly (bounded depth is enough for URLs)
-    folded = joined
-    for _ in range(8):
-        folded = F.regexp_replace(folded, r"/\./", "/")
-        folded = F.regexp_replace(folded, r"/(?!\.\./)[^/?#]+/\.\./", "/")
-    folded = F.regexp_replace(folded, r"(://[^/?#]*)/\.\./", "$1/")
+    path = F.regexp_extract(h, r"^([^?#]*)", 1)
+    rest = F.substr(h, F.length(path) + 1, F.length(h))
+    rest = F.regexp_replace(F.regexp_replace(rest, r"^\?(?=#|$)", ""), r"#$", "")  # an empty query or fragment goes
+    folder = F.regexp_replace(base_path, r"[^/]*$", "")
+    segments = F.split(F.when(path.startswith("/"), path).otherwise(F.concat(folder, path)), "/", -1)
+    last = F.element_at(segments, -1)
+    inner = F.slice(segments, 1, F.size(segments) - 1)
+
+    def step(done, seg):
+        up = F.slice(done, F.lit(1), F.greatest(F.size(done) - 1, F.lit(0)))
+        return F.when(seg == "..", up).when(seg.isin(".", ""), done).otherwise(F.concat(done, F.array(seg)))
+
+    folded = F.aggregate(F.concat(inner, F.array(F.when(last == "..", "..").otherwise("."))),
+                         F.array().cast("array<string>"), step)
+    end = F.when(last.isin(".", ".."), "").otherwise(last)
+    joined = F.concat(origin, F.lit("/"), F.array_join(F.concat(folded, F.array(end)), "/"), rest)
     return (F.when(h.isNull(), F.lit(None).cast("string"))
             .when(h.rlike(r"^[A-Za-z][A-Za-z0-9+.-]*:"), h)
             .when(h.startswith("//"), F.concat(scheme, F.lit(":"), h))
-            .when(h.startswith("/"), F.concat(origin, h))
-            .when(h == "", base_nofrag)
-            .when(h.startswith("?"), F.concat(base_noquery, h))
-            .when(h.startswith("#"), F.concat(base_nofrag, h))
-            .otherwise(folded))
+            .when(h == "", b)
+            .when(h.startswith("?"), F.concat(base_noquery, rest))
+            .when(h.startswith("#"), F.concat(base_nofrag, rest))
+            .otherwise(joined))

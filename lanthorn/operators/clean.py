@@ -105,7 +105,7 @@ def quota_prefix(raw: DataFrame, category: str, category_order: str,
     count of every category is computed once, running sums give the clean
     rows and non-empty categories up to each position, and the first
     position meeting both quotas bounds a semi join back to the raw rows.
-    Empty result when the quotas are never met.
+    Raises ``ValueError`` when the quotas are never met.
     """
     marked = mark_invalid(raw)
     per_cat = (marked.groupBy(category)
@@ -116,6 +116,8 @@ def quota_prefix(raw: DataFrame, category: str, category_order: str,
                        {"__cum_rows": "__clean", "__cum_cats": "__nonempty"})
     stop = cum.filter((F.col("__cum_rows") >= min_rows) & (F.col("__cum_cats") >= min_categories)) \
               .agg(F.min("__pos").alias("__stop"))
-    # ``stop`` is a global aggregate: exactly one row, so broadcasting it is bounded.
-    chosen = per_cat.join(F.broadcast(stop), F.col("__pos") <= F.col("__stop")).select(category)
+    last = stop.first()["__stop"]  # one number
+    if last is None:
+        raise ValueError(f"never {min_rows} clean rows in {min_categories} categories")
+    chosen = per_cat.where(F.col("__pos") <= F.lit(last)).select(category)
     return raw.join(chosen, category, "left_semi")

@@ -12,7 +12,7 @@ from collections.abc import Sequence
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark import keyword_only
-from pyspark.ml import Estimator, Pipeline, PipelineModel
+from pyspark.ml import Estimator, PipelineModel
 from pyspark.ml.classification import (DecisionTreeClassifier, LogisticRegression,
                                        RandomForestClassifier)
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator
@@ -20,7 +20,6 @@ from pyspark.ml.feature import OneHotEncoder, SQLTransformer, StringIndexer, Vec
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.param import Param, Params, TypeConverters
 from pyspark.ml.regression import LinearRegression
-from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -130,20 +129,22 @@ def logistic_regression(label: str, n_train: int, weight_col: str | None = None)
 # Deep trees: keep each row's node id cached between levels and let one
 # pass split many nodes; without these a depth-30 forest is ~5x slower.
 TREE_SPEED = dict(cacheNodeIds=True, maxMemoryInMB=2048, checkpointInterval=10)
+# Split candidates per feature (Spark quantises them); a parameter of every tree operator.
+MAX_BINS = 64
 
 
-def decision_tree(label: str, max_depth: int = 5, seed: int = 42) -> DecisionTreeClassifier:
+def decision_tree(label: str, max_depth: int = 5, seed: int = 42, max_bins: int = MAX_BINS) -> DecisionTreeClassifier:
     return DecisionTreeClassifier(labelCol=label, featuresCol="features", maxDepth=max_depth,
-                                  impurity="gini", seed=seed, maxBins=64, **TREE_SPEED)
+                                  impurity="gini", seed=seed, maxBins=max_bins, **TREE_SPEED)
 
 
 def random_forest(label: str, p: int, trees: int = 100, max_depth: int | None = None,
-                  max_features: str = "sqrt", seed: int = 42) -> RandomForestClassifier:
+                  max_features: str = "sqrt", seed: int = 42, max_bins: int = MAX_BINS) -> RandomForestClassifier:
     """Unbounded depth maps to Spark's largest depth (30)."""
     return RandomForestClassifier(labelCol=label, featuresCol="features", numTrees=trees,
                                   maxDepth=30 if max_depth is None else max_depth,
                                   featureSubsetStrategy=sklearn_subset(max_features, p),
-                                  impurity="gini", seed=seed, maxBins=64, **TREE_SPEED)
+                                  impurity="gini", seed=seed, maxBins=max_bins, **TREE_SPEED)
 
 
 def with_scores(pred: DataFrame, prob: str = "probability") -> DataFrame:
@@ -169,37 +170,42 @@ def stratified_folds(df: DataFrame, label: str, key: str, k: int = 5, fold_col:
 def grid_search(train: DataFrame, label: str, prep: FeaturePrep, p: int,
                 trees: Sequence[int] = (100, 200), depths: Sequence[int | None] = (None, 5, 10),
                 max_features: Sequence[str] = ("sqrt", "log2"), folds: int = 5, key: str = "id",
-                parallelism: int = 4):
-    """CrossValidator over prep + forest; prep is refitted inside every fold.
-
-    Scoring is the positive-class F1 (``fMeasureByLabel``, label 1); the
-    best setting is refitted on all of train.
+                parallelism: int = 4, max_bins: int = MAX_BINS):
+    """Cross-validated grid of forests: (rows, best setting).
+
+    Rows are (trees, depth, max_features, mean F1 of class 1), one per named
+    setting; depth ``None`` is unbounded.  The feature stage is fitted once per
+    fold and its vectors are written once; settings that resolve to the same
+    forest (``sqrt`` and ``log2`` of p can be one number) are fitted once and
+    share the score.  Ties go to the setting named first.
     """
-    rf = RandomForestClassifier(labelCol=label, featuresCol="features", impurity="gini", seed=42,
-                                maxBins=64, **TREE_SPEED)
-    grid = (ParamGridBuilder()
-            .addGrid(rf.numTrees, list(trees))
-            .addGrid(rf.maxDepth, [30 if d is None else d for d in depths])
-            .addGrid(rf.featureSubsetStrategy, [sklearn_subset(m, p) for m in max_features])
-            .build())
-    evaluator = MulticlassClassificationEvaluator(labelCol=label, metricName="fMeasureByLabel",
-                                                  metricLabel=1.0)
-    # written once to the shared checkpoint folder: every fold of every
-    # setting reads these files instead of recomputing the input plan
+    evaluator = MulticlassClassificationEvaluator(labelCol=label, metricName="fMeasureByLabel", metricLabel=1.0)
     data = stratified_folds(train, label, key, folds).checkpoint(eager=True)
-    cv = CrossValidator(estimator=Pipeline(stages=[prep, rf]), estimatorParamMaps=grid, evaluator=evaluator,
-                        numFolds=folds, foldCol="fold", parallelism=parallelism, seed=42)
-    model = cv.fit(data)
-    rows = []
-    for params, score in zip(grid, model.avgMetrics):
-        named = {p_.name: v for p_, v in params.items()}
-        rows.append((int(named["numTrees"]), int(named["maxDepth"]), str(named["featureSubsetStrategy"]),
-                     float(score)))
-    return model, rows
+    named = [(t, d, m) for t in trees for d in depths for m in max_features]
+    resolved = list(dict.fromkeys((t, d, sklearn_subset(m, p)) for t, d, m in named))
+    scores: dict[tuple, list[float]] = {r: [] for r in resolved}
+    for f in range(folds):
+        stage = prep.fit(data.where(F.col("fold") != f))
+        vectors = stage.transform(data).select(key, label, "fold", "features").checkpoint(eager=True)
+        seen, unseen = vectors.where(F.col("fold") != f), vectors.where(F.col("fold") == f)
+
+        def score(setting, seen=seen, unseen=unseen):
+            t, d, subset = setting
+            rf = RandomForestClassifier(labelCol=label, featuresCol="features", impurity="gini", seed=42, numTrees=t,
+                                        maxDepth=30 if d is None else d, featureSubsetStrategy=subset,
+                                        maxBins=max_bins, **TREE_SPEED)
+            return setting, evaluator.evaluate(rf.fit(seen).transform(unseen))
+
+        with ThreadPoolExecutor(max_workers=parallelism) as pool:
+            for setting, value in pool.map(score, resolved):
+                scores[setting].append(value)
+    rows = [(t, d, m, float(sum(v := scores[(t, d, sklearn_subset(m, p))]) / len(v))) for t, d, m in named]
+    best = max(range(len(rows)), key=lambda i: (rows[i][3], -i))
+    return rows, rows[best][:3]
 
 
 def oob_score(data: DataFrame, label: str, key: str, trees: int = 100, max_depth: int | None = None,
-              max_features: str = "sqrt", p: int = 1, parallelism: int = 8) -> DataFrame:
+              max_features: str = "sqrt", p: int = 1, parallelism: int = 8, max_bins: int = MAX_BINS) -> DataFrame:
     """Out-of-bag accuracy of a forest built from explicit bootstrap weights.
 
     Tree t sees row r with weight Poisson(1) drawn from md5(r, t); rows with
@@ -211,15 +217,15 @@ def oob_score(data: DataFrame, label: str, key: str, trees: int = 100, max_depth
     """
     def poisson_weight(t: int):
         u = fe.md5_unit(F.col(key), F.lit(f"t{t}"))
-        # inverse CDF of Poisson(1) on u; P(X > 8) < 1e-6 is folded into 8
-        cdf, expr, acc, fact = [], None, 0.0, 1.0
-        for k_ in range(9):
-            if k_ > 0:
-                fact *= k_
-            acc += math.exp(-1.0) / fact
+        # inverse CDF of Poisson(1) on u, as far as doubles tell it from 1
+        cdf, acc, term, k_ = [], 0.0, math.exp(-1.0), 0
+        while acc + term > acc and acc < 1.0:
+            acc += term
             cdf.append(acc)
-        expr = F.lit(8.0)
-        for k_ in reversed(range(8)):
+            k_ += 1
+            term /= k_
+        expr = F.lit(float(len(cdf)))
+        for k_ in reversed(range(len(cdf))):
             expr = F.when(u < F.lit(cdf[k_]), F.lit(float(k_))).otherwise(expr)
         return expr
 
@@ -228,7 +234,7 @@ def oob_score(data: DataFrame, label: str, key: str, trees: int = 100, max_depth
         rf = RandomForestClassifier(labelCol=label, featuresCol="features", numTrees=1, bootstrap=False,
                                     maxDepth=30 if max_depth is None else max_depth,
                                     featureSubsetStrategy=sklearn_subset(max_features, p), seed=42 + t,
-                                    weightCol="__w", maxBins=64, **TREE_SPEED)
+                                    weightCol="__w", maxBins=max_bins, **TREE_SPEED)
         model = rf.fit(w.filter(F.col("__w") > 0))
         oob = w.filter(F.col("__w") == 0)
         return model.transform(oob).select(key, label, vector_to_array("probability")[1].alias("p1"))

@@ -122,8 +122,9 @@ def validate_response(raw: Column | str) -> Column:
     """Struct(valid, answer, sources, confidence) of a JSON response text.
 
     Valid when the text parses to an object with a string ``answer``, an
-    array of strings ``sources`` and a ``confidence`` in [0, 1] given as a
-    number or a numeric string.  ``from_json`` would accept a number as the
+    array of strings ``sources`` (empty allowed, null elements not) and a
+    ``confidence`` in [0, 1] given as a number or a numeric string (a
+    boolean is none).  ``from_json`` would accept a number as the
     answer and a missing field as null, so the types are read from a
     variant instead.
     """
@@ -132,7 +133,9 @@ def validate_response(raw: Column | str) -> Column:
     is_obj = F.coalesce(F.schema_of_variant(v).startswith("OBJECT"), F.lit(False))
     ans_ok = F.coalesce(kind("$.answer") == "STRING", F.lit(False))
     src_kind = kind("$.sources")
-    src_ok = F.coalesce(src_kind.isin("ARRAY<STRING>", "ARRAY<VOID>"), F.lit(False))
+    items = F.try_variant_get(v, "$.sources", "array<variant>")
+    every = F.forall(items, lambda x: F.coalesce(F.schema_of_variant(x) == "STRING", F.lit(False)))
+    src_ok = F.coalesce(src_kind.startswith("ARRAY") & every, F.lit(False))
     conf_kind = kind("$.confidence")
     conf = F.when(conf_kind.rlike(_NUMERIC) | (conf_kind == "STRING"),
                   F.try_variant_get(v, "$.confidence", "double"))

@@ -109,7 +109,7 @@ def q_tree_table(spark, sf_dir):
 def _smote_train(pr: Prepared) -> DataFrame:
     arr = pr.train.withColumn("fa", vector_to_array("features"))
     synth = fe.smote(arr, LABEL, "passenger_id", "fa", minority=1, k=5)
-    extra = synth.select((-F.col("parent") * 100000 - F.col("copy")).alias("passenger_id"),
+    extra = synth.select((-F.col("copy")).alias("passenger_id"),
                          F.col(LABEL).cast("int").alias(LABEL), array_to_vector("fa").alias("features"))
     return pr.train.unionByName(extra)
 
@@ -145,22 +145,34 @@ def q_cv_folds(spark, sf_dir):
     return md.stratified_folds(train, LABEL, "passenger_id").select("passenger_id", LABEL, "fold")
 
 
+_GRIDS: dict[tuple, tuple] = {}
+
+
+def _grid(spark, sf_dir) -> tuple:
+    """Rows and winner of the grid over the training rows; one search per application and folder."""
+    at = (spark.sparkContext.applicationId, sf_dir)
+    if at not in _GRIDS:
+        pr = Prepared(spark, sf_dir)
+        _GRIDS[at] = md.grid_search(pr.train_raw, LABEL, md.FeaturePrep(numeric=NUMERIC, categorical=CATEGORICAL),
+                                    pr.p, key="passenger_id")
+    return _GRIDS[at]
+
+
 @query("grid_search_cv")
 def q_grid_search_cv(spark, sf_dir):
-    pr = Prepared(spark, sf_dir)
-    _, rows = md.grid_search(pr.train_raw, LABEL, md.FeaturePrep(numeric=NUMERIC, categorical=CATEGORICAL),
-                             pr.p, key="passenger_id")
-    df = spark.createDataFrame(rows, "n_estimators int, max_depth int, max_features string, mean_f1 double")
-    best = rel.argmax_row(df, "mean_f1", ["n_estimators", "max_depth", "max_features"])
-    return df.join(best.select("n_estimators", "max_depth", "max_features", F.lit(True).alias("best")),
-                   ["n_estimators", "max_depth", "max_features"], "left") \
-        .withColumn("best", F.coalesce("best", F.lit(False)))
+    rows, best = _grid(spark, sf_dir)
+    return spark.createDataFrame([(*r, r[:3] == best) for r in rows],
+                                 "n_estimators int, max_depth int, max_features string, mean_f1 double, best boolean")
 
 
 @query("oob_score")
 def q_oob_score(spark, sf_dir):
+    """Out-of-bag score of the setting that wins the grid."""
     pr = Prepared(spark, sf_dir)
-    return md.oob_score(pr.train, LABEL, "passenger_id", trees=100, max_depth=5, max_features="sqrt", p=pr.p)
+    _, (trees, depth, features) = _grid(spark, sf_dir)
+    out = md.oob_score(pr.train, LABEL, "passenger_id", trees=trees, max_depth=depth, max_features=features, p=pr.p)
+    return out.select(F.lit(trees).alias("n_estimators"), F.lit(depth).cast("int").alias("max_depth"),
+                      F.lit(features).alias("max_features"), "oob_score", "rows_with_oob")
 
 
 def _regression(spark, sf_dir):
@@ -210,8 +222,7 @@ def q_select_and_persist(spark, sf_dir):
     a = whole.transform(pr.test_raw).select(*cols).withColumn("probability", vector_to_array("probability"))
     b = reloaded.transform(pr.test_raw).select(*cols).withColumn("probability", vector_to_array("probability"))
     eq = rel.frames_equal(a, b)
-    return eq.select(F.lit(best).alias("best_model"), F.lit(path).alias("saved_to"),
-                     F.col("equal").alias("predictions_match"), "left_rows")
+    return eq.select(F.lit(best).alias("best_model"), F.col("equal").alias("predictions_match"), "left_rows")
 
 
 @query("expect_same_predictions", an._with("""

@@ -11,16 +11,24 @@ from pyspark.sql import types as T
 from lanthorn.functions import text as tx
 
 
+_CSV = {"header": True, "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False, "quote": '"', "escape": '"'}
+
+
 def write_csv(df: DataFrame, path: str) -> str:
-    """Header row, no index column; replaces what is at ``path``."""
-    df.write.mode("overwrite").option("header", True).csv(path)
+    """Header row, no index column; replaces what is at ``path``.
+
+    Cells keep their blanks, quotes and line breaks; null and the empty
+    string are both written as an empty cell.
+    """
+    df.write.mode("overwrite").options(**_CSV).option("emptyValue", "").csv(path)
     return path
 
 
 def read_csv(spark: SparkSession, path: str, schema: T.StructType | str | None = None) -> DataFrame:
     """Header CSV; an empty cell is null.  Pass a schema: inference costs a
-    full extra pass and guesses types per file."""
-    reader = spark.read.option("header", True).option("mode", "FAILFAST")
+    full extra pass and guesses types per file.  Quoted cells may hold line
+    breaks, so a file is read by one task: keep files small."""
+    reader = spark.read.options(**_CSV).option("multiLine", True).option("mode", "FAILFAST")
     if schema is not None:
         return reader.schema(schema).csv(path)
     return reader.option("inferSchema", True).csv(path)

@@ -36,11 +36,16 @@ class Node:
         return (self.attrs.get("class") or "").split()
 
     def strings(self):
-        for ch in self.children:
-            if isinstance(ch, str):
+        """Text below the node in order; an explicit stack, as pages may nest deeply."""
+        stack = [iter(self.children)]
+        while stack:
+            ch = next(stack[-1], None)
+            if ch is None:
+                stack.pop()
+            elif isinstance(ch, str):
                 yield ch
             elif ch.tag not in ("script", "style"):
-                yield from ch.strings()
+                stack.append(iter(ch.children))
 
     def text(self, strip: bool = True) -> str:
         if strip:
@@ -51,10 +56,14 @@ class Node:
         return [s.strip() for s in self.strings() if s.strip()]
 
     def descendants(self):
-        for ch in self.children:
-            if isinstance(ch, Node):
+        stack = [iter(self.children)]
+        while stack:
+            ch = next(stack[-1], None)
+            if ch is None:
+                stack.pop()
+            elif isinstance(ch, Node):
                 yield ch
-                yield from ch.descendants()
+                stack.append(iter(ch.children))
 
 
 class _Builder(HTMLParser):

@@ -73,4 +73,5 @@ def test_quota_prefix_stops_at_third_category(spark, golden):
         "ordinal int, title string, price string, star_rating string, availability string, category string")
     assert cl.quota_prefix(raw, "category", "ordinal", 60, 3).count() == 69
     assert cl.quota_prefix(raw, "category", "ordinal", 40, 2).count() == 43
-    assert cl.quota_prefix(raw, "category", "ordinal", 70, 3).count() == 0
+    with pytest.raises(ValueError, match="never 70 clean rows"):
+        cl.quota_prefix(raw, "category", "ordinal", 70, 3)

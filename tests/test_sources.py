@@ -68,3 +68,17 @@ def test_corpus_loader(spark):
     assert rows["doc_01_chunk_01"]["text"] == "text 1" and rows["doc_02_chunk_01"]["document_id"] == "doc_02"
     with pytest.raises(FileNotFoundError):
         fs.load_corpus(spark, folder, ["doc_01.txt", "doc_03.txt"])
+
+
+def test_csv_keeps_cells_as_they_are(spark, tmp_path):
+    rows = [(1, " lead and trail "), (2, "two\nlines"), (3, 'say "hi", x'), (4, "a\\b"), (5, None), (6, "")]
+    path = fs.write_csv(spark.createDataFrame(rows, "k int, v string"), str(tmp_path / "c"))
+    got = {r.k: r.v for r in fs.read_csv(spark, path, "k int, v string").collect()}
+    assert got == {**dict(rows), 6: None}  # an empty cell is a missing value
+
+
+def test_deeply_nested_page():
+    from lanthorn.sources.html import parse
+
+    root = parse("<div>" * 5000 + "end")
+    assert root.text() == "end" and sum(1 for _ in root.descendants()) == 5000

@@ -65,3 +65,17 @@ def test_resolve_url_matches_urljoin(spark):
 def test_format_ids(spark):
     assert _one(spark, tx.format_doc_id, 3, "int") == "doc_03"
     assert _one(spark, tx.format_chunk_id, 12, "int") == "doc_12_chunk_01"
+
+
+URLS = [("http://h/a/b/c", h) for h in (
+    "x", "..", ".", "../..", "../../../x", "./../../q", "/x/../y", "/../../z", "x/./y/../z", "?u=/x/../y", "#f/../g", "x?u=/a/../b#c/../d", "",
+    "//other/a", "https://k/a/../b", "a//b", "x/", "../", "../" * 10 + "z", "x?", "mailto:me@h")]
+URLS += [("http://h", "q"), ("http://h/", "q/../r"), ("http://h/a/?p=/1/2", "x"), ("http://h/a/b?p#f", ""), ("http://h/a", "./../../q")]
+
+
+def test_resolve_url_like_urljoin(spark):
+    from urllib.parse import urljoin
+
+    df = spark.createDataFrame(URLS, "base string, href string")
+    got = [r[0] for r in df.select(tx.resolve_url("base", "href")).collect()]
+    assert got == [urljoin(b, h) for b, h in URLS]

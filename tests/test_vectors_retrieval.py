@@ -79,6 +79,9 @@ def test_validate_response_cases(spark):
         json.dumps({"answer": "a", "sources": [], "confidence": "0.5"}): True,
         json.dumps({"answer": 1, "sources": [], "confidence": 0.5}): False,
         json.dumps({"answer": "a", "sources": [1], "confidence": 0.5}): False,
+        json.dumps({"answer": "a", "sources": [None], "confidence": 0.5}): False,
+        json.dumps({"answer": "a", "sources": ["x", None], "confidence": 0.5}): False,
+        json.dumps({"answer": "a", "sources": ["x", "y"], "confidence": True}): False,
     }
     df = spark.createDataFrame([(k,) for k in cases], "raw string")
     got = {r["raw"]: r["v"]["valid"] for r in df.select("raw", rt.validate_response("raw").alias("v")).collect()}
