@@ -23,18 +23,18 @@ def _brute(q, qi, m, mi, k, exclude_self):
     return out
 
 
-def test_knn_matches_brute_force_in_blocks(spark):
+def test_knn_matches_brute_force_in_tiles(spark):
     e = read_table(spark, SF_SMALL, "embeddings")
     pdf = e.toPandas()
     mat = np.stack(pdf["embedding"].to_numpy()).astype(np.float64)
     ids = pdf["vec_id"].to_numpy()
     want = _brute(mat, ids, mat, ids, 3, True)
-    spark.conf.set("lanthorn.knn.blockBytes", str(64 * 8 * 120))  # forces several query blocks
+    spark.conf.set("lanthorn.knn.tileBytes", str(64 * 8 * 120))  # forces several tiles on both sides
     try:
         got = vx.knn(e, e, 3, "vec_id", "vec_id", "embedding", "embedding", exclude_self=True)
         rows = got.orderBy("query_id", "rank").collect()
     finally:
-        spark.conf.unset("lanthorn.knn.blockBytes")
+        spark.conf.unset("lanthorn.knn.tileBytes")
     per = {}
     for r in rows:
         per.setdefault(r["query_id"], []).append(r["neighbor_id"])
