@@ -113,18 +113,16 @@ def category_grid(df: DataFrame, row_key: str, col_key: str, value: Column,
                   name: str = "value") -> DataFrame:
     """Aggregate ``value`` for every (row_key, col_key) combination.
 
-    A bare groupBy loses empty combinations.  Pivoting on ``col_key`` makes
-    one column per distinct column value for every row value present (a
-    missing cell is null), and unpivoting gives the long form back: all
-    combinations, empty ones with a null measure.  The distinct column
-    values are bounded by ``spark.sql.pivotMaxValues``.
+    A bare groupBy loses empty combinations.  The grid is every distinct row
+    value beside the array of distinct column values (one row, as wide as
+    the grid itself), exploded; the aggregate joins it, and an empty
+    combination keeps a null measure.
     """
-    col_type = df.schema[col_key].dataType
-    wide = df.where(F.col(row_key).isNotNull() & F.col(col_key).isNotNull()) \
-        .groupBy(row_key).pivot(col_key).agg(value)
-    value_cols = [c for c in wide.columns if c != row_key]
-    long = wide.unpivot([row_key], value_cols, "__col", name)
-    return long.select(row_key, F.col("__col").cast(col_type).alias(col_key), name)
+    known = df.where(F.col(row_key).isNotNull() & F.col(col_key).isNotNull())
+    cols = known.agg(F.collect_set(col_key).alias("__cols"))
+    grid = known.select(row_key).distinct().join(F.broadcast(cols)) \
+        .select(row_key, F.explode("__cols").alias(col_key))
+    return grid.join(known.groupBy(row_key, col_key).agg(value.alias(name)), [row_key, col_key], "left")
 
 
 def argmax_row(df: DataFrame, by: str, tie_break: Sequence[str]) -> DataFrame:

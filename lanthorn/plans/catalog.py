@@ -449,6 +449,24 @@ def q_frames_equal(spark, sf_dir):
                             order=rel.join_order())
 
 
+@query("frames_differ", _with("""
+, l AS (SELECT b.book_id, b.title, b.rating, c.category_name AS category FROM books b JOIN categories c USING (category_id)),
+r AS (SELECT book_id, title, CASE WHEN book_id % 10 = 0 THEN rating + 1 WHEN book_id % 17 = 0 THEN NULL ELSE rating END AS rating,
+             category FROM l WHERE book_id % 7 <> 0
+      UNION ALL SELECT * FROM l WHERE book_id % 11 = 0)
+SELECT false AS equal, (SELECT count(*) FROM l) AS left_rows, (SELECT count(*) FROM r) AS right_rows,
+       (SELECT count(*) FROM (SELECT * FROM l EXCEPT ALL SELECT * FROM r)) AS left_only,
+       (SELECT count(*) FROM (SELECT * FROM r EXCEPT ALL SELECT * FROM l)) AS right_only""".replace("\n, l AS", ", l AS")))
+def q_frames_differ(spark, sf_dir):
+    """Planted differences: changed and nulled values, dropped rows, extra copies."""
+    books, categories = register_catalog_views(spark, sf_dir)
+    left = rel.catalog_join_df(books, categories).select("book_id", "title", "rating", "category")
+    rating = F.when(F.col("book_id") % 10 == 0, F.col("rating") + 1).when(F.col("book_id") % 17 != 0, F.col("rating"))
+    right = left.where("book_id % 7 <> 0").withColumn("rating", rating.cast(left.schema["rating"].dataType)) \
+        .unionByName(left.where("book_id % 11 = 0"))
+    return rel.frames_equal(left, right)
+
+
 @query("constraint_audit", _with("""
 SELECT 'books.book_id unique' AS rule, count(*) - count(DISTINCT book_id) AS violations FROM books
 UNION ALL SELECT 'categories.category_name unique', count(*) - count(DISTINCT category_name)

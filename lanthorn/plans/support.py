@@ -137,14 +137,21 @@ def q_answer_template(spark, sf_dir):
 
 
 # ------------------------------------------------------------------ vectors
+def checksum(vector: str):
+    """Every component of a vector in one number: the sum of component times position."""
+    weighted = F.transform(vector, lambda x, i: x.cast("double") * (i + 1))
+    return r6(F.aggregate(weighted, F.lit(0.0), lambda a, x: a + x)).alias("checksum")
+
+
 @query("vector_index", """
 SELECT e.vec_id AS key, printf('doc_%02d_chunk_01', e.vec_id) AS id, printf('doc_%02d', e.vec_id) AS document_id,
-  CAST(length(d.text) AS INTEGER) AS text_chars, CAST(len(e.embedding) AS INTEGER) AS dim
+  CAST(length(d.text) AS INTEGER) AS text_chars, CAST(len(e.embedding) AS INTEGER) AS dim, md5(d.text) AS text_md5,
+  round(list_sum([CAST(e.embedding[i] AS DOUBLE) * i FOR i IN range(1, len(e.embedding) + 1)]), 6) + 0.0 AS checksum
 FROM embeddings e LEFT JOIN documents d ON d.doc_id = e.vec_id""")
 def q_vector_index(spark, sf_dir):
     idx = index_table(spark, sf_dir)
     return idx.select("key", "id", "document_id", F.length("text").alias("text_chars"),
-                      F.size("embedding").alias("dim"))
+                      F.size("embedding").alias("dim"), F.md5("text").alias("text_md5"), checksum("embedding"))
 
 
 @query("cosine_distance", "WITH " + E_SQL + """
@@ -200,14 +207,13 @@ def q_assemble_context(spark, sf_dir):
 
 
 @query("index_upsert", "WITH " + E_SQL + """,
-u AS (SELECT vec_id, 1 AS version, v[1] AS v0 FROM e
-      UNION ALL SELECT vec_id, 2, -v[1] FROM e WHERE label = 0
-      UNION ALL SELECT vec_id + 1000000, 2, v[1] FROM e WHERE label = 1)
-SELECT vec_id, version, round(v0, 9) + 0.0 AS v0 FROM (
+u AS (SELECT vec_id, 1 AS version, v FROM e
+      UNION ALL SELECT vec_id, 2, [-x FOR x IN v] FROM e WHERE label = 0
+      UNION ALL SELECT vec_id + 1000000, 2, v FROM e WHERE label = 1)
+SELECT vec_id, version, round(list_sum([v[i] * i FOR i IN range(1, len(v) + 1)]), 6) + 0.0 AS checksum FROM (
   SELECT *, row_number() OVER (PARTITION BY vec_id ORDER BY version DESC) AS rk FROM u) WHERE rk = 1""")
 def q_index_upsert(spark, sf_dir):
-    return _upserted(spark, sf_dir).select("vec_id", "version",
-                                           r9(F.col("embedding")[0].cast("double")).alias("v0"))
+    return _upserted(spark, sf_dir).select("vec_id", "version", checksum("embedding"))
 
 
 def _upserted(spark, sf_dir) -> DataFrame:
@@ -245,13 +251,12 @@ pick AS (SELECT c.*, CAST(('0x' || substr(md5(CAST(c.vec_id AS VARCHAR) || '-' |
 s AS (SELECT p.vec_id AS parent, p.copy, p.v AS a, b.v AS b, p.u FROM pick p
       JOIN nn ON nn.query_id = p.vec_id AND nn.rank = p.rank JOIN mino b ON b.vec_id = nn.neighbor_id)
 SELECT parent, CAST(copy AS BIGINT) AS copy, 0 AS label, round(a[1] + u * (b[1] - a[1]), 9) + 0.0 AS v0,
-  round(a[2] + u * (b[2] - a[2]), 9) + 0.0 AS v1, round(a[64] + u * (b[64] - a[64]), 9) + 0.0 AS v63 FROM s""")
+  round(list_sum([(a[i] + u * (b[i] - a[i])) * i FOR i IN range(1, len(a) + 1)]), 6) + 0.0 AS checksum FROM s""")
 def q_smote(spark, sf_dir):
     e = read_table(spark, sf_dir, "embeddings").withColumn("label", (F.col("label") != 0).cast("int"))
     s = fe.smote(e, "label", "vec_id", "embedding", minority=0, k=5)
     return s.select("parent", F.col("copy").cast("long").alias("copy"), "label",
-                    r9(F.col("embedding")[0]).alias("v0"), r9(F.col("embedding")[1]).alias("v1"),
-                    r9(F.col("embedding")[63]).alias("v63"))
+                    r9(F.col("embedding")[0]).alias("v0"), checksum("embedding"))
 
 
 # ------------------------------------------------------------------ intent and routing
