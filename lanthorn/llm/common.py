@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import gc
+import time
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -29,9 +30,14 @@ def written(df: DataFrame, name: str) -> DataFrame:
 
 
 def release(spark) -> None:
-    """Let Spark drop the shuffle files of finished steps, whose results are written, before the next begins."""
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
+    """Let Spark drop the shuffle files of finished steps, whose results are written, before the next begins.
+
+    Twice, as the first round frees what Spark's event queue held until then.
+    """
+    for _ in range(2):
+        gc.collect()
+        spark.sparkContext._jvm.System.gc()
+        time.sleep(0.3)
 
 
 def count_blobs(counts, slices_: int):

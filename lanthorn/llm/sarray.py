@@ -50,7 +50,9 @@ BLOB = "kind int, bucket int, chunk bigint, names binary"
 REPLY = "kind int, bucket int, chunk bigint, bits binary"
 RESULT = "doc_id bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string, removed array<struct<s:bigint,e:bigint>>"
 TEXTS, BLOCKS, PREFIXES = 0, 1, 2
-_WIDTH = {TEXTS: 8, BLOCKS: 6, PREFIXES: 8}  # bytes of a name sent besides its bucket bits
+#: bytes of a name sent besides its bucket bits; a bucket's size is bounded, so its chance of a false match is, too:
+#: blocks may match falsely (the prefixes decide), prefixes do so with about 1e-11 per position, whatever the corpus
+_WIDTH = {TEXTS: 8, BLOCKS: 5, PREFIXES: 7}
 
 
 def cover_for(length: int) -> tuple[int, tuple[int, ...]]:
@@ -64,7 +66,7 @@ def chunks(docs: DataFrame, chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
 
     def run(batches):
         part, n = TaskContext.get().partitionId(), 0
-        squeeze = zstandard.ZstdCompressor(level=3)
+        squeeze = zstandard.ZstdCompressor(level=9)
         for b in batches:
             for x in tb.slices(b, "text", chunk_bytes):
                 ids = b.column(0).slice(x.first, x.n).to_pylist()
