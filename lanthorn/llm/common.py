@@ -41,14 +41,14 @@ def release(spark) -> None:
 
 
 def count_blobs(counts, slices_: int):
-    """Arrow rows (slice, counts) of one task's integer vector, cut into equal slices."""
+    """Arrow rows (slice, counts) of one task's vector of counts below 2^32, cut into equal slices."""
     import numpy as np
     import pyarrow as pa
 
     part = np.asarray(counts).reshape(slices_, -1)
     used = [i for i in range(slices_) if part[i].any()]
     return pa.RecordBatch.from_arrays(
-        [pa.array(used, pa.int32()), pa.array([part[i].astype("<i8").tobytes() for i in used], pa.binary())],
+        [pa.array(used, pa.int32()), pa.array([part[i].astype("<u4").tobytes() for i in used], pa.binary())],
         names=["slice", "counts"])
 
 
@@ -65,8 +65,8 @@ def summed_counts(blobs: DataFrame, size: int, slices_: int):
         total = {}
         for b in batches:
             for s, c in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
-                v = np.frombuffer(c, "<i8")
-                total[s] = total[s] + v if s in total else v.copy()
+                v = np.frombuffer(c, "<u4").astype(np.int64)
+                total[s] = total[s] + v if s in total else v
         if total:
             yield pa.RecordBatch.from_arrays(
                 [pa.array(list(total), pa.int32()), pa.array([v.tobytes() for v in total.values()], pa.binary())],

@@ -10,9 +10,10 @@ fragments, so each set falls into one segment per fragment.
    hot n-grams come last in the order and so hardly occur in the index.
 2. *Candidates without all pairs of a group.*  Equal sets are one class.  In each
    round every indexed n-gram links its classes to one hub, so a group of m classes yields m - 1
-   pairs.  Classes found connected are contracted, and n-grams whose classes all lie in
-   one component drop out.  The last round takes every remaining pair that lies in different
-   components, so no link between components can be lost.
+   pairs, and pairs met at a fair share of their prefixes are verified.  Classes found connected are
+   contracted, and n-grams whose classes all lie in one component drop out.  The last round takes every
+   remaining pair in different components whose shared prefix n-grams, counted in full, leave the
+   threshold possible, so no link between components can be lost.
 3. *Partial overlaps.*  Candidate pairs meet the segments fragment by fragment; the partial counts
    are summed per pair and compared with the exact integer rule
    ``100 * intersection >= percent * union``.
@@ -36,14 +37,17 @@ from lanthorn.llm.common import count_blobs, id_and_bytes, release, summed_count
 
 WIDTH = 4
 PERCENT = 85
-SKETCH = 1 << 18
+SKETCH = 1 << 19
 SKETCH_SLICES = 16
+LOW = 1 << 62  # only n-grams of the lowest quarter of the hash order, from which prefixes come, are sketched
 HEAT_BITS = 5
 FRAGMENTS_BITS = 3
 SLICE_BYTES = 4 << 20
-HUB_ROUNDS = 3
+HUB_ROUNDS = 2
+HUB_SHARE = 4  # a hub pair is verified if it meets at a quarter of the shorter prefix at least
 BROADCAST_IDS = 1 << 20
-PROFILE = "doc_id bigint, n_shingles bigint, set_hash bigint, prefix array<bigint>"
+SIGNATURE_BITS = 2048
+PROFILE = "doc_id bigint, n_shingles bigint, set_hash bigint, prefix array<bigint>, sig array<bigint>"
 
 
 def shingles(x: tb.Texts, width: int) -> tuple[np.ndarray, np.ndarray]:
@@ -67,7 +71,8 @@ def shingles(x: tb.Texts, width: int) -> tuple[np.ndarray, np.ndarray]:
 def ordered_sets(x: tb.Texts, width: int, heat: np.ndarray):
     """Distinct shingles of every text of a slice in the global order: (order keys, offsets)."""
     h, d = shingles(x, width)
-    key = (heat[(h & tb.U64(SKETCH - 1)).astype(np.int64)] << tb.U64(63 - HEAT_BITS)) | (h >> tb.U64(HEAT_BITS + 1))
+    hot = np.where(h < tb.U64(LOW), heat[(h & tb.U64(SKETCH - 1)).astype(np.int64)], 0).astype(tb.U64)
+    key = (hot << tb.U64(63 - HEAT_BITS)) | (h >> tb.U64(HEAT_BITS + 1))
     order = np.argsort(key)
     order = order[np.argsort(d[order].astype(np.uint16 if x.n < 65536 else np.int64), kind="stable")]
     key, d = key[order].astype(np.int64), d[order]
@@ -86,18 +91,23 @@ def ngram_heat(docs: DataFrame, width: int, text_col: str = "text") -> np.ndarra
         for b in batches:
             for x in tb.slices(b, "text", SLICE_BYTES):
                 h, _ = shingles(x, width)
+                h = h[h < tb.U64(LOW)]
                 total += np.bincount((h & tb.U64(SKETCH - 1)).astype(np.int64), minlength=SKETCH)
         yield count_blobs(total, SKETCH_SLICES)
 
     blobs = docs.select(F.col(text_col).cast("binary").alias("text")).mapInArrow(count, "slice int, counts binary")
     cells = summed_counts(blobs, SKETCH, SKETCH_SLICES)
     mean = cells.mean()
-    excess = np.maximum((cells - mean) / (4 * np.sqrt(mean) + 4), 1)
-    return np.minimum(np.log2(excess).astype(np.int64), (1 << HEAT_BITS) - 1).astype(tb.U64)
+    excess = np.maximum((cells - mean) / (2 * np.sqrt(mean) + 2), 1)
+    return np.minimum(np.log2(excess).astype(np.int64), (1 << HEAT_BITS) - 1).astype(np.uint8)
 
 
 def profiles(docs: DataFrame, heat, width: int, percent: int) -> DataFrame:
-    """Per document: set size, set hash and the indexed prefix of its set."""
+    """Per document: set size, set hash, the indexed prefix of its set, and parity bits of the set.
+
+    A bit holds the parity of the n-grams that fall on it, so two sets' bits differ in no
+    more places than the sets themselves: a bound that rules pairs out, never in.
+    """
 
     def run(batches):
         for b in batches:
@@ -111,9 +121,14 @@ def profiles(docs: DataFrame, heat, width: int, percent: int) -> DataFrame:
                 taken = rank < keep[d]
                 prefix = pa.ListArray.from_arrays(
                     pa.array(np.concatenate([[0], np.cumsum(keep)]), pa.int32()), pa.array(key[taken]))
+                bit = (tb.mix(key.astype(tb.U64)) & tb.U64(SIGNATURE_BITS - 1)).astype(np.int64)
+                odd = np.bincount(d * SIGNATURE_BITS + bit, minlength=x.n * SIGNATURE_BITS) & 1
+                sig = np.packbits(odd.astype(np.uint8)).view("<i8")
+                words = SIGNATURE_BITS // 64
+                sig = pa.ListArray.from_arrays(pa.array(np.arange(x.n + 1) * words, pa.int32()), pa.array(sig))
                 yield pa.RecordBatch.from_arrays(
-                    [b.column(0).slice(x.first, x.n), tb.long_column(n), tb.long_column(sets), prefix],
-                    names=["doc_id", "n_shingles", "set_hash", "prefix"])
+                    [b.column(0).slice(x.first, x.n), tb.long_column(n), tb.long_column(sets), prefix, sig],
+                    names=["doc_id", "n_shingles", "set_hash", "prefix", "sig"])
 
     return docs.mapInArrow(run, PROFILE)
 
@@ -184,10 +199,10 @@ def jaccard_components(docs: DataFrame, width: int = WIDTH, percent: int = PERCE
     classes = written(sets, "jaccard-classes")
 
     index = (prof.join(classes.hint("merge"), [prof.doc_id == classes.rep, prof.set_hash == classes.set_hash], "left_semi")
-             .select(F.col("doc_id").alias("rep"), F.col("n_shingles").alias("n"), F.posexplode("prefix").alias("pos", "gram")))
+             .select(F.col("doc_id").alias("rep"), F.col("n_shingles").alias("n"), F.explode("prefix").alias("gram")))
     shared = written(shared_grams(index), "jaccard-index")
     release(spark)
-    links = linked_classes(shared, base, heat, width, percent)
+    links = linked_classes(shared, prof, base, heat, width, percent)
 
     same = prof.select("doc_id", "n_shingles", "set_hash")
     known = same.join(classes.withColumnRenamed("n_shingles", "n"),
@@ -200,11 +215,11 @@ def jaccard_components(docs: DataFrame, width: int = WIDTH, percent: int = PERCE
 def shared_grams(index: DataFrame) -> DataFrame:
     """Index rows of n-grams that occur in two classes at least, most n-grams occurring in one only."""
     seen = Window.partitionBy("gram").orderBy("rep")
-    ends = index.select("gram", "rep", "n", "pos", F.lag("rep").over(seen).alias("before"), F.lead("rep").over(seen).alias("after"))
-    return ends.where("before is not null or after is not null").select("gram", "rep", "n", "pos")
+    ends = index.select("gram", "rep", "n", F.lag("rep").over(seen).alias("before"), F.lead("rep").over(seen).alias("after"))
+    return ends.where("before is not null or after is not null").select("gram", "rep", "n")
 
 
-def linked_classes(shared: DataFrame, base: DataFrame, heat, width: int, percent: int) -> DataFrame:
+def linked_classes(shared: DataFrame, prof: DataFrame, base: DataFrame, heat, width: int, percent: int) -> DataFrame:
     """(node, root) of every linked class; each turn's shuffle files are released before the next."""
     spark = shared.sparkSession
     segs = links = roots = tested = None
@@ -214,7 +229,7 @@ def linked_classes(shared: DataFrame, base: DataFrame, heat, width: int, percent
             open_ = written(still_open(open_, roots), "jaccard-open")
             if open_.isEmpty():
                 break
-        pairs = written(candidates(open_, turn, percent, tested), "jaccard-pairs")
+        pairs = written(near_enough(candidates(open_, turn, percent, tested), prof, percent), "jaccard-pairs")
         release(spark)
         segs = segments_of(pairs, segs, base, heat, width)
         found = written(verified(pairs, segs, percent), "jaccard-links")
@@ -238,23 +253,35 @@ def candidates(rows: DataFrame, turn: int, percent: int, tested: DataFrame | Non
     """Untested pairs (a, b, na, nb) that may reach the threshold: with a hub per n-gram, in the last turn all across components."""
     if turn < HUB_ROUNDS:
         order = F.col("rep") if turn == 0 else F.xxhash64("rep", F.lit(turn))
-        hubs = rows.groupBy("gram").agg(F.min(F.struct(order.alias("o"), "rep", "n", "pos", "root")).alias("hub"))
+        hubs = rows.groupBy("gram").agg(F.min(F.struct(order.alias("o"), "rep", "n", "root")).alias("hub"))
         pairs = (rows.join(hubs, "gram").where("root <> hub.root")
-                 .selectExpr("rep as x", "n as nx", "pos as px", "hub.rep as y", "hub.n as ny", "hub.pos as py"))
+                 .selectExpr("rep as x", "n as nx", "hub.rep as y", "hub.n as ny"))
+    else:
+        one = rows.selectExpr("gram", "rep as x", "n as nx", "root as rx")
+        other = rows.selectExpr("gram", "rep as y", "n as ny", "root as ry")
+        pairs = one.join(other, "gram").where(f"x < y and rx <> ry and 100 * least(nx, ny) >= {percent} * greatest(nx, ny)")
+    pairs = pairs.selectExpr("least(x, y) as a", "greatest(x, y) as b", "if(x < y, nx, ny) as na", "if(x < y, ny, nx) as nb")
+    pairs = pairs.where(f"100 * least(na, nb) >= {percent} * greatest(na, nb)").groupBy("a", "b", "na", "nb").agg(
+        F.count("*").alias("met"))
+    beyond = lambda n: f"cast(({percent} * {n} + 99) div 100 - 1 as bigint)"  # noqa: E731  n-grams after the prefix
+    if turn < HUB_ROUNDS:
+        pairs = pairs.where(f"{HUB_SHARE} * met >= least(na - {beyond('na')}, nb - {beyond('nb')})")
     else:
-        one = rows.selectExpr("gram", "rep as x", "n as nx", "pos as px", "root as rx")
-        other = rows.selectExpr("gram", "rep as y", "n as ny", "pos as py", "root as ry")
-        pairs = one.join(other, "gram").where("x < y and rx <> ry")
-    pairs = pairs.selectExpr(
-        "least(x, y) as a", "greatest(x, y) as b", "if(x < y, nx, ny) as na", "if(x < y, ny, nx) as nb",
-        "if(x < y, px, py) as pa", "if(x < y, py, px) as pb")
-    # sizes near enough, and enough n-grams left from the shared one on if it is the first that both have
-    pairs = pairs.where(f"100 * least(na, nb) >= {percent} * greatest(na, nb) and "
-                        f"{100 + percent} * least(na - pa, nb - pb) >= {percent} * (na + nb)")
-    pairs = pairs.select("a", "b", "na", "nb").distinct()
+        # of the set whose prefix ends first, every n-gram up to there has been met or is not shared
+        pairs = pairs.where(f"{100 + percent} * (met + greatest({beyond('na')}, {beyond('nb')})) >= {percent} * (na + nb)")
+    pairs = pairs.select("a", "b", "na", "nb")
     return pairs if tested is None else pairs.join(tested, ["a", "b"], "left_anti")
 
 
+def near_enough(pairs: DataFrame, prof: DataFrame, percent: int) -> DataFrame:
+    """Pairs whose parity bits differ in no more places than sets at the threshold may differ."""
+    left = prof.select(F.col("doc_id").alias("a"), F.col("sig").alias("sa"))
+    right = prof.select(F.col("doc_id").alias("b"), F.col("sig").alias("sb"))
+    apart = F.aggregate(F.zip_with("sa", "sb", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda t, v: t + v)
+    rows = pairs.join(left, "a").join(right, "b").where((100 + percent) * apart <= (100 - percent) * (F.col("na") + F.col("nb")))
+    return rows.select("a", "b", "na", "nb").distinct()
+
+
 def segments_of(pairs: DataFrame, segs: DataFrame | None, base: DataFrame, heat, width: int) -> DataFrame:
     """``segs`` with the segments of the pairs' sets that it lacks."""
     need = pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct()
