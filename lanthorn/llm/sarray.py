@@ -40,7 +40,7 @@ from lanthorn.llm import textbuf as tb
 from lanthorn.llm.common import id_and_bytes, release, written
 
 LENGTH = 200
-CHUNK_BYTES = 2 << 20
+CHUNK_BYTES = 1 << 20
 NAMES_PER_BUCKET = 1_500_000
 #: perfect difference sets modulo q*q + q + 1
 COVERS = {1: (0,), 3: (0, 1), 7: (0, 1, 3), 13: (0, 1, 3, 9), 31: (0, 1, 3, 8, 12, 18), 57: (0, 1, 3, 13, 32, 36, 43, 52),
@@ -66,7 +66,7 @@ def chunks(docs: DataFrame, chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
 
     def run(batches):
         part, n = TaskContext.get().partitionId(), 0
-        squeeze = zstandard.ZstdCompressor(level=9)
+        squeeze = zstandard.ZstdCompressor(level=6)
         for b in batches:
             for x in tb.slices(b, "text", chunk_bytes):
                 ids = b.column(0).slice(x.first, x.n).to_pylist()
@@ -130,8 +130,9 @@ class Chunk:
 
 def covered(n: int, start: np.ndarray, stop: np.ndarray) -> np.ndarray:
     """Which of n places lie in one of the ranges."""
-    step = np.bincount(start, minlength=n + 1) - np.bincount(stop, minlength=n + 1)
-    return np.cumsum(step[:n]) > 0
+    step = np.bincount(start, minlength=n + 1)
+    step -= np.bincount(stop, minlength=n + 1)
+    return np.cumsum(step[:n], out=step[:n]) > 0
 
 
 def split(names: np.ndarray, buckets: int):
