@@ -11,12 +11,26 @@ from pyspark.sql import functions as F
 from lanthorn.session import ensure_checkpoint_dir, scratch_path
 
 
+BATCH_ROWS = 1000
+
+
+def small_batches(spark) -> None:
+    """Keep the Arrow batches that cross to Python small: they hold whole texts, at most ``BATCH_ROWS`` of them."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    now = int(spark.conf.get(name, "10000"))
+    if now <= 0 or now > BATCH_ROWS:
+        spark.conf.set(name, str(BATCH_ROWS))
+
+
 def id_and_bytes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id BIGINT, text BINARY) and nothing else, so no extra column can clash."""
+    small_batches(docs.sparkSession)
     return docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).cast("binary").alias("text"))
 
 
 def id_and_text(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(doc_id BIGINT, text STRING) and nothing else."""
+    small_batches(docs.sparkSession)
     return docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
 
 

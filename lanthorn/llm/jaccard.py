@@ -42,7 +42,7 @@ SKETCH_SLICES = 16
 LOW = 1 << 62  # only n-grams of the lowest quarter of the hash order, from which prefixes come, are sketched
 HEAT_BITS = 5
 FRAGMENTS_BITS = 3
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 1 << 20
 HUB_ROUNDS = 2
 HUB_SHARE = 4  # a hub pair is verified if it meets at a quarter of the shorter prefix at least
 BROADCAST_IDS = 1 << 20

@@ -28,7 +28,7 @@ SMOOTHING = 5.0
 THRESHOLD = -0.16
 MIN_WORDS = 50
 MAX_REPEAT_PERCENT = 50
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 1 << 20
 COUNT_SLICES = 32
 SYMBOLS = np.zeros(256, dtype=bool)
 SYMBOLS[list(b"#*$%&|<>")] = True
