@@ -103,10 +103,6 @@ def feature_names(df: DataFrame, col: str = "features") -> list[str]:
     return [a["name"] for a in sorted(attrs, key=lambda a: a["idx"])]
 
 
-def feature_count(model: PipelineModel, sample: DataFrame, col: str = "features") -> int:
-    return len(feature_names(model.transform(sample.limit(1)), col))
-
-
 def sklearn_subset(strategy: str, p: int) -> str:
     """scikit-learn rounds sqrt/log2 feature counts down; Spark rounds up."""
     if strategy == "sqrt":
@@ -173,6 +169,8 @@ def grid_search(train: DataFrame, label: str, prep: FeaturePrep, p: int,
                 parallelism: int = 4, max_bins: int = MAX_BINS):
     """Cross-validated grid of forests: (rows, best setting).
 
+    The defaults of ``trees``, ``depths``, ``max_features`` and ``folds`` are fixed values of the reference grid.
+
     Rows are (trees, depth, max_features, mean F1 of class 1), one per named
     setting; depth ``None`` is unbounded.  The feature stage is fitted once per
     fold and its vectors are written once; settings that resolve to the same

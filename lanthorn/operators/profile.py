@@ -69,6 +69,7 @@ def missing_report(df: DataFrame, only_missing: bool = True) -> DataFrame:
     return long.orderBy(F.col("missing_percentage").desc(), "column")
 
 
+# Fixed output values: the policy sentences of the missing-value report.
 DROP_ROWS = "Drop rows containing missing values"
 MEDIAN = "Impute using median"
 MODE = "Impute using mode"
@@ -212,6 +213,7 @@ def skew_by_order(df: DataFrame, col: str) -> DataFrame:
     med = exact_quantiles(df, [col], [0.5]).select("column", F.col("quantile").alias("median"))
     mode = modes(df, [col]).select("column", F.col("mode").cast("double").alias("mode"))
     row = mean.withColumn("column", F.lit(col)).join(med, "column").join(mode, "column")
+    # fixed output values: the three distribution labels
     label = (F.when((F.col("mean") > F.col("median")) & (F.col("median") > F.col("mode")),
                     F.lit("right-skewed"))
              .when((F.col("mean") < F.col("median")) & (F.col("median") < F.col("mode")),

@@ -14,10 +14,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def _rule(name: str, violations) -> tuple[str, object]:
-    return name, violations
-
-
 def _as_row(name: str, agg_df: DataFrame) -> DataFrame:
     return agg_df.select(F.lit(name).alias("rule"), F.col("violations").cast("long"))
 
