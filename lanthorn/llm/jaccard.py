@@ -42,7 +42,7 @@ SKETCH_SLICES = 16
 LOW = 1 << 62  # only n-grams of the lowest quarter of the hash order, from which prefixes come, are sketched
 HEAT_BITS = 5
 FRAGMENTS_BITS = 3
-SLICE_BYTES = 1 << 20
+SLICE_BYTES = 1 << 19
 HUB_ROUNDS = 2
 HUB_SHARE = 4  # a hub pair is verified if it meets at a quarter of the shorter prefix at least
 BROADCAST_IDS = 1 << 20
@@ -122,8 +122,10 @@ def profiles(docs: DataFrame, heat, width: int, percent: int) -> DataFrame:
                 prefix = pa.ListArray.from_arrays(
                     pa.array(np.concatenate([[0], np.cumsum(keep)]), pa.int32()), pa.array(key[taken]))
                 bit = (tb.mix(key.astype(tb.U64)) & tb.U64(SIGNATURE_BITS - 1)).astype(np.int64)
-                odd = np.bincount(d * SIGNATURE_BITS + bit, minlength=x.n * SIGNATURE_BITS) & 1
-                sig = np.packbits(odd.astype(np.uint8)).view("<i8")
+                place, times = np.unique(d * SIGNATURE_BITS + bit, return_counts=True)
+                odd = np.zeros(x.n * SIGNATURE_BITS, dtype=np.uint8)
+                odd[place[times & 1 == 1]] = 1
+                sig = np.packbits(odd).view("<i8")
                 words = SIGNATURE_BITS // 64
                 sig = pa.ListArray.from_arrays(pa.array(np.arange(x.n + 1) * words, pa.int32()), pa.array(sig))
                 yield pa.RecordBatch.from_arrays(
