@@ -14,6 +14,10 @@ from lanthorn.llm.q_pieces import digest
 from lanthorn.llm.quality_rules import drop_rejected, fit_ratio
 from lanthorn.session import read_table, spread
 
+#: near duplicates: Jaccard similarity of the sets of five-word shingles, in percent, from which two texts are linked
+SHINGLE_WORDS = 5
+SIMILAR_PERCENT = 80
+
 
 def quality_rules(spark, docs, sf_dir):
     """Documents that the base rules or the log-likelihood ratio reject go."""
@@ -23,7 +27,7 @@ def quality_rules(spark, docs, sf_dir):
 
 def near_duplicates(spark, docs, sf_dir):
     """One document of each component of the n-gram Jaccard join stays, that of the smallest id."""
-    return one_per_component(docs)
+    return one_per_component(docs, width=SHINGLE_WORDS, percent=SIMILAR_PERCENT)
 
 
 def personal_data(spark, docs, sf_dir):

@@ -9,7 +9,7 @@ import public_tokenizers
 import sentencepiece
 from llm_cases import prose
 from test_llm_models import base_spans
-from test_llm_text import brute_components, brute_rules
+from test_llm_text import brute_components, brute_rules, shingle_set
 
 import corpus_pipeline
 from lanthorn.llm import mixing, quality_rules
@@ -52,6 +52,32 @@ def test_pipeline_equals_its_stages_by_hand(spark, tmp_path):
     assert sorted((r.doc_id, r.n_chars, r.n_pieces) for r in got) == want and all(r.round_trip for r in got)
 
 
+def similarity(a, b, width):
+    x, y = shingle_set(a, width), shingle_set(b, width)
+    return 100 * len(x & y) / len(x | y)
+
+
+def test_near_duplicates_are_five_words_at_80_percent(spark, tmp_path):
+    """Copies with scattered edits, an appended block or a cut that four words at 85 % would keep."""
+    docs, want = [], []
+    for k, edits in enumerate((11, 12, 13, 14, 16)):
+        words = prose(500 + k, 600).split()
+        changed = [f"edit{i}" if i % (600 // edits) == 20 and i // (600 // edits) < edits else w for i, w in enumerate(words)]
+        docs += [(10 * k, " ".join(words)), (10 * k + 1, " ".join(changed))]
+    for k, share in enumerate((78, 81, 83, 86)):
+        words = prose(600 + k, 400).split()
+        docs += [(100 + 10 * k, " ".join(words)), (101 + 10 * k, " ".join(words[: 4 * share]))]
+        docs += [(200 + 10 * k, " ".join(words[::-1])), (201 + 10 * k, " ".join(words[::-1] + prose(700 + k, 400 * (100 - share) // share).split()))]
+    between = 0
+    for (i, a), (j, b) in zip(docs[::2], docs[1::2]):
+        want += [i] if similarity(a, b, 5) >= 80 else [i, j]
+        between += similarity(a, b, 5) >= 80 and similarity(a, b, 4) < 85
+    assert between >= 5 and len(want) > len(docs) // 2
+    table = spark.createDataFrame([(i, t, "en", "s", 0) for i, t in docs], "doc_id bigint, text string, lang string, source string, n_chars bigint")
+    got = dict(corpus_pipeline.STAGES)["n-gram Jaccard join"](spark, table, str(tmp_path))
+    assert sorted(r.doc_id for r in got.collect()) == sorted(want)
+
+
 def test_stages_return_the_columns_of_documents(spark, tmp_path):
     table = spark.createDataFrame([], "doc_id bigint, text string, lang string, source string, n_chars bigint")
     spark.createDataFrame([], "doc_id bigint, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
