@@ -4,12 +4,16 @@
 phone number), leftmost and non-overlapping per kind.  A text split by a pattern and the
 pattern's matches interleave, so running lengths give every match its place.
 
-*Bootstrapping.*  Identifier-like tokens (seven digits or more, or an at-sign) are instances; a
-token inside a base match is a seed.  An instance's pattern is its shape (digits and letters folded)
-with the word before it, and with the word after it.  Scores go round the pattern-instance graph:
+*Bootstrapping.*  Identifier-like tokens (seven digits or more, four dotted numbers, or an at-sign) and runs of
+digit groups set apart by blanks (seven digits or more together) are instances; one that meets a base match is a seed.
+An instance's patterns hold the word before it, or the word after it, on two levels: with its shape (each digit
+and letter folded), and with its class alone (mail, dotted address, number of any grouping, else the shape with runs
+folded), so seeds of all lengths and groupings speak for one word.  Each level is scored by itself, round its
+pattern-instance graph:
 a pattern scores the mean of its distinct instances (one doubtful instance added), an instance that
 is no seed the mean of its patterns.  Patterns that end above ``CONFIDENCE`` with ``SUPPORT`` distinct seeds or
-more are trusted, and tokens with a trusted pattern outside all base matches become spans of kind ``ctx``.
+more are trusted, and instances with a trusted pattern outside all base matches become spans of kind ``ctx``
+(of a span inside another only the outer one stays).
 
 Defined cases: null text counts as empty and has no spans; repeated rows each get their spans; an empty
 table gives an empty result; without seeds nothing is added; extra columns are not read; null ids are
@@ -33,9 +37,16 @@ PATTERNS = {
 }
 _PART = r"0*(?:[0-9]{1,2}|1[0-9]{2}|2[0-4][0-9]|25[0-5])"
 TOKEN = r"\S*[0-9@]\S*"
+#: digit groups set apart by blanks; each ends at a blank, the end or closing marks (possessive, so no deep recursion)
+_DIGITS = r"[0-9]++(?:[().+-]++[0-9]++)*+"
+_GROUP = rf"(?:\(\+?+{_DIGITS}\)|{_DIGITS})(?![^\s.,;:!?)\]}}>\"'])"
+RUN = rf"(?<![^\s(\[{{<\"'])\+?+{_GROUP}(?:\x20++{_GROUP})++"
 OPENING, CLOSING = r"^[(\[{<\"']+", r"[.,;:!?)\]}>\"']+$"
 CONTEXT_CHARS = 60
 MIN_DIGITS = 7
+DOTTED = r"^[0-9]{1,3}(?:\.[0-9]{1,3}){3}$"
+#: classes of instances; any other is its shape with runs of letters and of digits folded to one
+CLASSES = {"mail": r"^[^@/]+@[^@/]+$", "dotted": DOTTED, "number": r"^[0-9\x20()+./-]+$"}
 ROUNDS = 3
 CONFIDENCE = 0.8
 SUPPORT = 4
@@ -86,9 +97,11 @@ def _spans(kind: str, text: Column) -> Column:
     return F.when(text.rlike(needs), found).otherwise(none)
 
 
-def _candidates(text: Column) -> Column:
-    """Array of identifier-like tokens with the words beside them (digits folded, lower case)."""
-    pieces, tokens = F.split(text, TOKEN, -1), F.regexp_extract_all(text, F.lit(TOKEN), F.lit(0))
+def _candidates(text: Column, pattern: str, needs: str) -> Column:
+    """Array of identifier-like matches, tokens without the marks around them, with the words beside (digits folded, lower case)."""
+    opening = (lambda m: F.regexp_replace(m, OPENING, "")) if pattern == TOKEN else (lambda m: m)
+    closing = (lambda m: F.regexp_replace(m, CLOSING, "")) if pattern == TOKEN else (lambda m: m)
+    pieces, tokens = F.split(text, pattern, -1), F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
     zipped = F.arrays_zip(pieces.alias("p"), tokens.alias("m"), F.slice(pieces, F.lit(2), F.size(pieces)).alias("q"))
     none = F.array().cast(CANDIDATES)
     fold = lambda w: F.regexp_replace(F.lower(w), r"[0-9]", "9")
@@ -96,27 +109,28 @@ def _candidates(text: Column) -> Column:
     def step(a, x):
         m = F.coalesce(x["m"], F.lit(""))
         begin = a["at"] + F.length(x["p"])
-        core = F.regexp_replace(F.regexp_replace(m, OPENING, ""), CLOSING, "")
-        start = begin + F.length(m) - F.length(F.regexp_replace(m, OPENING, ""))
+        core = closing(opening(m))
+        start = begin + F.length(m) - F.length(opening(m))
         before = F.regexp_extract(F.right(x["p"], F.lit(CONTEXT_CHARS)), r"(\S+)\s*$", 1)
         left = F.when(before == "", a["before"]).otherwise(before)
         right = F.regexp_extract(F.left(x["q"], F.lit(CONTEXT_CHARS)), r"^\s*(\S+)", 1)
         one = F.array(F.struct(start.cast("int").alias("s"), (start + F.length(core)).cast("int").alias("e"), F.lower(core).alias("value"),
                                fold(left).alias("left"), fold(right).alias("right")))
-        wanted = (F.length(_digits(core)) >= MIN_DIGITS) | (F.contains(core, F.lit("@")) & (F.length(core) > 2))
-        return F.struct((begin + F.length(m)).alias("at"), m.alias("before"),
+        wanted = (F.length(_digits(core)) >= MIN_DIGITS) | (F.contains(core, F.lit("@")) & (F.length(core) > 2)) | core.rlike(DOTTED)
+        return F.struct((begin + F.length(m)).alias("at"), F.regexp_extract(m, r"(\S*)$", 1).alias("before"),
                         F.when(wanted, F.concat(a["out"], one)).otherwise(a["out"]).alias("out"))
 
     start = F.struct(F.lit(0).alias("at"), F.lit("").alias("before"), none.alias("out"))
-    return F.when(text.rlike("[0-9@]"), F.aggregate(zipped, start, step, lambda a: a["out"])).otherwise(none)
+    return F.when(text.rlike(needs), F.aggregate(zipped, start, step, lambda a: a["out"])).otherwise(none)
 
 
 def scanned(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, h, base, found) per document, written once: base spans and candidate tokens; no text."""
+    """(doc_id, h, base, found) per document, written once: base spans, candidate tokens and runs; no text."""
     rows = id_and_text(docs, id_col, text_col).withColumn("text", F.coalesce("text", F.lit("")))
     text = F.col("text")
     base = F.concat(*[_spans(k, text) for k in PATTERNS])
-    rows = rows.select("doc_id", F.xxhash64("text").alias("h"), F.array_sort(base).alias("base"), _candidates(text).alias("found"))
+    rows = rows.select("doc_id", F.xxhash64("text").alias("h"), F.array_sort(base).alias("base"),
+                       F.concat(_candidates(text, TOKEN, "[0-9@]"), _candidates(text, RUN, r"[0-9]\)?\x20+\(?[0-9]")).alias("found"))
     return written(rows, "pii-scan")
 
 
@@ -140,14 +154,32 @@ def contextual(scan: DataFrame) -> DataFrame:
     rows = scan.where(F.size("found") > 0).select("doc_id", "h", "base", F.explode("found").alias("t"))
     inside = F.exists("base", lambda b: (b["s"] < F.col("t.e")) & (F.col("t.s") < b["e"]))
     shape = F.regexp_replace(F.regexp_replace(F.col("t.value"), r"\p{L}", "a"), r"[0-9]", "9")
-    rows = rows.select("doc_id", "h", "t.s", "t.e", "t.value", inside.cast("int").alias("seed"),
-                       F.explode(F.array(F.concat_ws("\u0001", F.lit("L"), "t.left", shape),
-                                         F.concat_ws("\u0001", F.lit("R"), "t.right", shape))).alias("pattern"))
+    kind = F.regexp_replace(F.regexp_replace(shape, r"a+", "a"), r"9+", "9")
+    for name, form in reversed(CLASSES.items()):
+        kind = F.when(F.col("t.value").rlike(form), F.lit(name)).otherwise(kind)
+
+    def pattern(level, side, word, form):
+        named = F.concat_ws("\u0001", F.lit(level), F.lit(side), word, form)
+        # without the shape, the start or end of the text is no context
+        return F.struct(F.lit(level).alias("level"), (F.when(F.col(word) != "", named) if level == "class" else named).alias("name"))
+
+    beside = [pattern(level, side, word, form) for level, form in (("shape", shape), ("class", kind))
+              for side, word in (("L", "t.left"), ("R", "t.right"))]
+    rows = rows.select("doc_id", "h", "t.s", "t.e", "t.value", inside.cast("int").alias("seed"), F.explode(F.array(*beside)).alias("p"))
+    # each level has instances of its own, so neither changes the other's scores
+    rows = rows.where("p.name is not null").select(
+        "doc_id", "h", "s", "e", F.concat_ws("\u0001", "p.level", "value").alias("value"), "seed", F.col("p.name").alias("pattern"))
     rows = written(rows, "pii-tokens")
     trusted = trusted_patterns(rows.select("value", "seed", "pattern"))
     hits = rows.where("seed = 0").join(trusted, "pattern").select("doc_id", "h", "s", "e").distinct()
-    spans = F.collect_set(F.struct("s", F.lit(KINDS.index("ctx")).alias("k"), "e"))
-    return hits.groupBy("doc_id", "h").agg(spans.alias("ctx"))
+    far_first = F.array_sort(F.collect_set(F.struct("s", (-F.col("e")).alias("back"))))
+
+    def step(a, x):
+        one = F.array(F.struct(x["s"].alias("s"), F.lit(KINDS.index("ctx")).alias("k"), (-x["back"]).alias("e")))
+        return F.struct(F.greatest(a["at"], -x["back"]).alias("at"), F.when(-x["back"] > a["at"], F.concat(a["out"], one)).otherwise(a["out"]).alias("out"))
+
+    outer = F.aggregate("ctx", F.struct(F.lit(0).alias("at"), F.array().cast(SPANS).alias("out")), step, lambda a: a["out"])
+    return hits.groupBy("doc_id", "h").agg(far_first.alias("ctx")).withColumn("ctx", outer)
 
 
 def find_personal_data(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

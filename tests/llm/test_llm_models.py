@@ -55,6 +55,28 @@ def test_contexts_reach_unseen_identifiers(spark):
     assert got[50] == [(12, 4, 28)] and got[51] == [] and got[0] == [(12, 2, 28)]
 
 
+def test_contexts_reach_shapes_that_no_seed_has(spark):
+    """Seeds of all lengths speak for their word; grouped, short and unlike identifiers beside it are found, others not."""
+    hosts = ["10.0.0.1", "192.168.10.200", "8.8.8.8", "172.16.1.12", "1.2.3.40", "100.20.3.4", "9.9.9.10", "250.1.22.3"]
+    seeds = [f"write to {'x' * (i + 1)}@{'y' * (i + 2)}.org today" for i in range(8)]
+    seeds += [f"dial +1{'5' * (i % 3)}5551234{560 + i} soon" for i in range(8)] + [f"login from {h} failed" for h in hosts]
+    seeds += [f"pay by card {c} now" for c in ("4111 1111 1111 1111", "5500 0055 5555 5559", "4012888888881881", "4000-0566-5566-5556", "378282246310005", "5105 1051 0510 5100")]
+    unseen = {"write to root@localhost today": "root@localhost", "dial 5551239999 soon": "5551239999", "dial 020 7946 0958 soon": "020 7946 0958",
+              "login from 10.0.0.256 failed": "10.0.0.256", "pay by card 4111 1111 1111 1112, now": "4111 1111 1111 1112"}
+    other = ["order 20240131 of 12345678", "rows 1 2 3 4 5 6 7 8 done", "version 1.2.3.444 of it", "sum 2024 1031 55 and", "card no dial"]
+    docs = list(enumerate([*seeds, *unseen, *other]))
+    got = {r.doc_id: [(s.s, s.e) for s in r.spans if s.k == 4] for r in pii.find_personal_data(spark.createDataFrame(docs, "doc_id bigint, text string")).collect()}
+    assert got == {i: [(t.index(unseen[t]), t.index(unseen[t]) + len(unseen[t]))] if t in unseen else [] for i, t in docs}
+
+
+def test_runs_of_digit_groups_are_candidates(spark):
+    texts = ["call 020 7946 0958.", "(4111 1111 1111 1112) 5", "12 +44 20 7946 0958 x", "7 8 " * 9000 + "9x", "1111. 2222 3333 4444, 5555", "a1 22 3333 444x", "+1 (375) 555-4393, (555) 123 4567"]
+    want = [["020 7946 0958"], ["4111 1111 1111 1112"], ["+44 20 7946 0958"], ["7 8 " * 8999 + "7 8"], ["2222 3333 4444"], [], ["+1 (375) 555-4393", "(555) 123 4567"]]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string")
+    got = df.select("i", pii._candidates(pii.F.col("t"), pii.RUN, "[0-9]")["value"].alias("v")).orderBy("i").collect()
+    assert [r.v for r in got] == want
+
+
 def test_redaction_keeps_everything_else(spark):
     docs = spark.createDataFrame([(i, t, "s", 0 if t is None else len(t)) for i, t in PERSONAL], "doc_id bigint, text string, source string, n_chars bigint")
     out = pii.redact(docs, length_col="n_chars")
