@@ -7,8 +7,11 @@ the log of the language's training length (Ziv-Merhav cross entropy), and the
 least wins.
 
 Training is bounded: per language at most ``train_docs`` documents of ``train_min`` to
-``train_max`` characters, those with the smallest hash of their text, whole.  Everything
-else covers all data.  Prediction reads the text only.  Texts are parsed
+``train_max`` characters, those with the smallest hash of their text, whole.  A language with fewer of them
+is filled up with whole texts of the nearest lengths, up to as many characters in all as ``train_docs`` texts
+of middle length have (its nearest text is taken whatever its length).  Everything else covers all data.  Every letter
+of the training texts has a symbol of its own, in all scripts; edges of the most frequent symbols lie in a dense table, the
+others in a sorted list.  Prediction reads the text only.  Texts are parsed
 whole, in windows of ``WINDOW`` symbols stepped side by side (a window border ends a phrase).
 
 Defined cases: null text or one without letters is ``und`` with score 0; ties go to the language
@@ -30,7 +33,7 @@ from lanthorn.llm.textbuf import long_column
 
 WINDOW = 1024
 GROUP_CHARS = 1 << 20
-SYMBOLS = 64  # 0: anything that is no letter, 1: a letter unseen in training, 2..: training letters by frequency
+SYMBOLS = 64  # symbols of the dense table; 0: anything that is no letter, 1: a letter unseen in training, 2..: training letters by frequency
 UNDETERMINED = "und"
 SCHEMA = "doc_id bigint, held_out boolean, lang_pred string, score double"
 _letter = regex.compile(r"\p{L}")
@@ -42,10 +45,11 @@ def held_out(id_col: str = "doc_id"):
 
 
 def training_texts(docs: DataFrame, train_docs: int, train_min: int, train_max: int) -> dict[str, list[str]]:
-    """At most ``train_docs`` whole labelled texts per language (bounded, to the driver)."""
+    """At most ``train_docs`` whole labelled texts per language, or the nearest ones in length (bounded, to the driver)."""
     text = F.col("text").cast("string")
-    fit = docs.where(F.col("lang").isNotNull() & ~held_out()).where(F.length(text).between(train_min, train_max))
-    fit = fit.select(F.col("lang").cast("string").alias("lang"), text.alias("text"), F.xxhash64(text).alias("h"))
+    known = docs.where(F.col("lang").isNotNull() & ~held_out())
+    known = known.select(F.col("lang").cast("string").alias("lang"), text.alias("text"), F.xxhash64(text).alias("h"))
+    fit = known.where(F.length("text").between(train_min, train_max))
     # salted two-step selection: a task sees at most train_docs rows per language and salt
     salt = F.pmod("h", F.lit(64))
     one = Window.partitionBy("lang", "salt").orderBy("h", "text")
@@ -54,11 +58,47 @@ def training_texts(docs: DataFrame, train_docs: int, train_min: int, train_max:
     out: dict[str, list[str]] = {}
     for row in few.where(F.col("r") <= train_docs).orderBy("lang", "h").collect():
         out.setdefault(row["lang"], []).append(row["text"])
+    thin = [r["lang"] for r in known.select("lang").distinct().collect() if len(out.get(r["lang"], [])) < train_docs]
+    if thin:
+        nearest_texts(known.where(F.col("lang").isin(thin)), out, train_min, train_max, train_docs * (train_min + train_max) // 2)
     return out
 
 
-def automaton(symbols: list[int]) -> np.ndarray:
-    """Transition table of the suffix automaton of a symbol string: (states, SYMBOLS) int32, -1 where none."""
+def nearest_texts(known: DataFrame, out: dict[str, list[str]], train_min: int, train_max: int, chars: int) -> None:
+    """Add to ``out`` the whole texts nearest to the band, up to ``chars`` characters per language, one at least.
+
+    They are chosen by hash and length; only the texts of the chosen ones travel.
+    """
+    n = F.length("text")
+    far = known.where(~n.between(train_min, train_max) & F.col("text").rlike(r"\p{L}"))
+    far = far.select("lang", "h", n.alias("n"), F.greatest(train_min - n, n - train_max).alias("far")).distinct()
+    # salted two-step selection, as for the band
+    for by in (["lang", F.pmod("h", F.lit(64))], ["lang"]):
+        order = Window.partitionBy(*by).orderBy("far", "h", "n").rowsBetween(Window.unboundedPreceding, -1)
+        far = far.withColumn("before", F.coalesce(F.sum("n").over(order), F.lit(0))).where(F.col("before") < chars).drop("before")
+    total = {lang: sum(map(len, texts)) for lang, texts in out.items()}
+    full, chosen = set(), []
+    for row in far.orderBy("lang", "far", "h", "n").collect():
+        lang = row["lang"]
+        if lang not in full and (total.get(lang, 0) + row["n"] <= chars or lang not in total):
+            total[lang] = total.get(lang, 0) + row["n"]
+            chosen.append((lang, row["h"], row["n"]))
+        else:
+            full.add(lang)
+    if not chosen:
+        return
+    want = known.sparkSession.createDataFrame(chosen, "lang string, h bigint, n int")  # bounded by languages x chars
+    texts = known.withColumn("n", n).join(F.broadcast(want), ["lang", "h", "n"], "left_semi").dropDuplicates(["lang", "h", "n"])
+    found = {(r["lang"], r["h"], r["n"]): r["text"] for r in texts.collect()}
+    for key in chosen:
+        out.setdefault(key[0], []).append(found[key])
+
+
+def automaton(symbols: list[int]) -> tuple[np.ndarray, np.ndarray]:
+    """Transitions of the suffix automaton of a symbol string.
+
+    A table (states, SYMBOLS) int32, -1 where none, and rows (state, symbol, target) of the symbols from SYMBOLS on.
+    """
     nxt: list[dict[int, int]] = [{}]
     link, length = [-1], [0]
     last = 0
@@ -86,14 +126,18 @@ def automaton(symbols: list[int]) -> np.ndarray:
                 link[q] = link[cur] = clone
         last = cur
     table = np.full((len(nxt), SYMBOLS), -1, dtype=np.int32)
+    rare = []
     for s, edges in enumerate(nxt):
         for c, t in edges.items():
-            table[s, c] = t
-    return table
+            if c < SYMBOLS:
+                table[s, c] = t
+            else:
+                rare.append((s, c, t))
+    return table, np.array(rare, dtype=np.int64).reshape(-1, 3)
 
 
 class Model:
-    """Alphabet and automata of all languages, in one transition table."""
+    """Alphabet and automata of all languages, in one transition table and one list of rarer symbols' edges."""
 
     def __init__(self, texts: dict[str, list[str]]):
         self.langs = sorted(texts)
@@ -103,20 +147,42 @@ class Model:
                 for ch in t.lower():
                     if ch.isalpha():
                         count[ch] = count.get(ch, 0) + 1
-        letters = sorted(count, key=lambda c: (-count[c], c))[: SYMBOLS - 2]
-        self.code = np.ones(0x110000, dtype=np.uint8)
+        letters = sorted(count, key=lambda c: (-count[c], c))
+        self.size = max(len(letters) + 2, SYMBOLS)
+        self.code = np.ones(0x110000, dtype=np.min_scalar_type(self.size))
         self.code[[c for c in range(0x110000) if not chr(c).isalpha()]] = 0
         for i, ch in enumerate(letters):
             self.code[ord(ch)] = i + 2
-        tables, self.roots, self.norm, at = [], [], [], 0
+        tables, rares, self.roots, self.norm, at = [], [], [], [], 0
         for lang in self.langs:
             symbols = [int(s) for t in texts[lang] for s in self.encode(" " + t + " ")]
-            table = automaton(symbols)
+            table, rare = automaton(symbols)
+            rares.append(rare + np.array([at, 0, at]))
             tables.append(np.where(table >= 0, table + at, -1).astype(np.int32))
             self.roots.append(at)
             self.norm.append(np.log2(max(len(symbols), 2)))
             at += len(table)
         self.table = np.concatenate(tables) if tables else np.zeros((0, SYMBOLS), np.int32)
+        rare = np.concatenate([*rares, np.zeros((0, 3), np.int64)])
+        keys = rare[:, 0] * self.size + rare[:, 1]
+        order = np.argsort(keys)
+        # a last key that no state has ends the list, so every search lands inside
+        self.keys = np.append(keys[order], np.iinfo(np.int64).max)
+        self.targets = np.append(rare[order, 2], -1).astype(np.int32)
+        every = np.arange(self.size)
+        self.first = np.array([self.step(np.full((1, self.size), r), every, True)[0] for r in self.roots]).reshape(-1, self.size)
+
+    def step(self, state: np.ndarray, s: np.ndarray, rare: bool) -> np.ndarray:
+        """(languages, windows) states after symbols ``s``, -1 where there is no edge; ``rare``: some may lie beyond the table."""
+        if not rare:
+            return self.table[state, s]
+        to = self.table[state, np.where(s < SYMBOLS, s, 1)]  # symbol 1 has no edges
+        at = np.flatnonzero(s >= SYMBOLS)
+        if len(at):
+            key = state[:, at].astype(np.int64) * self.size + s[at]
+            place = np.searchsorted(self.keys, key)
+            to[:, at] = np.where(self.keys[place] == key, self.targets[place], -1)
+        return to
 
     def encode(self, text: str) -> np.ndarray:
         """Symbols of a lower-cased text; runs of non-letters are one symbol 0."""
@@ -137,20 +203,22 @@ class Model:
         width = np.minimum(WINDOW, size[owner] - nth * WINDOW)
         order = np.argsort(-width, kind="stable")
         start, width, owner = start[order], width[order], owner[order]
-        flat = np.concatenate([*coded, np.zeros(1, np.uint8)])
+        flat = np.concatenate([*coded, np.zeros(1, self.code.dtype)])
+        rare = int(flat.max()) >= SYMBOLS
         live = np.searchsorted(-width, -np.arange(WINDOW), side="left")  # windows longer than each step
         roots = np.array(self.roots, dtype=np.int32)[:, None]
-        first = self.table[np.array(self.roots)]  # (languages, SYMBOLS): transitions out of each root
         state = np.repeat(roots, len(start), axis=1)
         count = np.zeros(state.shape, dtype=np.int32)
         for step in range(int(width.max(initial=0))):
             n = live[step]
             s = flat[start[:n] + step]
-            to = self.table[state[:, :n], s]
+            to = self.step(state[:, :n], s, rare)
             stuck = to < 0
             count[:, :n] += stuck
-            again = first[:, s]  # a new phrase begins with this symbol; an unseen one is a phrase by itself
-            state[:, :n] = np.where(stuck, np.where(again < 0, roots, again), to)
+            again = self.first[:, s]  # a new phrase begins with this symbol; an unseen one is a phrase by itself
+            unseen = again < 0
+            count[:, :n] += unseen & (state[:, :n] != roots)
+            state[:, :n] = np.where(stuck, np.where(unseen, roots, again), to)
         count += state != roots  # the phrase that the window's end leaves open
         out = np.zeros((len(texts), len(roots)), dtype=np.int64)
         for k in range(len(roots)):
@@ -178,7 +246,7 @@ def identify(docs: DataFrame, train_docs: int = 16, train_min: int = 200, train_
     """(doc_id, held_out, lang_pred, score) of every document."""
     learn = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"), F.col(lang_col).alias("lang"))
     model = Model(training_texts(learn, train_docs, train_min, train_max))
-    shared = docs.sparkSession.sparkContext.broadcast(model)  # bounded by languages x train_docs x train_max
+    shared = docs.sparkSession.sparkContext.broadcast(model)  # bounded by languages x train_docs x train_max, or the nearest text where longer
 
     def run(batches):
         m = shared.value

@@ -167,6 +167,41 @@ def test_phrase_counts_are_longest_matches():
         assert [greedy_phrases(bytes(model.encode(t)), known) for t in texts] == counts[:, k].tolist()
 
 
+def signs(seed, first, n, words):
+    """Words of two to four letters from the ``n`` code points from ``first`` on."""
+    r = np.random.default_rng(seed)
+    return " ".join("".join(chr(first + c) for c in r.integers(0, n, r.integers(2, 5))) for _ in range(words))
+
+
+def test_every_letter_has_its_symbol():
+    texts = {"a": [prose(1, 60)], "c": [signs(1, 0x4E00, 150, 200)], "d": [signs(2, 0x4E64, 150, 200)], "r": [signs(3, 0x430, 32, 90)]}
+    model = langid.Model(texts)
+    some = [signs(4, 0x4E00, 150, 300), signs(5, 0x4E64, 150, 900), signs(6, 0x430, 32, 40) + " " + prose(7, 30), "한 zz 丁", ""]
+    counts, _ = model.phrase_counts(some)
+    for k, lang in enumerate(sorted(texts)):
+        known = "".join(map(chr, model.encode(" " + texts[lang][0] + " ") + 1000))
+        want = []
+        for t in some:
+            coded = "".join(map(chr, model.encode(t) + 1000))
+            want.append(sum(greedy_phrases(coded[i:i + langid.WINDOW], known) for i in range(0, len(coded), langid.WINDOW)))
+        assert want == counts[:, k].tolist()
+
+
+def test_languages_of_many_scripts_and_all_lengths(spark):
+    """Four big alphabets beside a Latin one; one language has only shorter texts than the band, one only longer ones, one a single one in it."""
+    make = {"en": lambda i: prose(i, 80), "ja": lambda i: signs(i, 0x4E00, 120, 80), "zh": lambda i: signs(i, 0x5E00, 120, 80),
+            "ko": lambda i: signs(i, 0xAC00, 120, 12), "ru": lambda i: signs(i, 0x430, 32, 900), "el": lambda i: signs(i, 0x3B1, 24, 80 if i == 5 else 12)}
+    docs = [(i, make[lang](i), lang) for i in range(240) for lang in [list(make)[i % 6]]]
+    assert not any(200 <= len(t) <= 2000 for _, t, lang in docs if lang in ("ko", "ru"))
+    df = spark.createDataFrame(docs, "doc_id bigint, text string, lang string")
+    got = {r.doc_id: r.lang_pred for r in langid.identify(df).collect()}
+    assert got == {i: lang for i, _, lang in docs}
+    texts = langid.training_texts(df, 16, 200, 2000)
+    whole = {t for _, t, _ in docs}
+    assert all(t in whole for parts in texts.values() for t in parts) and sum(map(len, texts["ru"])) <= 16 * 1100 and len(texts["ko"]) > 16
+    assert [len(texts[k]) for k in ("en", "ja", "zh")] == [16] * 3
+
+
 def test_language_id_on_held_out_documents(spark):
     swap = {"en": "th er on an", "fr": "eau oi é que", "de": "sch ung ei ß"}
     docs = []
