@@ -2,7 +2,7 @@
 
 import importlib
 
-_MODULES = ["q_fingerprint", "q_fptree", "q_jaccard", "q_langid", "q_merkle", "q_mix", "q_pieces", "q_pii", "q_quality_cnn", "q_quality_rules", "q_sarray", "q_tokens"]
+_MODULES = ["q_fingerprint", "q_fptree", "q_jaccard", "q_langid", "q_merkle", "q_mix", "q_pieces", "q_pii", "q_quality_cnn", "q_quality_rules", "q_sarray", "q_secret_scan", "q_tokens"]
 _loaded: tuple[dict, dict] | None = None
 
 
