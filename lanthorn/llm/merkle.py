@@ -82,12 +82,13 @@ def directory(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
                       "merkle-bitmaps")
     low, high = bitmaps.agg(F.coalesce(F.min("bucket"), F.lit(0)), F.coalesce(F.max("bucket"), F.lit(0))).first()
     levels = [bitmaps.select("grp", F.col("bucket").alias("node"), "n")]
-    while low != high:
+    while low != high and not -1 <= low <= high <= 0:
         low, high = low >> BUCKET_BITS, high >> BUCKET_BITS
         up = levels[-1].groupBy("grp", F.shiftright("node", BUCKET_BITS).alias("node")).agg(F.sum("n").alias("n"))
         levels.append(up)
-    # from the top down: a child's base is its parent's and what its smaller siblings hold
-    base = levels[-1].select("grp", "node", F.lit(0).cast("bigint").alias("base"))
+    # from the top down: a child's base is its parent's and what its smaller siblings hold; the top level is one
+    # node, or one of the negative ids and one of the others
+    base = levels[-1].withColumn("top", F.lit(0)).select("grp", "node", _before(levels[-1], "top").alias("base"))
     for level in reversed(levels[:-1]):
         child = level.withColumn("parent", F.shiftright("node", BUCKET_BITS))
         child = child.withColumn("before", _before(child, "parent")).select("grp", "node", "parent", "before")

@@ -4,9 +4,9 @@
 hexadecimal string), leftmost and non-overlapping per kind.
 
 *Models.*  Two Markov chains over characters, one of random strings and one of ordinary identifiers, are trained from
-labelled samples: the values of the base matches are random, the words of texts without a base match are
-ordinary.  Both samples are bounded, by hash order: ``SECRETS`` distinct values and the distinct words of
-``ORDINARY_TEXTS`` distinct whole texts.  Each chain counts the transitions between characters (start and digits, A-Z, a-z and
+labelled samples: the values of the base matches are random, the words that several texts without a base match
+share are ordinary (a random string hardly recurs).  Both samples are bounded, by hash order: ``SECRETS`` distinct
+values, and the distinct words of ``ORDINARY_TEXTS`` distinct whole texts that occur in ``COMMON`` of them at least.  Each chain counts the transitions between characters (start and digits, A-Z, a-z and
 the signs ``+ / _ = -``), smoothed towards the uniform chain, which alone stands for random strings where there is no base match.
 A token's score is its log-likelihood ratio, the sum over its transitions of
 log P(random) - log P(ordinary).  Tokens of 16 characters or more score as secrets from ``TOTAL`` in all and
@@ -41,6 +41,7 @@ WORD = r"[A-Za-z0-9_]++"
 ALPHABET = "0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz+/_=-"
 SECRETS = 20_000
 ORDINARY_TEXTS = 2_000
+COMMON = 2
 SMOOTHING = 0.5
 TOTAL = 12.0
 MEAN = 0.7
@@ -108,7 +109,8 @@ def trained(docs: DataFrame, scan: DataFrame, id_col: str = "doc_id", text_col:
     chosen = scan.where(F.size("base") == 0).select("h").distinct().orderBy("h").limit(ordinary_texts)
     texts = id_and_text(docs, id_col, text_col).select("text", F.xxhash64(F.coalesce("text", F.lit(""))).alias("h"))
     texts = texts.join(F.broadcast(chosen), "h", "left_semi").groupBy("h").agg(F.min("text").alias("text"))
-    words = texts.select(F.explode(F.regexp_extract_all("text", F.lit(WORD), F.lit(0))).alias("value")).distinct()
+    words = texts.select(F.explode(F.array_distinct(F.regexp_extract_all("text", F.lit(WORD), F.lit(0)))).alias("value"))
+    words = words.groupBy("value").agg(F.count("*").alias("n")).where(F.col("n") >= COMMON)
     random, ordinary = _chain(_transitions(random)), _chain(_transitions(words))
     return {pair: random[pair] - ordinary[pair] for pair in random}
 
