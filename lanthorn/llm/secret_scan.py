@@ -44,7 +44,7 @@ ORDINARY_TEXTS = 2_000
 COMMON = 2
 SMOOTHING = 0.5
 TOTAL = 12.0
-MEAN = 0.7
+MEAN = 0.5
 SPANS = "array<struct<s:int,k:int,e:int>>"
 
 

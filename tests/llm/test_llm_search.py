@@ -190,22 +190,25 @@ SECRETS = [
 ]
 
 
+TEXTS = 1000
+
+
 def secret_docs(spark):
     """Ordinary prose, base secrets in some texts, and random tokens that no base pattern meets in others."""
     r = random.Random(11)
     alphabet = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"
     table, planted = [], {}
-    for i in range(120):
-        words = prose(i, 120).split()
+    for i in range(TEXTS):
+        words = prose(i, 300).split()
         if i % 4 == 1:
-            words[60] = "token=" + "".join(r.choice(alphabet) for _ in range(24))
+            words[60] = "token=" + "".join(r.choice(alphabet) for _ in range(32))
         if i % 4 == 2:
-            planted[i] = "".join(r.choice(alphabet) for _ in range(24))
+            planted[i] = "".join(r.choice(alphabet) for _ in range(32))
             words[60] = planted[i]
         if i % 4 == 3:
             words[60] = "getCustomerAccountIdentifier"
         table.append((i, " ".join(words)))
-    table += [(1000 + i, t) for i, t in enumerate(SECRETS)]
+    table += [(TEXTS + i, t) for i, t in enumerate(SECRETS)]
     return spark.createDataFrame(table, "doc_id bigint, text string"), planted, dict(table)
 
 
@@ -224,7 +227,7 @@ def test_markov_spans_find_random_strings_and_leave_identifiers(spark):
     for doc_id, token in planted.items():
         at = texts[doc_id].index(token)
         assert got[doc_id] == [(at, at + len(token))]
-    assert all(not got[i] for i in range(120) if i not in planted)
+    assert all(not got[i] for i in range(TEXTS) if i not in planted)
 
 
 def test_ratio_column_equals_the_sum(spark):
