@@ -6,10 +6,11 @@ hexadecimal string), leftmost and non-overlapping per kind.
 *Models.*  Two Markov chains over characters, one of random strings and one of ordinary identifiers, are trained from
 labelled samples: the values of the base matches are random, the words that several texts without a base match
 share are ordinary (a random string hardly recurs).  Both samples are bounded, by hash order: ``SECRETS`` distinct
-values, and the distinct words of ``ORDINARY_TEXTS`` distinct whole texts that occur in ``COMMON`` of them at least.  Each chain counts the transitions between characters (start and digits, A-Z, a-z and
-the signs ``+ / _ = -``), smoothed towards the uniform chain, which alone stands for random strings where there is no base match.
-A token's score is its log-likelihood ratio, the sum over its transitions of
-log P(random) - log P(ordinary).  Tokens of 16 characters or more score as secrets from ``TOTAL`` in all and
+values, and the distinct words of ``ORDINARY_TEXTS`` distinct whole texts that occur in ``COMMON`` of them at least.
+Each chain counts the transitions between characters (start and digits, A-Z, a-z and the signs ``+ / _ = -``) and
+backs off to the characters' own shares, which are equal where there is no sample.
+A token's score is its log-likelihood ratio, the sum over its transitions of log P(random) - log P(ordinary).
+Tokens of 16 characters or more, one of them a letter, score as secrets from ``TOTAL`` in all and
 ``MEAN`` per transition; outside all base matches they become spans of kind ``markov``.
 
 Defined cases: null text counts as empty and has no spans; repeated rows each get their spans; an empty table gives
@@ -35,14 +36,14 @@ PATTERNS = {
     "hex": (r"(?<![0-9a-f])[0-9a-f]{24,}+", r"[0-9a-f]{24}"),
 }
 LEAST = {"assign": 6, "access": 20, "hex": 24}
-#: tokens that the models score: 16 characters or more, no letter, digit or sign of theirs beside them
-TOKEN = r"(?<![\p{L}\p{N}+/_=-])[A-Za-z0-9+/_=-]{16,}+(?![\p{L}\p{N}])"
+#: tokens that the models score: 16 characters or more, one of them a letter, no letter, digit or sign of theirs beside them
+TOKEN = r"(?<![\p{L}\p{N}+/_=-])(?=[0-9+/_=-]*+[A-Za-z])[A-Za-z0-9+/_=-]{16,}+(?![\p{L}\p{N}])"
 WORD = r"[A-Za-z0-9_]++"
 ALPHABET = "0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz+/_=-"
 SECRETS = 20_000
 ORDINARY_TEXTS = 2_000
 COMMON = 2
-SMOOTHING = 0.5
+BACKOFF = 20.0
 TOTAL = 12.0
 MEAN = 0.5
 SPANS = "array<struct<s:int,k:int,e:int>>"
@@ -92,12 +93,14 @@ def _transitions(strings: DataFrame) -> dict[tuple[str, str], int]:
 
 
 def _chain(counts: dict) -> dict[tuple[str, str], float]:
-    """log P(next | before) of every pair, each count raised by ``SMOOTHING``."""
+    """log P(next | before) of every pair: counts raised by ``BACKOFF`` times the next character's own share, itself raised by one."""
+    own = {b: 1 + sum(counts.get((a, b), 0) for a in " " + ALPHABET) for b in ALPHABET}
+    everything = sum(own.values())
     out = {}
     for a in " " + ALPHABET:
-        total = sum(counts.get((a, b), 0) for b in ALPHABET) + SMOOTHING * len(ALPHABET)
+        total = sum(counts.get((a, b), 0) for b in ALPHABET) + BACKOFF
         for b in ALPHABET:
-            out[a, b] = math.log((counts.get((a, b), 0) + SMOOTHING) / total)
+            out[a, b] = math.log((counts.get((a, b), 0) + BACKOFF * own[b] / everything) / total)
     return out
 
 

@@ -206,7 +206,7 @@ def secret_docs(spark):
             planted[i] = "".join(r.choice(alphabet) for _ in range(32))
             words[60] = planted[i]
         if i % 4 == 3:
-            words[60] = "getCustomerAccountIdentifier"
+            words[60:62] = ["getCustomerAccountIdentifier", "4539578763621486"]
         table.append((i, " ".join(words)))
     table += [(TEXTS + i, t) for i, t in enumerate(SECRETS)]
     return spark.createDataFrame(table, "doc_id bigint, text string"), planted, dict(table)
