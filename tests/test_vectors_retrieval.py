@@ -30,11 +30,13 @@ def test_knn_matches_brute_force_in_tiles(spark):
     ids = pdf["vec_id"].to_numpy()
     want = _brute(mat, ids, mat, ids, 3, True)
     spark.conf.set("lanthorn.knn.tileBytes", str(64 * 8 * 120))  # forces several tiles on both sides
+    spark.conf.set("lanthorn.knn.index", "false")
     try:
         got = vx.knn(e, e, 3, "vec_id", "vec_id", "embedding", "embedding", exclude_self=True)
         rows = got.orderBy("query_id", "rank").collect()
     finally:
         spark.conf.unset("lanthorn.knn.tileBytes")
+        spark.conf.unset("lanthorn.knn.index")
     per = {}
     for r in rows:
         per.setdefault(r["query_id"], []).append(r["neighbor_id"])
