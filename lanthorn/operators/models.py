@@ -11,11 +11,12 @@ import math
 from collections.abc import Sequence
 from concurrent.futures import ThreadPoolExecutor
 
+import numpy as np
+import pandas as pd
 from pyspark import keyword_only
 from pyspark.ml import Estimator, PipelineModel
 from pyspark.ml.classification import (DecisionTreeClassifier, LogisticRegression,
                                        RandomForestClassifier)
-from pyspark.ml.evaluation import MulticlassClassificationEvaluator
 from pyspark.ml.feature import OneHotEncoder, SQLTransformer, StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.param import Param, Params, TypeConverters
@@ -26,6 +27,7 @@ from pyspark.sql import functions as F
 from lanthorn.operators import evaluate as ev
 from lanthorn.operators import features as fe
 from lanthorn.operators.ordinal import rank_within
+from lanthorn.session import scratch_path
 
 
 def _num_lit(v: float) -> str:
@@ -163,41 +165,127 @@ def stratified_folds(df: DataFrame, label: str, key: str, k: int = 5, fold_col:
     return ranked.withColumn(fold_col, ((F.col("__r") - 1) % k).cast("int")).drop("__h", "__r")
 
 
+class NodeTable:
+    """The trees of a fitted forest as arrays: children, split, prediction and class votes of every node.
+
+    Read back from the saved model (standard ML persistence).  Inner nodes carry a prediction and votes of their
+    own, so a forest grown to any depth also holds every shallower one, and its first trees every smaller one.
+    """
+
+    def __init__(self, spark: SparkSession, model, save_to: str):
+        model.write().overwrite().save(save_to)
+        rows = spark.read.parquet(f"{save_to}/data").select(
+            "treeID", "nodeData.id", "nodeData.prediction", "nodeData.impurityStats", "nodeData.leftChild", "nodeData.rightChild",
+            "nodeData.split.featureIndex", F.try_element_at("nodeData.split.leftCategoriesOrThreshold", F.lit(1)).alias("threshold"))
+        table = rows.orderBy("treeID", "id").toPandas()
+        start = table.groupby("treeID")["id"].transform("size").groupby(table["treeID"]).first().cumsum().shift(fill_value=0)
+        first = table["treeID"].map(start).to_numpy(dtype=np.int64)
+        self.roots = start.to_numpy(dtype=np.int64)
+        self.leaf = (table["leftChild"] < 0).to_numpy()
+        self.left = np.where(self.leaf, 0, first + table["leftChild"].to_numpy())
+        self.right = np.where(self.leaf, 0, first + table["rightChild"].to_numpy())
+        self.feature = np.where(self.leaf, 0, table["featureIndex"].fillna(0).to_numpy(dtype=np.int64))
+        self.threshold = table["threshold"].fillna(0.0).to_numpy(dtype=np.float64)
+        self.prediction = table["prediction"].to_numpy()
+        stats = np.stack(table["impurityStats"].to_list()).astype(np.float64)
+        total = stats.sum(axis=1, keepdims=True)
+        self.votes = np.divide(stats, total, out=np.zeros_like(stats), where=total > 0)
+
+    def cut(self, depth: int | None) -> np.ndarray:
+        """Which nodes are leaves of the forest of at most ``depth``: siblings that end with one prediction are one leaf, as Spark prunes."""
+        levels = [self.roots]
+        while depth is None or len(levels) <= depth:
+            inner = levels[-1][~self.leaf[levels[-1]]]
+            if not len(inner):
+                break
+            levels.append(np.concatenate([self.left[inner], self.right[inner]]))
+        ends = self.leaf.copy()
+        if depth is not None and len(levels) > depth:
+            ends[levels[depth]] = True
+        for level in reversed(levels[:-1]):
+            inner = level[~ends[level]]
+            l, r = self.left[inner], self.right[inner]
+            ends[inner[ends[l] & ends[r] & (self.prediction[l] == self.prediction[r])]] = True
+        return ends
+
+    def walk(self, x: np.ndarray, ends: Sequence[np.ndarray], trees: Sequence[int]) -> np.ndarray:
+        """Predictions of class 1 against class 0, shape (cut, number of trees, row), every tree walked level by level once."""
+        votes = np.zeros((len(ends), 2, len(x)))
+        out = np.zeros((len(ends), len(trees), len(x)), dtype=bool)
+        rows = np.arange(len(x))
+        for t, root in enumerate(self.roots, 1):
+            at = np.full(len(x), root)
+            done = np.zeros((len(ends), len(x)), dtype=bool)
+            while True:
+                for i, leaves in enumerate(ends):
+                    new = ~done[i] & leaves[at]
+                    votes[i][:, new] += self.votes[at[new]].T
+                    done[i] |= new
+                if done.all():
+                    break
+                low = x[rows, self.feature[at]] <= self.threshold[at]
+                at = np.where(self.leaf[at], at, np.where(low, self.left[at], self.right[at]))
+            for j, number in enumerate(trees):
+                if number == t:
+                    out[:, j] = votes[:, 1] > votes[:, 0]
+        return out
+
+
+def forest_grid_counts(model, unseen: DataFrame, label: str, trees: Sequence[int], depths: Sequence[int | None], save_to: str) -> dict:
+    """{(trees, depth): (tp, fp, fn)} of class 1 on ``unseen``, all settings from one walk through one forest."""
+    nodes = NodeTable(unseen.sparkSession, model, save_to)
+    ends = [nodes.cut(d) for d in depths]
+
+    def count(batches):
+        total = np.zeros((len(depths), len(trees), 3), dtype=np.int64)
+        for b in batches:
+            pred, y = nodes.walk(np.stack(b["x"].to_list()), ends, trees), b["y"].to_numpy() == 1
+            total += np.stack([(pred & y).sum(axis=2), (pred & ~y).sum(axis=2), (~pred & y).sum(axis=2)], axis=2)
+        yield pd.DataFrame([(trees[j], i, *map(int, total[i, j])) for i in range(len(depths)) for j in range(len(trees))],
+                           columns=["trees", "depth_no", "tp", "fp", "fn"])
+
+    rows = unseen.select(vector_to_array("features").alias("x"), F.col(label).alias("y"))
+    sums = rows.mapInPandas(count, "trees int, depth_no int, tp bigint, fp bigint, fn bigint").groupBy("trees", "depth_no").agg(
+        F.sum("tp").alias("tp"), F.sum("fp").alias("fp"), F.sum("fn").alias("fn"))
+    return {(r["trees"], depths[r["depth_no"]]): (r["tp"], r["fp"], r["fn"]) for r in sums.collect()}
+
+
 def grid_search(train: DataFrame, label: str, prep: FeaturePrep, p: int,
                 trees: Sequence[int] = (100, 200), depths: Sequence[int | None] = (None, 5, 10),
                 max_features: Sequence[str] = ("sqrt", "log2"), folds: int = 5, key: str = "id",
-                parallelism: int = 4, max_bins: int = MAX_BINS):
+                parallelism: int = 5, max_bins: int = MAX_BINS):
     """Cross-validated grid of forests: (rows, best setting).
 
     The defaults of ``trees``, ``depths``, ``max_features`` and ``folds`` are fixed values of the reference grid.
 
-    Rows are (trees, depth, max_features, mean F1 of class 1), one per named
-    setting; depth ``None`` is unbounded.  The feature stage is fitted once per
-    fold and its vectors are written once; settings that resolve to the same
-    forest (``sqrt`` and ``log2`` of p can be one number) are fitted once and
-    share the score.  Ties go to the setting named first.
+    Rows are (trees, depth, max_features, mean F1 of class 1), one per named setting; depth ``None`` is
+    unbounded.  A fold fits one forest per number of features (``sqrt`` and ``log2`` of p can be one number), of the
+    largest number of trees and the largest depth; a setting is its first trees, cut at the setting's depth.  The folds are
+    fitted side by side.  Ties go to the setting named first.
     """
-    evaluator = MulticlassClassificationEvaluator(labelCol=label, metricName="fMeasureByLabel", metricLabel=1.0)
+    spark = train.sparkSession
     data = stratified_folds(train, label, key, folds).checkpoint(eager=True)
     named = [(t, d, m) for t in trees for d in depths for m in max_features]
-    resolved = list(dict.fromkeys((t, d, sklearn_subset(m, p)) for t, d, m in named))
-    scores: dict[tuple, list[float]] = {r: [] for r in resolved}
-    for f in range(folds):
-        stage = prep.fit(data.where(F.col("fold") != f))
-        vectors = stage.transform(data).select(key, label, "fold", "features").checkpoint(eager=True)
-        seen, unseen = vectors.where(F.col("fold") != f), vectors.where(F.col("fold") == f)
-
-        def score(setting, seen=seen, unseen=unseen):
-            t, d, subset = setting
-            rf = RandomForestClassifier(labelCol=label, featuresCol="features", impurity="gini", seed=42, numTrees=t,
-                                        maxDepth=30 if d is None else d, featureSubsetStrategy=subset,
+    subsets = list(dict.fromkeys(sklearn_subset(m, p) for m in max_features))
+    deepest = None if None in depths else max(depths)
+
+    def fold_scores(f: int) -> dict:
+        vectors = prep.fit(data.where(F.col("fold") != f)).transform(data).select(key, label, "fold", "features").checkpoint(eager=True)
+        out = {}
+        for subset in subsets:
+            rf = RandomForestClassifier(labelCol=label, featuresCol="features", impurity="gini", seed=42, numTrees=max(trees),
+                                        maxDepth=30 if deepest is None else deepest, featureSubsetStrategy=subset,
                                         maxBins=max_bins, **TREE_SPEED)
-            return setting, evaluator.evaluate(rf.fit(seen).transform(unseen))
+            model = rf.fit(vectors.where(F.col("fold") != f))
+            counts = forest_grid_counts(model, vectors.where(F.col("fold") == f), label, list(trees), list(depths),
+                                        scratch_path(spark, f"grid-{f}-{subset}"))
+            for (t, d), (tp, fp, fn) in counts.items():
+                out[t, d, subset] = 2.0 * tp / (2 * tp + fp + fn) if tp else 0.0
+        return out
 
-        with ThreadPoolExecutor(max_workers=parallelism) as pool:
-            for setting, value in pool.map(score, resolved):
-                scores[setting].append(value)
-    rows = [(t, d, m, float(sum(v := scores[(t, d, sklearn_subset(m, p))]) / len(v))) for t, d, m in named]
+    with ThreadPoolExecutor(max_workers=parallelism) as pool:
+        scores = list(pool.map(fold_scores, range(folds)))
+    rows = [(t, d, m, sum(s[t, d, sklearn_subset(m, p)] for s in scores) / folds) for t, d, m in named]
     best = max(range(len(rows)), key=lambda i: (rows[i][3], -i))
     return rows, rows[best][:3]
 
@@ -237,12 +325,12 @@ def oob_score(data: DataFrame, label: str, key: str, trees: int = 100, max_depth
         oob = w.filter(F.col("__w") == 0)
         return model.transform(oob).select(key, label, vector_to_array("probability")[1].alias("p1"))
 
+    # each tree's votes are written as they come, so the plan that adds them up is one scan
+    votes = scratch_path(data.sparkSession, "oob-votes")
+
     with ThreadPoolExecutor(max_workers=parallelism) as pool:
-        parts = list(pool.map(fit_one, range(trees)))
-    votes = parts[0]
-    for part in parts[1:]:
-        votes = votes.unionByName(part)
-    per_row = votes.groupBy(key, label).agg(F.avg("p1").alias("p1"))
+        list(pool.map(lambda t: fit_one(t).write.mode("overwrite").parquet(f"{votes}/tree={t}"), range(trees)))
+    per_row = data.sparkSession.read.parquet(votes).groupBy(key, label).agg(F.avg("p1").alias("p1"))
     return per_row.agg(F.avg(((F.col("p1") > 0.5).cast("int") == F.col(label)).cast("double"))
                        .alias("oob_score"), F.count(F.lit(1)).alias("rows_with_oob"))
 

@@ -145,22 +145,14 @@ def q_cv_folds(spark, sf_dir):
     return md.stratified_folds(train, LABEL, "passenger_id").select("passenger_id", LABEL, "fold")
 
 
-_GRIDS: dict[tuple, tuple] = {}
-
-
-def _grid(spark, sf_dir) -> tuple:
-    """Rows and winner of the grid over the training rows; one search per application and folder."""
-    at = (spark.sparkContext.applicationId, sf_dir)
-    if at not in _GRIDS:
-        pr = Prepared(spark, sf_dir)
-        _GRIDS[at] = md.grid_search(pr.train_raw, LABEL, md.FeaturePrep(numeric=NUMERIC, categorical=CATEGORICAL),
-                                    pr.p, key="passenger_id")
-    return _GRIDS[at]
+def _grid(pr: Prepared) -> tuple:
+    """Rows and winner of the grid over the training rows."""
+    return md.grid_search(pr.train_raw, LABEL, md.FeaturePrep(numeric=NUMERIC, categorical=CATEGORICAL), pr.p, key="passenger_id")
 
 
 @query("grid_search_cv")
 def q_grid_search_cv(spark, sf_dir):
-    rows, best = _grid(spark, sf_dir)
+    rows, best = _grid(Prepared(spark, sf_dir))
     return spark.createDataFrame([(*r, r[:3] == best) for r in rows],
                                  "n_estimators int, max_depth int, max_features string, mean_f1 double, best boolean")
 
@@ -169,7 +161,7 @@ def q_grid_search_cv(spark, sf_dir):
 def q_oob_score(spark, sf_dir):
     """Out-of-bag score of the setting that wins the grid."""
     pr = Prepared(spark, sf_dir)
-    _, (trees, depth, features) = _grid(spark, sf_dir)
+    _, (trees, depth, features) = _grid(pr)
     out = md.oob_score(pr.train, LABEL, "passenger_id", trees=trees, max_depth=depth, max_features=features, p=pr.p)
     return out.select(F.lit(trees).alias("n_estimators"), F.lit(depth).cast("int").alias("max_depth"),
                       F.lit(features).alias("max_features"), "oob_score", "rows_with_oob")

@@ -1,9 +1,12 @@
 """Feature preparation learned on train only; save / load parity."""
 
+import random
 import tempfile
 
+import numpy as np
 from pyspark.ml import PipelineModel
-from pyspark.ml.functions import vector_to_array
+from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.linalg import Vectors
 from pyspark.sql import functions as F
 
 from lanthorn.operators import models as md
@@ -37,5 +40,38 @@ def test_pipeline_save_load_parity(spark):
     assert a.exceptAll(b).count() == 0
 
 
+def _forest(label_rows, **options):
+    return md.RandomForestClassifier(labelCol="y", featuresCol="features", impurity="gini", seed=7, featureSubsetStrategy="all", **options)
+
+
+def test_cut_forest_equals_the_shallow_forest(spark):
+    r = random.Random(4)
+    rows = [(i, [r.random() for _ in range(4)]) for i in range(600)]
+    rows = [(i, x, int(x[0] + 0.5 * x[1] * (x[2] > 0.4) + 0.35 * r.random() > 0.8)) for i, x in rows]
+    df = spark.createDataFrame(rows, "id int, x array<double>, y int").withColumn("features", array_to_vector("x"))
+    df = df.select("id", "features", "y").repartition(2, "id").cache()
+    seen, unseen = df.where("id % 3 > 0"), df.where("id % 3 = 0")
+    deep = _forest(rows, numTrees=12, maxDepth=12).fit(seen)
+    counts = md.forest_grid_counts(deep, unseen, "y", [12], [None, 1, 3, 5], tempfile.mkdtemp(prefix="lanthorn-forest-", dir="/tmp") + "/m")
+    for depth in (None, 1, 3, 5):
+        shallow = deep if depth is None else _forest(rows, numTrees=12, maxDepth=depth).fit(seen)
+        c = shallow.transform(unseen).agg(F.count_if(F.expr("prediction = 1 and y = 1")), F.count_if(F.expr("prediction = 1 and y = 0")),
+                                          F.count_if(F.expr("prediction = 0 and y = 1"))).first()
+        assert counts[12, depth] == tuple(c), depth
+
+
+def test_first_trees_of_a_forest(spark):
+    rows = [(float(i % 13), float(i % 7), int((i % 13) * 2 + i % 7 > 14)) for i in range(300)]
+    df = spark.createDataFrame(rows, "a double, b double, y int").select(array_to_vector(F.array("a", "b")).alias("features"), "y")
+    model = _forest(rows, numTrees=5, maxDepth=3).fit(df)
+    nodes = md.NodeTable(spark, model, tempfile.mkdtemp(prefix="lanthorn-forest-", dir="/tmp") + "/m")
+    x = [[float(a), float(b)] for a in range(13) for b in range(7)]
+    got = nodes.walk(np.array(x), [nodes.cut(None)], [2, 5])[0]
+    for row, two, five in zip(x, *got):
+        votes = [t.predictProbability(Vectors.dense(row)) for t in model.trees]
+        assert two == (sum(v[1] for v in votes[:2]) > sum(v[0] for v in votes[:2]))
+        assert five == (model.predict(Vectors.dense(row)) == 1)
+
+
 def test_sklearn_feature_counts():
     assert md.sklearn_subset("sqrt", 15) == "3" and md.sklearn_subset("log2", 15) == "3"
