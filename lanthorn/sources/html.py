@@ -11,6 +11,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass, field
+from functools import reduce
 from html.parser import HTMLParser
 
 import pandas as pd
@@ -209,34 +210,62 @@ def extract_links(pages: DataFrame, key: str, url: str, html: str, selector: str
 def follow_links(edges: DataFrame, starts: DataFrame, src: str, dst: str, max_hops: int | None = None) -> DataFrame:
     """Pages reachable from each start by following ``src -> dst`` edges.
 
-    Output (start, node, hop).  One join of the frontier with the edges per
-    hop; a visited set (anti join) ends cycles.  Every hop's frontier is
-    written with ``checkpoint()`` to the shared folder, so the emptiness
-    test and the next hop read that instead of recomputing earlier hops,
-    and a lost executor costs one hop, not the whole chain.
+    Output (start, node, hop), a node at its smallest hop.  Where every page has one successor at most (pagination) the
+    chains are walked by pointer doubling (``chains_by_doubling``), so the joins grow with the logarithm
+    of the longest chain; pages with several successors are walked hop by hop.
     """
-    e = edges.select(F.col(src).alias("__s"), F.col(dst).alias("__d")).where(F.col("__d").isNotNull())
-    frontier = starts.select(F.col(src).alias("start"), F.col(src).alias("node"),
-                             F.lit(0).alias("hop")).checkpoint(eager=True)
-    parts = [frontier]
-    seen = frontier.select("start", "node")
-    hop = 0
+    e = edges.select(F.col(src).alias("src"), F.col(dst).alias("dst")).where("dst IS NOT NULL").distinct().checkpoint(eager=True)
+    first = starts.select(F.col(src).alias("start")).distinct()
+    if e.groupBy("src").agg(F.count(F.lit(1)).alias("n")).where("n > 1").isEmpty():
+        return chains_by_doubling(e, first, max_hops)
+    return _by_hops(e, first, max_hops)
+
+
+def chains_by_doubling(edges: DataFrame, starts: DataFrame, max_hops: int | None = None) -> DataFrame:
+    """(start, node, hop) along ``edges`` (src, dst), one successor per page at most.
+
+    Round j holds every page's 2^j-th successor and, of each start, the first 2^j pages; joining the two gives the next
+    2^j pages, and joining the pointers with themselves the pointers of the next round.  A start whose chain runs into a cycle
+    meets pages again; those are dropped, and the rounds end when no start meets a new one.  Each round
+    is written with ``checkpoint()`` to the shared folder.
+    """
+    reached = starts.select("start", F.col("start").alias("node"), F.lit(0).cast("bigint").alias("hop")).checkpoint(eager=True)
+    pointers, span, parts = edges, 1, [reached]
+    while max_hops is None or span <= max_hops:
+        whole = reduce(DataFrame.unionByName, parts)
+        new = whole.join(pointers, F.col("node") == F.col("src")).select(
+            "start", F.col("dst").alias("node"), (F.col("hop") + span).alias("hop"))
+        if max_hops is not None:
+            new = new.where(F.col("hop") <= max_hops)
+        new = new.groupBy("start", "node").agg(F.min("hop").alias("hop"))
+        new = new.join(whole.select("start", "node"), ["start", "node"], "left_anti").checkpoint(eager=True)
+        if new.isEmpty():
+            break
+        parts.append(new)
+        ahead = pointers.select(F.col("src").alias("mid"), F.col("dst").alias("far"))
+        pointers = pointers.join(ahead, F.col("dst") == F.col("mid")).select("src", F.col("far").alias("dst")).checkpoint(eager=True)
+        span *= 2
+    return reduce(DataFrame.unionByName, parts)
+
+
+def _by_hops(e: DataFrame, starts: DataFrame, max_hops: int | None) -> DataFrame:
+    """One join of the frontier with the edges per hop; a visited set (anti join) ends cycles.
+
+    Every hop's frontier is written with ``checkpoint()`` to the shared folder, so the emptiness test and the
+    next hop read that instead of recomputing earlier hops, and a lost executor costs one hop, not the whole chain.
+    """
+    frontier = starts.select("start", F.col("start").alias("node"), F.lit(0).cast("bigint").alias("hop")).checkpoint(eager=True)
+    parts, hop = [frontier], 0
     while max_hops is None or hop < max_hops:
         hop += 1
-        nxt = (frontier.join(e, F.col("node") == F.col("__s"))
-               .select("start", F.col("__d").alias("node"), F.lit(hop).alias("hop"))
-               .join(seen, ["start", "node"], "left_anti")
-               .dropDuplicates(["start", "node"])
-               .checkpoint(eager=True))
-        if nxt.isEmpty():
+        seen = reduce(DataFrame.unionByName, parts).select("start", "node")
+        frontier = (frontier.join(e, F.col("node") == F.col("src"))
+                    .select("start", F.col("dst").alias("node"), F.lit(hop).cast("bigint").alias("hop"))
+                    .join(seen, ["start", "node"], "left_anti").dropDuplicates(["start", "node"]).checkpoint(eager=True))
+        if frontier.isEmpty():
             break
-        parts.append(nxt)
-        seen = seen.unionByName(nxt.select("start", "node"))
-        frontier = nxt
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+        parts.append(frontier)
+    return reduce(DataFrame.unionByName, parts)
 
 
 def required_nonempty(df: DataFrame, what: str) -> DataFrame:

@@ -45,6 +45,42 @@ def test_links_and_next_chain(spark):
     assert [(r["node"], r["hop"]) for r in got] == [(1, 0), (2, 1), (3, 2)]  # the cycle ends
 
 
+def _walk(edges, starts):
+    out = []
+    for s in starts:
+        node, hop, seen = s, 0, set()
+        while node is not None and node not in seen:
+            seen.add(node)
+            out.append((s, node, hop))
+            node, hop = edges.get(node), hop + 1
+    return sorted(out)
+
+
+def test_chains_by_doubling(spark, monkeypatch):
+    edges = {i: i + 1 for i in range(1, 40)} | {50: 51, 51: 52, 52: 53, 53: 51, 60: 60, 70: 10}
+    df = spark.createDataFrame(list(edges.items()), "a bigint, b bigint")
+    starts = [1, 17, 50, 53, 60, 70, 99]
+    st = spark.createDataFrame([(x,) for x in starts], "a bigint")
+    got = sorted((r["start"], r["node"], r["hop"]) for r in hx.follow_links(df, st, "a", "b").collect())
+    assert got == _walk(edges, starts)
+    capped = sorted((r["start"], r["node"], r["hop"]) for r in hx.follow_links(df, st, "a", "b", max_hops=5).collect())
+    assert capped == [r for r in _walk(edges, starts) if r[2] <= 5]
+    forked = df.unionByName(spark.createDataFrame([(1, 30)], "a bigint, b bigint"))
+    some = {(r["node"], r["hop"]) for r in hx.follow_links(forked, st.where("a = 1"), "a", "b").collect()}
+    assert (30, 1) in some and (40, 11) in some and (29, 28) in some
+
+
+def test_a_long_chain_takes_logarithmically_many_rounds(spark, monkeypatch):
+    rounds = []
+    plain = type(spark.range(1)).isEmpty
+    monkeypatch.setattr(type(spark.range(1)), "isEmpty", lambda self: (rounds.append(1), plain(self))[1])
+    n = 20_000
+    edges = spark.range(n).select("id", (F.col("id") + 1).alias("next"))
+    got = hx.follow_links(edges, spark.createDataFrame([(0,)], "id bigint"), "id", "next")
+    assert got.agg(F.count("*"), F.max("hop"), F.max("node")).first() == (n + 1, n, n)
+    assert len(rounds) <= 18
+
+
 def test_empty_link_list_is_an_error(spark):
     pages = spark.createDataFrame([(1, "http://h.org/", "<html></html>")], "page_id long, url string, html string")
     with pytest.raises(RuntimeError):
