@@ -12,10 +12,10 @@ from collections.abc import Sequence
 
 from pyspark.ml.feature import OneHotEncoder, StringIndexer
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from lanthorn.operators.ordinal import global_ordinal, rank_within
+from lanthorn.operators.ordinal import global_ordinal
 from lanthorn.session import small_side
 from lanthorn.operators.profile import exact_quantiles, modes, scalars
 
@@ -26,6 +26,39 @@ def md5_unit(*parts: Column | str) -> Column:
     return F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast("double") / 4294967296.0
 
 
+#: hexadecimal digits counted at once, and the rows that may be ordered in one window
+DIGITS = 3
+ORDERED = 100_000
+
+
+def nth_by_digits(places: DataFrame, wanted: DataFrame, digits: int = DIGITS, ordered: int = ORDERED) -> DataFrame:
+    """(grp, last): the n-th smallest position of each group, without sorting the rows.
+
+    ``places``: (grp, p) with p a struct (h, k), h the hexadecimal digits of a digest; ``wanted``: (grp, n), one
+    row per group.  Each round counts the rows of every value of the next ``digits`` digits (4,096 numbers a
+    group) and keeps those of the value that the n-th falls into, a 4,096th; what is left is ordered once it is
+    ``ordered`` rows a group or less, or once all digits are used up.  Groups with n below 1 have no row.
+    """
+    rows, left, used = places.withColumnRenamed("grp", "g"), small_side(wanted.where(F.col("n") > 0)), 0
+    while True:
+        used += digits
+        head = F.substring("p.h", 1, used)
+        counts = rows.groupBy("g", head.alias("head")).agg(F.count(F.lit(1)).alias("c"))
+        w = Window.partitionBy("g").orderBy("head").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        found = counts.withColumn("upto", F.sum("c").over(w)).join(left, F.col("g").eqNullSafe(F.col("grp")))
+        found = found.where((F.col("upto") >= F.col("n")) & (F.col("upto") - F.col("c") < F.col("n"))).select(
+            "grp", "head", "c", (F.col("n") - F.col("upto") + F.col("c")).alias("n")).checkpoint(eager=True)
+        most = found.agg(F.max("c")).first()[0]
+        near = small_side(found)
+        rows = rows.join(near.select("grp", F.col("head").alias("at")), F.col("g").eqNullSafe(F.col("grp")) & (head == F.col("at"))).select("g", "p")
+        if most is None or most <= ordered or used >= 32:
+            break
+        rows, left = rows.checkpoint(eager=True), small_side(found.select("grp", "n"))
+    order = Window.partitionBy("g").orderBy("p")
+    nth = rows.withColumn("r", F.row_number().over(order)).join(near.select("grp", "n"), F.col("g").eqNullSafe(F.col("grp")))
+    return nth.where(F.col("r") == F.col("n")).select("grp", F.col("p").alias("last"))
+
+
 def stratified_split(df: DataFrame, label: str, key: str, test_fraction: float = 0.2,
                      split_col: str = "split") -> DataFrame:
     """Exact, stratified, deterministic train/test split.
@@ -33,10 +66,13 @@ def stratified_split(df: DataFrame, label: str, key: str, test_fraction: float =
     test size = ceil(f * n); each label gets floor(test * n_label / n) and
     the rows left over go to the labels with the largest remainders (ties
     to the smaller label).  Inside a label, rows are taken by md5(key),
-    key.  The per-label rank is computed without a one-task window.
+    key.  The last test position of a label is found without sorting (``nth_by_digits``).
     """
-    per = df.groupBy(label).agg(F.count(F.lit(1)).alias("n_label"))
-    n = scalars(df.agg(F.count(F.lit(1)).alias("n")))["n"]
+    place = F.struct(F.md5(F.col(key).cast("string")).alias("h"), F.col(key).alias("k"))
+    # the input runs once for (label, position), and once more for the rows themselves
+    places = df.select(F.col(label).alias("grp"), place.alias("p")).checkpoint(eager=True)
+    per = places.groupBy(F.col("grp").alias(label)).agg(F.count(F.lit(1)).alias("n_label")).checkpoint(eager=True)
+    n = scalars(per.agg(F.sum("n_label").alias("n")))["n"] or 0
     test = math.ceil(n * test_fraction) if n else 0
     exact = F.lit(test) * F.col("n_label") / F.lit(max(n, 1))
     alloc = per.select(label, F.floor(exact).alias("base"), (exact - F.floor(exact)).alias("frac"))
@@ -44,11 +80,10 @@ def stratified_split(df: DataFrame, label: str, key: str, test_fraction: float =
     # largest remainders first (ties to the smaller label); one row per label
     alloc = global_ordinal(alloc, [F.col("frac").desc(), F.col(label)], "__k", bounded=True) \
         .select(label, (F.col("base") + (F.col("__k") <= left).cast("long")).cast("long").alias("n_test"))
-    # only (label, md5, key) is ranked; the rows then compare with their label's last test position
-    place = F.struct(F.md5(F.col(key).cast("string")).alias("h"), F.col(key).alias("k"))
-    ranked = rank_within(df.select(label, place.alias("__p")), [label], ["__p"], "__r")
-    last = ranked.join(small_side(alloc), label).where(F.col("__r") <= F.col("n_test")) \
-        .groupBy(label).agg(F.max("__p").alias("__last"))
+    # the rows compare with their label's last test position, found digit by digit
+    alloc = alloc.checkpoint(eager=True)
+    last = nth_by_digits(places, alloc.select(F.col(label).alias("grp"), F.col("n_test").alias("n")))
+    last = last.toDF(label, "__last")
     borders = alloc.select(label).join(last, label, "left")
     return (df.join(small_side(borders), label)
             .withColumn(split_col, F.when(place <= F.col("__last"), F.lit("test")).otherwise(F.lit("train")))
@@ -58,11 +93,12 @@ def stratified_split(df: DataFrame, label: str, key: str, test_fraction: float =
 def random_split(df: DataFrame, key: str, test_fraction: float = 0.2,
                  split_col: str = "split") -> DataFrame:
     """Not stratified: the ceil(f * n) rows first by md5(key), key are test."""
-    n = df.count()
-    test = math.ceil(n * test_fraction)
     place = F.struct(F.md5(F.col(key).cast("string")).alias("h"), F.col(key).alias("k"))
-    ranked = global_ordinal(df.select(place.alias("__p")), ["__p"], "__r")
-    last = ranked.where(F.col("__r") <= test).agg(F.max("__p").alias("p")).first()["p"]  # the last test position
+    places = df.select(F.lit(0).alias("grp"), place.alias("p")).checkpoint(eager=True)
+    test = math.ceil(places.count() * test_fraction)
+    one = df.sparkSession.createDataFrame([(0, test)], "grp int, n bigint")
+    last = nth_by_digits(places, one).first()
+    last = last["last"] if last else None  # the last test position
     if last is None:
         return df.withColumn(split_col, F.lit("train"))
     border = F.struct(F.lit(last["h"]).alias("h"), F.lit(last["k"]).alias("k"))

@@ -15,7 +15,9 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+import numpy as np
+import pandas as pd
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -118,39 +120,69 @@ def apply_missing_policy(df: DataFrame, low: float = 5.0, high: float = 30.0) ->
     return current
 
 
-def exact_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
-                    group: str | None = None) -> DataFrame:
+#: of a quantile sketch: ranks are off by at most n / SKETCH
+SKETCH = 10_000
+#: distinct values between two brackets that one window may order
+BRACKET = 1 << 20
+
+
+def exact_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float], group: str | None = None,
+                    sketch: int = SKETCH, bracket: int = BRACKET) -> DataFrame:
     """Linear-interpolation quantiles (like ``percentile``/``quantile_cont``).
 
-    Output: (group?, column, p, quantile).  Nulls are ignored.  The counts
-    per (key, value) are written once (checkpoint), so the input plan runs
-    once however many times the steps below read them.
+    Output: (group?, column, p, quantile).  Nulls are ignored.  Nothing is
+    sorted: a mergeable quantile sketch brackets each wanted rank between two
+    values, one more pass counts the rows below the lower one and the distinct values
+    between, a small share of all, and the wanted values are read off those.  A rank
+    that its bracket should miss is counted without one.  The values are written once
+    (checkpoint), so the input plan runs once.
     """
     ids = [group] if group else []
-    long = to_long(df, cols, ids).filter(F.col("value").isNotNull())
     keys = [*ids, "column"]
-    counts = long.groupBy(*keys, "value").agg(F.count(F.lit(1)).alias("c")).checkpoint(eager=True)
-    cum = running_sums(counts, [*keys, "value"], {"cum": "c"}, stored=True)
-    # rows of a key occupy global ranks (start, end]; the value at 0-based
-    # rank r of a key covers (cum - c, cum] around start + r + 1.  The
-    # bounds come from the per-key totals (one row per key, summed along
-    # the same key order), so the pass over ``cum`` runs once, in the join.
-    per_key = running_sums(counts.groupBy(*keys).agg(F.sum("c").alias("n")), keys, {"end": "n"}, bounded=True) \
-        .select(*keys, (F.col("end") - F.col("n")).alias("start"), "end")
-    h = (F.col("end") - F.col("start") - 1) * F.col("p")
-    targets = (per_key.withColumn("p", F.explode(F.array(*[F.lit(float(p)) for p in probs])))
-               .select(*keys, "p", (F.col("start") + F.floor(h)).cast("long").alias("lo"),
-                       (F.col("start") + F.ceil(h)).cast("long").alias("hi"),
-                       (h - F.floor(h)).alias("frac")))
-    # one row per (group, column, probability): the size of the report,
-    # broadcast where the check of its size allows it
-    covers = lambda r: (F.col(r) >= F.col("cum") - F.col("c")) & (F.col(r) < F.col("cum"))
-    hits = cum.select(*keys, "value", "c", "cum").join(small_side(targets), keys).filter(covers("lo") | covers("hi"))
-    out = hits.groupBy(*keys, "p").agg(F.max(F.when(covers("lo"), F.col("value"))).alias("v_lo"),
-                                       F.max(F.when(covers("hi"), F.col("value"))).alias("v_hi"),
-                                       F.first("frac").alias("frac"))
-    return out.select(*keys, "p", (F.col("v_lo") + (F.col("v_hi") - F.col("v_lo")) * F.col("frac"))
-                      .alias("quantile"))
+    long = to_long(df, cols, ids).filter(F.col("value").isNotNull()).select(*keys, "value").checkpoint(eager=True)
+    wanted = [float(p) for p in probs]
+    edges = [min(max(p + d * 2.0 / sketch, 0.0), 1.0) for p in wanted for d in (-1, 1)]
+    marks = long.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"), F.percentile_approx("value", edges, sketch).alias("marks"),
+                                    F.min("value").alias("least"), F.max("value").alias("most"))
+    per_p = F.explode(F.array(*[F.struct(F.lit(p).alias("p"), F.lit(i).alias("i")) for i, p in enumerate(wanted)]))
+    h = (F.col("n") - 1) * F.col("w.p")
+    # the outermost edges are the extremes themselves, whatever the sketch says
+    targets = marks.withColumn("w", per_p).select(
+        *keys, F.col("w.p").alias("p"), F.floor(h).cast("long").alias("lo"), F.ceil(h).cast("long").alias("hi"), (h - F.floor(h)).alias("frac"),
+        F.when(F.col("w.p") <= 2.0 / sketch, F.col("least")).otherwise(F.element_at("marks", F.col("w.i") * 2 + 1)).alias("a"),
+        F.when(F.col("w.p") >= 1 - 2.0 / sketch, F.col("most")).otherwise(F.element_at("marks", F.col("w.i") * 2 + 2)).alias("b"))
+    targets = targets.checkpoint(eager=True)
+
+    def counted(targets):
+        """Rows per (target, value) of each bracket; value null: the rows below it."""
+        rows = long.join(small_side(targets), keys).where(F.col("value") <= F.col("b"))
+        inside = F.when(F.col("value") >= F.col("a"), F.col("value"))
+        return rows.groupBy(*keys, "p", "lo", "hi", "frac", inside.alias("v")).agg(F.count(F.lit(1)).alias("c")).checkpoint(eager=True)
+
+    counts = counted(targets)
+    below = F.coalesce(F.sum(F.when(F.col("v").isNull(), F.col("c"))), F.lit(0))
+    state = counts.groupBy(*keys, "p", "lo", "hi").agg(below.alias("below"), F.sum("c").alias("upto"), F.count("v").alias("values"))
+    missed = (F.col("below") > F.col("lo")) | (F.col("upto") <= F.col("hi"))
+    checked = state.agg(F.count_if(missed).alias("missed"), F.max("values").alias("values")).first()
+    if checked["missed"]:
+        again = targets.join(state.where(missed).select(*keys, "p"), [*keys, "p"], "left_semi")
+        again = again.withColumn("a", F.lit(float("-inf"))).withColumn("b", F.lit(float("nan")))  # NaN is the largest value
+        kept = counts.join(state.where(missed).select(*keys, "p"), [*keys, "p"], "left_anti")
+        counts = kept.unionByName(counted(again)).checkpoint(eager=True)
+    if checked["missed"] or (checked["values"] or 0) > bracket:
+        order = [*keys, "p", F.asc_nulls_first("v")]
+        cum = running_sums(counts, order, {"upto": "c"}, stored=True)
+        start = counts.groupBy(*keys, "p").agg(F.sum("c").alias("all"))
+        start = running_sums(start, [*keys, "p"], {"end": "all"}).select(*keys, "p", (F.col("end") - F.col("all")).alias("start"))
+        cum = cum.join(small_side(start), [*keys, "p"]).withColumn("upto", F.col("upto") - F.col("start"))
+    else:
+        w = Window.partitionBy(*keys, "p").orderBy(F.asc_nulls_first("v")).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        cum = counts.withColumn("upto", F.sum("c").over(w))
+    covers = lambda r: (F.col(r) >= F.col("upto") - F.col("c")) & (F.col(r) < F.col("upto"))
+    out = cum.where(F.col("v").isNotNull()).where(covers("lo") | covers("hi")).groupBy(*keys, "p").agg(
+        F.max(F.when(covers("lo"), F.col("v"))).alias("v_lo"), F.max(F.when(covers("hi"), F.col("v"))).alias("v_hi"),
+        F.first("frac").alias("frac"))
+    return out.select(*keys, "p", (F.col("v_lo") + (F.col("v_hi") - F.col("v_lo")) * F.col("frac")).alias("quantile"))
 
 
 def modes(df: DataFrame, cols: Sequence[str]) -> DataFrame:
@@ -297,26 +329,31 @@ def histogram(df: DataFrame, col: str, bins: int = 30) -> DataFrame:
 def density_curve(df: DataFrame, col: str, points: int = 200, cut: float = 3.0) -> DataFrame:
     """Gaussian kernel density on a grid (Scott bandwidth n^(-1/5) * std).
 
-    Data are first counted per distinct value (map-side combine); each
-    distinct value adds its weighted kernel to every grid point through an
-    array transform, and the grid sums are aggregated per point.  The grid
-    is ``points`` values, so the work is linear in the distinct values.
+    Every task adds the kernels of its values to one vector of ``points`` sums (the input as the scan
+    gives it, no shuffle before); the tasks' vectors meet per grid point, so the shuffle holds ``points`` numbers per task.
     """
     x = F.col(col).cast("double")
-    values = df.where(x.isNotNull()).groupBy(x.alias("x")).agg(F.count(F.lit(1)).alias("w"))
-    st = scalars(df.where(x.isNotNull()).agg(
-        F.count(F.lit(1)).alias("n"), F.stddev_samp(x).alias("sd"), F.min(x).alias("lo"),
-        F.max(x).alias("hi")))
-    n, bw = st["n"], st["sd"] * st["n"] ** -0.2
-    g0, step = st["lo"] - cut * bw, (st["hi"] - st["lo"] + 2 * cut * bw) / (points - 1)
+    values = df.where(x.isNotNull()).select(x.alias("x"))
+    st = scalars(values.agg(F.count(F.lit(1)).alias("n"), F.stddev_samp("x").alias("sd"), F.min("x").alias("lo"), F.max("x").alias("hi")))
+    n, bw = st["n"], (st["sd"] or 0.0) * max(st["n"], 1) ** -0.2
+    spark = df.sparkSession
+    if not bw > 0:  # fewer than two values, or one value only: no density
+        return spark.createDataFrame([], "point int, x_value double, density double")
+    grid = st["lo"] - cut * bw + np.arange(points) * ((st["hi"] - st["lo"] + 2 * cut * bw) / (points - 1))
     norm = 1.0 / (math.sqrt(2 * math.pi) * n * bw)
-    grid = F.sequence(F.lit(0), F.lit(points - 1))
-    contrib = values.select(F.explode(grid).alias("point"), "x", "w")
-    gx = F.lit(g0) + F.col("point") * F.lit(step)
-    z = (gx - F.col("x")) / F.lit(bw)
-    return (contrib.groupBy("point")
-            .agg((F.sum(F.col("w") * F.exp(-0.5 * z * z)) * F.lit(norm)).alias("density"))
-            .select("point", (F.lit(g0) + F.col("point") * F.lit(step)).alias("x_value"), "density"))
+
+    def add(batches):
+        total = np.zeros(points)
+        for b in batches:
+            found, times = np.unique(b["x"].to_numpy(), return_counts=True)
+            for at in range(0, len(found), 4096):
+                z = (grid[:, None] - found[None, at:at + 4096]) / bw
+                total += np.exp(-0.5 * z * z) @ times[at:at + 4096]
+        yield pd.DataFrame({"point": np.arange(points, dtype=np.int32), "part": total})
+
+    sums = values.mapInPandas(add, "point int, part double").groupBy("point").agg(F.sum("part").alias("total"))
+    places = F.element_at(F.array(*[F.lit(float(g)) for g in grid]), F.col("point") + 1)
+    return sums.select("point", places.alias("x_value"), (F.col("total") * F.lit(norm)).alias("density"))
 
 
 def box_stats(df: DataFrame, value: str, group: str, k: float = 1.5) -> DataFrame:

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lanthorn.functions import text as tx
@@ -105,13 +105,11 @@ def answer_batch(queries: DataFrame, index: DataFrame, query_key: str, text: str
     policy = routed.filter(F.col("intent") == POLICY)
     general = routed.filter(F.col("intent") == GENERAL)
     answered = answer_from_chunks(retrieve(policy, index, query_key, query_vec, k), k)
-    # a policy query with an empty index gets an explicit error row
-    missing = policy.select(F.col(query_key).alias("query_id")).join(answered, "query_id", "left_anti") \
-        .select("query_id", F.lit("ERROR: no context retrieved").alias("answer"),
-                F.array().cast("array<string>").alias("sources"), F.lit(0.0).alias("confidence"))
-    out = answered.unionByName(missing).withColumn("intent", F.lit(POLICY)) \
-        .unionByName(direct_answers(general, query_key).withColumn("intent", F.lit(GENERAL)))
-    return out
+    # a policy query with an empty index gets an explicit error row; the answers are joined once
+    asked = policy.select(F.col(query_key).alias("query_id")).join(answered, "query_id", "left").select(
+        "query_id", F.coalesce("answer", F.lit("ERROR: no context retrieved")).alias("answer"),
+        F.coalesce("sources", F.array().cast("array<string>")).alias("sources"), F.coalesce("confidence", F.lit(0.0)).alias("confidence"))
+    return asked.withColumn("intent", F.lit(POLICY)).unionByName(direct_answers(general, query_key).withColumn("intent", F.lit(GENERAL)))
 
 
 # ------------------------------------------------------------------ response validation
@@ -170,9 +168,18 @@ def first_valid_attempt(attempts: DataFrame, query_key: str, attempt: str, raw:
         F.coalesce(F.col("b.confidence"), F.lit(0.0)).alias("confidence"))
 
 
-def number_attempts(events: DataFrame, query_key: str, order: Sequence[str], name: str = "attempt") -> DataFrame:
-    """Attempt number per query along ``order`` (distributed rank)."""
-    return rank_within(events, [query_key], list(order), name)
+def number_attempts(events: DataFrame, query_key: str, order: Sequence[str], name: str = "attempt",
+                    limit: int | None = None) -> DataFrame:
+    """Attempt number per query along ``order``.
+
+    With ``limit`` only that many attempts per query are numbered: each task keeps its own
+    first ones before the shuffle (``WindowGroupLimit``), so nothing is sorted globally and a query with very many
+    attempts sends a few.  Without, a distributed rank numbers them all.
+    """
+    if limit is None:
+        return rank_within(events, [query_key], list(order), name)
+    w = Window.partitionBy(query_key).orderBy(*order)
+    return events.withColumn(name, F.row_number().over(w)).where(F.col(name) <= limit)
 
 
 # ------------------------------------------------------------------ index maintenance

@@ -441,8 +441,13 @@ def q_side_by_side(spark, sf_dir):
 @query("frames_equal", _with("""
 , j AS (SELECT b.book_id, b.title, b.price_gbp, b.price_inr, b.rating, b.in_stock,
               c.category_name AS category FROM books b JOIN categories c USING (category_id))
-SELECT true AS equal, (SELECT count(*) FROM j) AS left_rows, (SELECT count(*) FROM j) AS right_rows,
-       CAST(0 AS BIGINT) AS left_only, CAST(0 AS BIGINT) AS right_only""".replace("\n, j AS", ", j AS")))
+, k AS (SELECT b.book_id, b.title, b.price_gbp, b.price_inr, b.rating, b.in_stock,
+              (SELECT max(c.category_name) FROM categories c WHERE c.category_id = b.category_id) AS category FROM books b
+       WHERE b.category_id IN (SELECT category_id FROM categories)),
+o AS (SELECT (SELECT count(*) FROM (SELECT * FROM j EXCEPT ALL SELECT * FROM k)) AS left_only,
+             (SELECT count(*) FROM (SELECT * FROM k EXCEPT ALL SELECT * FROM j)) AS right_only)
+SELECT left_only + right_only = 0 AS equal, (SELECT count(*) FROM j) AS left_rows, (SELECT count(*) FROM k) AS right_rows,
+       left_only, right_only FROM o""".replace("\n, j AS", ", j AS")))
 def q_frames_equal(spark, sf_dir):
     books, categories = register_catalog_views(spark, sf_dir)
     return rel.frames_equal(spark.sql(STATEMENTS["05_join"]), rel.catalog_join_df(books, categories),

@@ -66,7 +66,14 @@ def q_expect_min_distinct(spark, sf_dir):
 
 
 @query("expect_equal", cat._with("""
-SELECT 'sql join equals frame join' AS rule, CAST(0 AS BIGINT) AS violations"""))
+, j AS (SELECT b.book_id, b.title, b.price_gbp, b.price_inr, b.rating, b.in_stock,
+              c.category_name AS category FROM books b JOIN categories c USING (category_id)),
+k AS (SELECT b.book_id, b.title, b.price_gbp, b.price_inr, b.rating, b.in_stock,
+             (SELECT max(c.category_name) FROM categories c WHERE c.category_id = b.category_id) AS category FROM books b
+      WHERE b.category_id IN (SELECT category_id FROM categories))
+SELECT 'sql join equals frame join' AS rule, (SELECT count(*) FROM (SELECT * FROM j EXCEPT ALL SELECT * FROM k))
+  + (SELECT count(*) FROM (SELECT * FROM k EXCEPT ALL SELECT * FROM j)) + abs((SELECT count(*) FROM j) - (SELECT count(*) FROM k)) AS violations"""
+                                     .replace("\n, j AS", ", j AS")))
 def q_expect_equal(spark, sf_dir):
     """The catalog join by SQL and by the frame API, rows and order compared."""
     from pyspark.sql import functions as F

@@ -325,7 +325,7 @@ SELECT q.query_id, b.attempt, coalesce(a.answer, '{rt.FAILED_ANSWER}') AS answer
 FROM (SELECT DISTINCT query_id FROM raw) q LEFT JOIN best b USING (query_id)
 LEFT JOIN att a ON a.query_id = b.query_id AND a.attempt = b.attempt""")
 def q_first_valid_attempt(spark, sf_dir):
-    r = rt.number_attempts(raw_responses(spark, sf_dir), "query_id", ["ts", "event_id"])
+    r = rt.number_attempts(raw_responses(spark, sf_dir), "query_id", ["ts", "event_id"], limit=3)
     f = rt.first_valid_attempt(r, "query_id", "attempt", "raw")
     return f.select("query_id", "attempt", "answer", F.array_join("sources", ",").alias("sources"),
                     "confidence")

@@ -75,3 +75,18 @@ def test_quota_prefix_stops_at_third_category(spark, golden):
     assert cl.quota_prefix(raw, "category", "ordinal", 40, 2).count() == 43
     with pytest.raises(ValueError, match="never 70 clean rows"):
         cl.quota_prefix(raw, "category", "ordinal", 70, 3)
+
+
+def test_frames_equal_by_sums_and_row_by_row(spark):
+    a = spark.createDataFrame([(1, "x", None), (2, None, 0.5), (2, None, 0.5)], "i int, s string, f double")
+    same = a.orderBy("i", ascending=False).repartition(3)
+    assert tuple(rel.frames_equal(a, same, order=[a["i"]]).first()) == (True, 3, 3, 0, 0)
+    assert tuple(rel.frames_equal(a.limit(0), a.limit(0)).first()) == (True, 0, 0, 0, 0)
+    fewer = a.dropDuplicates()
+    assert tuple(rel.frames_equal(a, fewer).first()) == (False, 3, 2, 1, 0)
+    swapped = spark.createDataFrame([(1, None, None), (2, "x", 0.5), (2, None, 0.5)], "i int, s string, f double")
+    assert tuple(rel.frames_equal(a, swapped).first()) == (False, 3, 3, 2, 2)
+    # a null moved to another column
+    left = spark.createDataFrame([("x", None)], "s string, t string")
+    right = spark.createDataFrame([(None, "x")], "s string, t string")
+    assert rel.bag_sums(left) != rel.bag_sums(right) and rel.frames_equal(left, right).first()["equal"] is False

@@ -19,6 +19,24 @@ def test_stratified_split_sizes(spark):
     assert s.select("id").distinct().count() == 891
 
 
+def test_nth_by_digits_equals_sorting(spark):
+    df = spark.range(3000).select((F.col("id") % 3).alias("grp"), F.struct(
+        F.md5((F.col("id") % 900).cast("string")).alias("h"), F.col("id").alias("k")).alias("p"))
+    rows = {}
+    for r in df.collect():
+        rows.setdefault(r["grp"], []).append(tuple(r["p"]))
+    wanted = spark.createDataFrame([(0, 1), (1, 1000), (2, 0)], "grp bigint, n bigint")
+    for options in ({}, {"digits": 1, "ordered": 30}, {"digits": 11, "ordered": 0}):  # the last: all digits used up, ties by key
+        got = {r["grp"]: tuple(r["last"]) for r in fe.nth_by_digits(df, wanted, **options).collect()}
+        assert got == {0: sorted(rows[0])[0], 1: sorted(rows[1])[999]}
+
+
+def test_random_split_takes_the_first_by_digest(spark):
+    s = fe.random_split(_labels(spark), "id")
+    order = sorted(range(891), key=lambda i: (__import__("hashlib").md5(str(i).encode()).hexdigest(), i))
+    assert {r["id"] for r in s.where("split = 'test'").collect()} == set(order[:179])
+
+
 def test_split_is_deterministic(spark):
     a = fe.stratified_split(_labels(spark), "y", "id").filter("split = 'test'").select("id")
     b = fe.stratified_split(_labels(spark).repartition(5), "y", "id").filter("split = 'test'").select("id")

@@ -21,6 +21,38 @@ def test_exact_quantiles_match_numpy_linear(spark):
             assert abs(got[(col, p)] - np.percentile(x, p * 100)) < 1e-9
 
 
+def test_quantiles_by_coarse_brackets_and_without_one(spark):
+    rng = np.random.default_rng(8)
+    x = np.concatenate([rng.lognormal(0, 6, 3000), -rng.lognormal(0, 3, 1500), np.repeat(2.5, 700), [1e300, -1e300]])
+    g = rng.integers(0, 3, len(x))
+    df = spark.createDataFrame(pd.DataFrame({"g": g, "x": x}))
+    probs = [0.0, 0.0004, 0.25, 0.5, 0.77, 0.9999, 1.0]
+    want = {(k, p): np.percentile(x[g == k], p * 100) for k in range(3) for p in probs}
+    # brackets of a coarse sketch; one that never fits its rank; values too many for one window
+    for options in ({"sketch": 50}, {"sketch": 10 ** 9}, {"sketch": 50, "bracket": 3}):
+        got = {(r["g"], r["p"]): r["quantile"] for r in pr.exact_quantiles(df, ["x"], probs, group="g", **options).collect()}
+        assert got.keys() == want.keys()
+        assert all(abs(got[k] - want[k]) <= 1e-9 * max(1, abs(want[k])) for k in want)
+
+
+def test_a_missed_bracket_is_counted_again(spark, monkeypatch):
+    monkeypatch.setattr(pr.F, "percentile_approx", lambda col, edges, acc: F.array(*[F.lit(5.0) for _ in edges]))
+    df = spark.createDataFrame([(float(i),) for i in range(100)], "x double")
+    got = {r["p"]: r["quantile"] for r in pr.exact_quantiles(df, ["x"], [0.25, 0.5]).collect()}
+    assert got == {0.25: 24.75, 0.5: 49.5}
+
+
+def test_density_curve_equals_the_sum_of_kernels(spark):
+    x = np.random.default_rng(5).normal(size=300).round(2)
+    df = spark.createDataFrame([(float(v),) for v in x] + [(None,)], "x double").repartition(4)
+    rows = pr.density_curve(df, "x", points=40).orderBy("point").collect()
+    bw = x.std(ddof=1) * len(x) ** -0.2
+    grid = np.linspace(x.min() - 3 * bw, x.max() + 3 * bw, 40)
+    want = np.exp(-0.5 * ((grid[:, None] - x[None, :]) / bw) ** 2).sum(axis=1) / (np.sqrt(2 * np.pi) * len(x) * bw)
+    assert np.allclose([r["x_value"] for r in rows], grid) and np.allclose([r["density"] for r in rows], want)
+    assert pr.density_curve(df.limit(0), "x").count() == 0
+
+
 def test_grouped_quantiles(spark):
     df = spark.createDataFrame([(g, float(v)) for g in (0, 1) for v in range(g * 10, g * 10 + 11)], "g int, v double")
     got = {r["g"]: r["quantile"] for r in pr.exact_quantiles(df, ["v"], [0.5], group="g").collect()}
