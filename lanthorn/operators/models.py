@@ -176,7 +176,8 @@ class NodeTable:
         model.write().overwrite().save(save_to)
         rows = spark.read.parquet(f"{save_to}/data").select(
             "treeID", "nodeData.id", "nodeData.prediction", "nodeData.impurityStats", "nodeData.leftChild", "nodeData.rightChild",
-            "nodeData.split.featureIndex", F.try_element_at("nodeData.split.leftCategoriesOrThreshold", F.lit(1)).alias("threshold"))
+            "nodeData.split.featureIndex", F.col("nodeData.split.leftCategoriesOrThreshold").alias("values"),
+            F.coalesce("nodeData.split.numCategories", F.lit(-1)).alias("categories"))
         table = rows.orderBy("treeID", "id").toPandas()
         start = table.groupby("treeID")["id"].transform("size").groupby(table["treeID"]).first().cumsum().shift(fill_value=0)
         first = table["treeID"].map(start).to_numpy(dtype=np.int64)
@@ -185,7 +186,14 @@ class NodeTable:
         self.left = np.where(self.leaf, 0, first + table["leftChild"].to_numpy())
         self.right = np.where(self.leaf, 0, first + table["rightChild"].to_numpy())
         self.feature = np.where(self.leaf, 0, table["featureIndex"].fillna(0).to_numpy(dtype=np.int64))
-        self.threshold = table["threshold"].fillna(0.0).to_numpy(dtype=np.float64)
+        values = [v if v is not None else () for v in table["values"]]
+        # a feature marked as categorical is split by a set of values, any other by a threshold
+        sets = (~self.leaf) & (table["categories"] >= 0).to_numpy()
+        self.threshold = np.array([v[0] if len(v) and not s else 0.0 for v, s in zip(values, sets)])
+        self.set_no = np.where(sets, np.cumsum(sets), 0)
+        self.goes_left = np.zeros((int(sets.sum()) + 1, int(max(table["categories"].max(), 0)) + 1), dtype=bool)
+        for no, v in zip(self.set_no[sets], (v for v, s in zip(values, sets) if s)):
+            self.goes_left[no, np.asarray(v, dtype=np.int64)] = True
         self.prediction = table["prediction"].to_numpy()
         stats = np.stack(table["impurityStats"].to_list()).astype(np.float64)
         total = stats.sum(axis=1, keepdims=True)
@@ -223,7 +231,9 @@ class NodeTable:
                     done[i] |= new
                 if done.all():
                     break
-                low = x[rows, self.feature[at]] <= self.threshold[at]
+                value, no = x[rows, self.feature[at]], self.set_no[at]
+                category = np.clip(np.where(no > 0, value, 0), 0, self.goes_left.shape[1] - 1).astype(np.int64)
+                low = np.where(no > 0, self.goes_left[no, category], value <= self.threshold[at])
                 at = np.where(self.leaf[at], at, np.where(low, self.left[at], self.right[at]))
             for j, number in enumerate(trees):
                 if number == t:

@@ -48,7 +48,10 @@ def test_cut_forest_equals_the_shallow_forest(spark):
     r = random.Random(4)
     rows = [(i, [r.random() for _ in range(4)]) for i in range(600)]
     rows = [(i, x, int(x[0] + 0.5 * x[1] * (x[2] > 0.4) + 0.35 * r.random() > 0.8)) for i, x in rows]
-    df = spark.createDataFrame(rows, "id int, x array<double>, y int").withColumn("features", array_to_vector("x"))
+    rows = [(i, *x, "abc"[int(x[3] * 3)], int(y ^ (x[3] > 0.7) if r.random() > 0.1 else y)) for i, x, y in rows]
+    df = spark.createDataFrame(rows, "id int, a double, b double, c double, d double, kind string, y int")
+    # one-hot columns are marked as categories, so trees split them by sets of values
+    df = md.FeaturePrep(numeric=["a", "b", "c"], categorical=["kind"]).fit(df).transform(df)
     df = df.select("id", "features", "y").repartition(2, "id").cache()
     seen, unseen = df.where("id % 3 > 0"), df.where("id % 3 = 0")
     deep = _forest(rows, numTrees=12, maxDepth=12).fit(seen)
