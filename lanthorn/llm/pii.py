@@ -26,22 +26,24 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lanthorn.llm.common import id_and_text, written
+from lanthorn.llm.folds import once, placed
 
 KINDS = ("email", "ip", "card", "phone", "ctx")
-#: possessive forms of the base patterns (same matches, no deep recursion), with a cheap test that a match needs
+#: possessive forms of the base patterns (same matches, no deep recursion), with a cheap test that a match needs; a match
+#: starts where a run of its characters begins or the last match ended, so a long run is tried once, not from every character
 PATTERNS = {
-    "email": (r"[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++", r"@[A-Za-z0-9-]"),
-    "ip": (r"[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++", r"[0-9]\.[0-9]"),
+    "email": (r"(?:\G|(?<![A-Za-z0-9._%+-]))[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++", r"@[A-Za-z0-9-]"),
+    "ip": (r"(?<![0-9])[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++", r"[0-9]\.[0-9]"),
     "card": (r"[0-9](?:[\x20-]?[0-9])++", r"[0-9](?:[\x20-]?[0-9]){11}"),
     "phone": (r"\+[0-9][\x20().0-9-]+[0-9]", r"\+[0-9]"),
 }
 _PART = r"0*(?:[0-9]{1,2}|1[0-9]{2}|2[0-4][0-9]|25[0-5])"
-TOKEN = r"\S*[0-9@]\S*"
+TOKEN = r"(?<!\S)\S*[0-9@]\S*"
 #: digit groups set apart by blanks; each ends at a blank, the end or closing marks (possessive, so no deep recursion)
 _DIGITS = r"[0-9]++(?:[().+-]++[0-9]++)*+"
 _GROUP = rf"(?:\(\+?+{_DIGITS}\)|{_DIGITS})(?![^\s.,;:!?)\]}}>\"'])"
 RUN = rf"(?<![^\s(\[{{<\"'])\+?+{_GROUP}(?:\x20++{_GROUP})++"
-OPENING, CLOSING = r"^[(\[{<\"']+", r"[.,;:!?)\]}>\"']+$"
+OPENING, CLOSING = r"^[(\[{<\"']+", r"(?<![.,;:!?)\]}>\"'])[.,;:!?)\]}>\"']++$"
 CONTEXT_CHARS = 60
 MIN_DIGITS = 7
 DOTTED = r"^[0-9]{1,3}(?:\.[0-9]{1,3}){3}$"
@@ -86,15 +88,17 @@ def _spans(kind: str, text: Column) -> Column:
     zipped = F.arrays_zip(F.split(text, pattern, -1).alias("p"), F.regexp_extract_all(text, F.lit(pattern), F.lit(0)).alias("m"))
     none = F.array().cast(SPANS)
 
-    def step(a, x):
-        start = a["at"] + F.length(x["p"])
+    def element(x):
+        start = F.length(x["p"])
         end = start + F.coalesce(F.length(x["m"]), F.lit(0))
-        one = F.array(F.struct(start.alias("s"), F.lit(k).alias("k"), end.alias("e")))
         ok = F.when(x["m"].isNotNull(), _valid(kind, x["m"])).otherwise(False)
-        return F.struct(end.alias("at"), F.when(ok, F.concat(a["out"], one)).otherwise(a["out"]).alias("out"))
+        one = F.array(F.struct(start.alias("s"), F.lit(k).alias("k"), end.alias("e")))
+        return F.struct(end.alias("len"), F.when(ok, one).otherwise(none).alias("found"))
+
+    def shifted(x, by):
+        return F.struct((x["s"] + by).alias("s"), x["k"].alias("k"), (x["e"] + by).alias("e"))
 
-    found = F.aggregate(zipped, F.struct(F.lit(0).alias("at"), none.alias("out")), step, lambda a: a["out"])
-    return F.when(text.rlike(needs), found).otherwise(none)
+    return F.when(text.rlike(needs), placed(F.transform(zipped, element), none, shifted)).otherwise(none)
 
 
 def _candidates(text: Column, pattern: str, needs: str) -> Column:
@@ -102,26 +106,33 @@ def _candidates(text: Column, pattern: str, needs: str) -> Column:
     opening = (lambda m: F.regexp_replace(m, OPENING, "")) if pattern == TOKEN else (lambda m: m)
     closing = (lambda m: F.regexp_replace(m, CLOSING, "")) if pattern == TOKEN else (lambda m: m)
     pieces, tokens = F.split(text, pattern, -1), F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
-    zipped = F.arrays_zip(pieces.alias("p"), tokens.alias("m"), F.slice(pieces, F.lit(2), F.size(pieces)).alias("q"))
+
+    def zipped(pieces, tokens):
+        """Each match with the piece before it, the match before that, and the piece after it."""
+        return F.arrays_zip(pieces.alias("p"), tokens.alias("m"), F.concat(F.array(F.lit("")), tokens).alias("b"),
+                            F.slice(pieces, F.lit(2), F.size(pieces)).alias("q"))
+
     none = F.array().cast(CANDIDATES)
     fold = lambda w: F.regexp_replace(F.lower(w), r"[0-9]", "9")
 
-    def step(a, x):
+    def element(x):
         m = F.coalesce(x["m"], F.lit(""))
-        begin = a["at"] + F.length(x["p"])
+        begin = F.length(x["p"])
         core = closing(opening(m))
         start = begin + F.length(m) - F.length(opening(m))
         before = F.regexp_extract(F.right(x["p"], F.lit(CONTEXT_CHARS)), r"(\S+)\s*$", 1)
-        left = F.when(before == "", a["before"]).otherwise(before)
+        left = F.when(before == "", F.regexp_extract(F.coalesce(x["b"], F.lit("")), r"(\S*)$", 1)).otherwise(before)
         right = F.regexp_extract(F.left(x["q"], F.lit(CONTEXT_CHARS)), r"^\s*(\S+)", 1)
         one = F.array(F.struct(start.cast("int").alias("s"), (start + F.length(core)).cast("int").alias("e"), F.lower(core).alias("value"),
                                fold(left).alias("left"), fold(right).alias("right")))
         wanted = (F.length(_digits(core)) >= MIN_DIGITS) | (F.contains(core, F.lit("@")) & (F.length(core) > 2)) | core.rlike(DOTTED)
-        return F.struct((begin + F.length(m)).alias("at"), F.regexp_extract(m, r"(\S*)$", 1).alias("before"),
-                        F.when(wanted, F.concat(a["out"], one)).otherwise(a["out"]).alias("out"))
+        return F.struct((begin + F.length(m)).alias("len"), F.when(wanted, one).otherwise(none).alias("found"))
+
+    def shifted(x, by):
+        return F.struct((x["s"] + by).alias("s"), (x["e"] + by).alias("e"), *[x[c].alias(c) for c in ("value", "left", "right")])
 
-    start = F.struct(F.lit(0).alias("at"), F.lit("").alias("before"), none.alias("out"))
-    return F.when(text.rlike(needs), F.aggregate(zipped, start, step, lambda a: a["out"])).otherwise(none)
+    elements = once(F.struct(pieces.alias("p"), tokens.alias("m")), lambda z: F.transform(zipped(z["p"], z["m"]), element))
+    return F.when(text.rlike(needs), placed(elements, none, shifted)).otherwise(none)
 
 
 def scanned(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

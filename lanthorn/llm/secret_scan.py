@@ -25,6 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lanthorn.llm.common import id_and_text, written
+from lanthorn.llm.folds import placed
 
 KINDS = ("assign", "access", "hex", "markov")
 #: pattern (possessive forms, the same matches), a cheap test that a match needs, and what is left of a match to check
@@ -60,14 +61,17 @@ def spans(text: Column, pattern: str, needs: Column, valid, kind: int) -> Column
     zipped = F.arrays_zip(pieces.alias("p"), matches.alias("m"))
     none = F.array().cast(SPANS)
 
-    def step(a, x):
-        start = a["at"] + F.length(x["p"])
+    def element(x):
+        start = F.length(x["p"])
         end = start + F.coalesce(F.length(x["m"]), F.lit(0))
-        one = F.array(F.struct(start.alias("s"), F.lit(kind).alias("k"), end.alias("e")))
         ok = F.when(x["m"].isNotNull(), valid(x["m"])).otherwise(False)
-        return F.struct(end.alias("at"), F.when(ok, F.concat(a["out"], one)).otherwise(a["out"]).alias("out"))
+        one = F.array(F.struct(start.alias("s"), F.lit(kind).alias("k"), end.alias("e")))
+        return F.struct(end.alias("len"), F.when(ok, one).otherwise(none).alias("found"))
+
+    def shifted(x, by):
+        return F.struct((x["s"] + by).alias("s"), x["k"].alias("k"), (x["e"] + by).alias("e"))
 
-    return F.when(needs, F.aggregate(zipped, F.struct(F.lit(0).alias("at"), none.alias("out")), step, lambda a: a["out"])).otherwise(none)
+    return F.when(needs, placed(F.transform(zipped, element), none, shifted)).otherwise(none)
 
 
 def base_spans(text: Column) -> Column:
