@@ -84,7 +84,7 @@ def stratified_split(df: DataFrame, label: str, key: str, test_fraction: float =
     alloc = alloc.checkpoint(eager=True)
     last = nth_by_digits(places, alloc.select(F.col(label).alias("grp"), F.col("n_test").alias("n")))
     last = last.toDF(label, "__last")
-    borders = alloc.select(label).join(last, label, "left")
+    borders = alloc.select(label).join(last, label, "left").checkpoint(eager=True)  # one row per label
     return (df.join(small_side(borders), label)
             .withColumn(split_col, F.when(place <= F.col("__last"), F.lit("test")).otherwise(F.lit("train")))
             .drop("__last"))
