@@ -34,6 +34,18 @@ def id_and_text(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     return docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
 
 
+def free_names(df: DataFrame, *names: str) -> list[str]:
+    """``names``, each lengthened until no column of ``df`` has it (Spark does not tell upper case from lower)."""
+    taken = {c.lower() for c in df.columns}
+    out = []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        taken.add(name.lower())
+        out.append(name)
+    return out
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
     """Write to the shared checkpoint folder and read back: cuts lineage, survives lost executors."""
     spark = df.sparkSession

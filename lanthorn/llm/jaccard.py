@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from lanthorn.llm import textbuf as tb
-from lanthorn.llm.common import count_blobs, id_and_bytes, release, summed_counts, written
+from lanthorn.llm.common import count_blobs, free_names, id_and_bytes, release, summed_counts, written
 
 WIDTH = 4
 PERCENT = 85
@@ -303,14 +303,15 @@ def segments_of(pairs: DataFrame, segs: DataFrame | None, base: DataFrame, heat,
 def one_per_component(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT, id_col: str = "doc_id",
                       text_col: str = "text") -> DataFrame:
     """``docs`` with one document of each component, that of the smallest id; equal rows of one id are one document."""
+    gone_id, copy = free_names(docs, "gone_id", "copy_of_" + id_col)
     found = written(jaccard_components(docs, width, percent, id_col, text_col), "jaccard-found")
-    gone = found.where("component_id <> doc_id").select(F.col("doc_id").alias("gone_id")).distinct()
+    gone = found.where("component_id <> doc_id").select(F.col("doc_id").alias(gone_id)).distinct()
     # the ids are broadcast only below a checked count; beyond it the texts are shuffled
     gone = F.broadcast(gone) if gone.count() <= BROADCAST_IDS else gone.hint("merge")
-    kept = docs.join(gone, F.col(id_col).cast("bigint") == F.col("gone_id"), "left_anti")
+    kept = docs.join(gone, F.col(id_col).cast("bigint") == F.col(gone_id), "left_anti")
     again = found.where("n_shingles > 0 and doc_id is not null").groupBy("doc_id").count().where("count > 1")
     if again.isEmpty():
         return kept
     order = Window.partitionBy(id_col).orderBy(F.col(text_col), *[c for c in docs.columns if c not in (id_col, text_col)])
-    numbered = kept.withColumn("copy_of_" + id_col, F.row_number().over(order))
-    return numbered.where((F.col("copy_of_" + id_col) == 1) | F.col(id_col).isNull()).select(*docs.columns)
+    numbered = kept.withColumn(copy, F.row_number().over(order))
+    return numbered.where((F.col(copy) == 1) | F.col(id_col).isNull()).select(*docs.columns)

@@ -22,7 +22,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from lanthorn.llm.common import written
+from lanthorn.llm.common import free_names, written
 
 WEIGHTS = (1, 2, 3)
 CAP = 3
@@ -193,14 +193,15 @@ def repeated(docs: DataFrame, weights=WEIGHTS, cap: int = CAP, id_col: str = "do
 
     Rows of one id, source and size are told apart by their order, so repeated rows get their own copies.
     """
+    mix_id, mix_size, mix_copies, mix_words, mix_n, mix_copy = free_names(docs, "mix_id", "mix_size", "mix_copies", "mix_words", "mix_n", "mix_copy")
     taken = mixed(docs, weights, cap, id_col, text_col, source_col)
-    per = taken.groupBy(F.col("doc_id").alias("mix_id"), F.col("size").alias("mix_size")).agg(
-        F.sort_array(F.collect_list("copies"), asc=False).alias("mix_copies")).hint("merge")
-    sized = docs.withColumn("mix_words", word_count(F.col(text_col)))
-    rows = sized.join(per, F.col(id_col).cast("bigint").eqNullSafe(F.col("mix_id")) & (F.col("mix_words") == F.col("mix_size")))
-    order = Window.partitionBy("mix_id", "mix_size").orderBy(*[F.col(c) for c in (source_col, text_col)])
-    few = F.size("mix_copies") == 1
-    rows = rows.withColumn("mix_n", F.when(few, F.element_at("mix_copies", 1)).otherwise(
-        F.element_at("mix_copies", F.row_number().over(order).cast("int"))))
-    rows = rows.where("mix_n > 0").withColumn("mix_copy", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("mix_n"))))
+    per = taken.groupBy(F.col("doc_id").alias(mix_id), F.col("size").alias(mix_size)).agg(
+        F.sort_array(F.collect_list("copies"), asc=False).alias(mix_copies)).hint("merge")
+    sized = docs.withColumn(mix_words, word_count(F.col(text_col)))
+    rows = sized.join(per, F.col(id_col).cast("bigint").eqNullSafe(F.col(mix_id)) & (F.col(mix_words) == F.col(mix_size)))
+    order = Window.partitionBy(mix_id, mix_size).orderBy(*[F.col(c) for c in (source_col, text_col)])
+    few = F.size(mix_copies) == 1
+    rows = rows.withColumn(mix_n, F.when(few, F.element_at(mix_copies, 1)).otherwise(
+        F.element_at(mix_copies, F.row_number().over(order).cast("int"))))
+    rows = rows.where(F.col(mix_n) > 0).withColumn(mix_copy, F.explode(F.sequence(F.lit(1).cast("bigint"), F.col(mix_n))))
     return rows.select(*docs.columns)

@@ -25,7 +25,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lanthorn.llm.common import id_and_text, written
+from lanthorn.llm.common import free_names, id_and_text, written
 from lanthorn.llm.folds import once, placed
 
 KINDS = ("email", "ip", "card", "phone", "ctx")
@@ -215,11 +215,12 @@ def redact(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", leng
     Only documents with spans meet the span table; the others pass untouched.  Overlapping spans become one
     replacement, named by the first.  ``length_col``, if given, is set to the new length.
     """
+    doc, hash_, spans = free_names(docs, "doc", "hash", "spans")
     found = find_personal_data(docs, id_col, text_col).where(F.size("spans") > 0)
-    found = written(found.select(F.col("doc_id").alias("__doc"), F.col("h").alias("__hash"), F.col("spans").alias("__spans")).distinct(),
+    found = written(found.select(F.col("doc_id").alias(doc), F.col("h").alias(hash_), F.col("spans").alias(spans)).distinct(),
                     "pii-spans")
     # spans are broadcast only below a checked number; beyond it the texts are shuffled
-    number = found.select(F.coalesce(F.sum(F.size("__spans") + 2), F.lit(0))).first()[0]
+    number = found.select(F.coalesce(F.sum(F.size(spans) + 2), F.lit(0))).first()[0]
     found = F.broadcast(found) if number <= BROADCAST_SPANS else found.hint("merge")
     text = F.col(text_col)
     kinds = F.array(*map(F.lit, KINDS))
@@ -230,10 +231,10 @@ def redact(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", leng
         return F.struct(F.greatest(a["at"], x["e"]).alias("at"), F.when(later, F.concat(a["out"], F.array(piece))).otherwise(a["out"]).alias("out"))
 
     start = F.struct(F.lit(0).alias("at"), F.array().cast("array<string>").alias("out"))
-    new = F.aggregate("__spans", start, step, lambda a: F.concat(F.concat_ws("", a["out"]), F.substr(text, a["at"] + 1, F.length(text))))
-    key = F.col(id_col).cast("bigint").eqNullSafe(F.col("__doc")) & (F.xxhash64(F.coalesce(text.cast("string"), F.lit(""))) == F.col("__hash"))
+    new = F.aggregate(spans, start, step, lambda a: F.concat(F.concat_ws("", a["out"]), F.substr(text, a["at"] + 1, F.length(text))))
+    key = F.col(id_col).cast("bigint").eqNullSafe(F.col(doc)) & (F.xxhash64(F.coalesce(text.cast("string"), F.lit(""))) == F.col(hash_))
     rows = docs.join(found, key, "left")
-    rows = rows.withColumn(text_col, F.when(F.col("__spans").isNotNull(), new).otherwise(text))
+    rows = rows.withColumn(text_col, F.when(F.col(spans).isNotNull(), new).otherwise(text))
     if length_col:
-        rows = rows.withColumn(length_col, F.when(F.col("__spans").isNotNull(), F.length(text).cast("bigint")).otherwise(F.col(length_col)))
+        rows = rows.withColumn(length_col, F.when(F.col(spans).isNotNull(), F.length(text).cast("bigint")).otherwise(F.col(length_col)))
     return rows.select(*docs.columns)
