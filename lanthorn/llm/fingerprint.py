@@ -81,10 +81,9 @@ def phrases(x: np.ndarray, first: np.ndarray, level: int) -> tuple[np.ndarray, n
     label = _labels(y, start)
     cut = start.copy()
     cut[1:-1] |= (label[1:-1] > label[:-2]) & (label[1:-1] > label[2:]) & ~start[2:]
-    own = tb.TABLE[y] if y.dtype == np.uint8 else y
-    p, _ = tb.powers(len(own))
-    h = np.zeros(len(own) + 1, dtype=tb.U64)
-    np.cumsum(tb.mix(own + run * tb.U64(0x9FB21C651E98DF25)) * p[: len(own)], out=h[1:])
+    own = tb.TABLE[0][y] if y.dtype == np.uint8 else y
+    own = tb.mix(own + run * tb.U64(0x9FB21C651E98DF25))
+    h = tb.prefix_sums(own, own % tb.PRIME)
     s = np.flatnonzero(cut)
     e = np.append(s[1:], len(own))
     return tb.mix(tb.span_hash(h, s, e) + tb.U64(level)), start[s]

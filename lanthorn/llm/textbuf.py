@@ -3,8 +3,10 @@
 Every helper works on one bounded slice of an Arrow batch: the UTF-8 bytes of
 several whole texts lie end to end in one ``uint8`` array, ``starts`` and
 ``ends`` give each text's place.  Nothing here crosses a text boundary.
-Hashes are polynomial over a random byte table modulo 2^64, finished with a
-64-bit mixer; equal byte strings have equal hashes at any place in any batch.
+Hashes are two polynomials over random byte tables, one modulo 2^64 and one modulo the
+prime 2^31 - 1, joined by a 64-bit mixer; equal byte strings have equal hashes at any
+place in any batch.  The prime one tells apart the structured strings (Thue-Morse and
+its relatives) on which every polynomial modulo a power of two collides.
 """
 
 from __future__ import annotations
@@ -17,13 +19,18 @@ import pyarrow as pa
 U64 = np.uint64
 _BASE = 0x9E3779B97F4A7C15 | 1
 _BASE_INV = pow(_BASE, -1, 1 << 64)
-TABLE = np.random.default_rng(20240607).integers(1, 1 << 63, 256, dtype=np.int64).astype(U64) * U64(2) + U64(1)
+PRIME = U64((1 << 31) - 1)
+_PRIME_BASE = 1_284_865_837
+_random = np.random.default_rng(20240607)
+TABLE = np.stack([_random.integers(1, 1 << 63, 256, dtype=np.int64).astype(U64) * U64(2) + U64(1),
+                  _random.integers(1, int(PRIME), 256, dtype=np.int64).astype(U64)])
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
-TABLE_LOWER = TABLE[LOWER]
+TABLE_LOWER = TABLE[:, LOWER]
 IS_WORD = np.ones(256, dtype=bool)
 IS_WORD[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = False
 _powers: list[np.ndarray] = []
+_prime_powers: list[np.ndarray] = []
 
 
 def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
@@ -39,6 +46,23 @@ def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     return _powers[0], _powers[1]
 
 
+def prime_powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """B^0..B^n and B^-0..B^-n modulo ``PRIME`` (kept per Python worker)."""
+    if not _prime_powers or len(_prime_powers[0]) <= n:
+        size = max(n + 1, 1 << 20)
+        out = []
+        for b in (_PRIME_BASE, pow(_PRIME_BASE, -1, int(PRIME))):
+            p = np.ones(size, dtype=U64)
+            done = 1
+            while done < size:
+                more = min(done, size - done)
+                p[done:done + more] = p[:more] * U64(pow(b, done, int(PRIME))) % PRIME
+                done += more
+            out.append(p)
+        _prime_powers[:] = out
+    return _prime_powers[0], _prime_powers[1]
+
+
 def mix(h: np.ndarray) -> np.ndarray:
     """64-bit finaliser: every input bit reaches every output bit."""
     h = h ^ (h >> U64(33))
@@ -60,11 +84,8 @@ class Texts:
         return self.buf[self.starts[i]:self.ends[i]].tobytes()
 
     def prefix_hash(self, table: np.ndarray = TABLE) -> np.ndarray:
-        """H with H[j] - H[i] = sum of table[b_k] * B^k over i <= k < j."""
-        p, _ = powers(len(self.buf))
-        h = np.zeros(len(self.buf) + 1, dtype=U64)
-        np.cumsum(table[self.buf] * p[: len(self.buf)], out=h[1:])
-        return h
+        """``prefix_sums`` of the bytes' values in a table of two rows."""
+        return prefix_sums(table[0][self.buf], table[1][self.buf])
 
     def count_in(self, mask: np.ndarray) -> np.ndarray:
         """Per text: how many bytes have ``mask`` set."""
@@ -94,10 +115,21 @@ class Texts:
         return s, e, np.searchsorted(self.ends, s, side="right")
 
 
+def prefix_sums(wide: np.ndarray, prime: np.ndarray) -> np.ndarray:
+    """Two rows H with H[j] - H[i] = sum of v_k * B^k over i <= k < j, modulo 2^64 and ``PRIME`` (values below it)."""
+    n = len(wide)
+    h = np.zeros((2, n + 1), dtype=U64)
+    np.cumsum(wide * powers(n)[0][:n], out=h[0, 1:])
+    np.cumsum(prime * prime_powers(n)[0][:n] % PRIME, out=h[1, 1:])  # exact up to 2^33 values
+    return h
+
+
 def span_hash(h: np.ndarray, s: np.ndarray, e: np.ndarray) -> np.ndarray:
-    """Hash of bytes [s, e) from prefix hashes, the same wherever they lie."""
-    _, inv = powers(len(h))
-    return mix((h[e] - h[s]) * inv[s] + (e - s).astype(U64) * U64(0x2545F4914F6CDD1D))
+    """Hash of values [s, e) from prefix sums, the same wherever they lie."""
+    n = h.shape[1]
+    wide = (h[0][e] - h[0][s]) * powers(n)[1][s]
+    prime = (h[1][e] - h[1][s]) % PRIME * prime_powers(n)[1][s] % PRIME
+    return mix(mix(wide + (e - s).astype(U64) * U64(0x2545F4914F6CDD1D)) + prime * U64(0xD6E8FEB86659FD93))
 
 
 def chain(parts: list[np.ndarray]) -> np.ndarray:

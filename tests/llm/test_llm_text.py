@@ -10,7 +10,7 @@ import pytest
 from llm_cases import empty, odd, odd_rows, prose, rows
 from tokenizers import Tokenizer
 
-from lanthorn.llm import jaccard, quality_rules, sarray, tokens
+from lanthorn.llm import jaccard, quality_rules, sarray, textbuf, tokens
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -95,6 +95,31 @@ def test_one_document_per_component(spark):
     assert left == [1, 2, 3, 4, 5, 8, 9, 10, 12, 13, None]
 
 
+def doubled(a: str, b: str, times: int) -> list[str]:
+    """Thue-Morse words over two strings: the word and its complement after ``times`` doublings."""
+    x, y = a, b
+    for _ in range(times):
+        x, y = x + y, y + x
+    return [x, y]
+
+
+@pytest.mark.parametrize("a, b, times", [("a", "b", 10), ("a", "b", 13), ("ab", "ba", 11), ("x", "yz", 12), ("é", "ü", 11)])
+def test_structured_strings_do_not_collide(spark, a, b, times):
+    """Any polynomial modulo a power of two takes these pairs for equal."""
+    one, other = doubled(a, b, times)
+    raw = np.frombuffer((one + other).encode(), dtype=np.uint8)
+    n, ends = len(one.encode()), len(raw)
+    x = textbuf.Texts(raw, np.array([0, n]), np.array([n, ends]), 0)
+    h = textbuf.span_hash(x.prefix_hash(), np.array([0, n]), np.array([n, ends]))
+    assert h[0] != h[1]
+    again = textbuf.span_hash(textbuf.Texts(raw[n:], np.array([0]), np.array([ends - n]), 0).prefix_hash(), np.array([0]), np.array([ends - n]))
+    assert again[0] == h[1]
+    docs = spark.createDataFrame([(1, one), (2, other), (3, one + "\n" + other), (4, one + "\n" + one)], "doc_id bigint, text string")
+    assert [r[2] for r in rows(jaccard.jaccard_components(docs), "doc_id", "n_shingles", "component_id")] == [1, 2, 3, 4]
+    ratio = np.zeros(1 << 10)
+    assert rows(quality_rules.apply_rules(docs, ratio), "doc_id", "n_dup_lines") == [(1, 0), (2, 0), (3, 0), (4, 1)]
+
+
 def brute_rules(text):
     text = text or ""
     words = WORD.findall(text)
