@@ -39,7 +39,6 @@ WIDTH = 4
 PERCENT = 85
 SKETCH = 1 << 19
 SKETCH_SLICES = 16
-LOW = 1 << 62  # only n-grams of the lowest quarter of the hash order, from which prefixes come, are sketched
 HEAT_BITS = 5
 FRAGMENTS_BITS = 3
 SLICE_BYTES = 1 << 19
@@ -71,7 +70,7 @@ def shingles(x: tb.Texts, width: int) -> tuple[np.ndarray, np.ndarray]:
 def ordered_sets(x: tb.Texts, width: int, heat: np.ndarray):
     """Distinct shingles of every text of a slice in the global order: (order keys, offsets)."""
     h, d = shingles(x, width)
-    hot = np.where(h < tb.U64(LOW), heat[(h & tb.U64(SKETCH - 1)).astype(np.int64)], 0).astype(tb.U64)
+    hot = heat[(h & tb.U64(SKETCH - 1)).astype(np.int64)].astype(tb.U64)
     key = (hot << tb.U64(63 - HEAT_BITS)) | (h >> tb.U64(HEAT_BITS + 1))
     order = np.argsort(key)
     order = order[np.argsort(d[order].astype(np.uint16 if x.n < 65536 else np.int64), kind="stable")]
@@ -83,6 +82,12 @@ def ordered_sets(x: tb.Texts, width: int, heat: np.ndarray):
     return key, np.concatenate([[0], np.cumsum(sizes)]), d
 
 
+def fragment(key: np.ndarray) -> np.ndarray:
+    """Stretch of the global order an n-gram lies in: the coldest class makes several, each hotter class one."""
+    hot = key >> (63 - HEAT_BITS)
+    return np.where(hot == 0, key >> (63 - HEAT_BITS - FRAGMENTS_BITS), (1 << FRAGMENTS_BITS) - 1 + hot)
+
+
 def ngram_heat(docs: DataFrame, width: int, text_col: str = "text") -> np.ndarray:
     """Heat class per sketch cell: 0 for cells near the mean, else the bit length of the excess."""
 
@@ -91,7 +96,6 @@ def ngram_heat(docs: DataFrame, width: int, text_col: str = "text") -> np.ndarra
         for b in batches:
             for x in tb.slices(b, "text", SLICE_BYTES):
                 h, _ = shingles(x, width)
-                h = h[h < tb.U64(LOW)]
                 total += np.bincount((h & tb.U64(SKETCH - 1)).astype(np.int64), minlength=SKETCH)
         yield count_blobs(total, SKETCH_SLICES)
 
@@ -142,9 +146,7 @@ def segments(docs: DataFrame, heat, width: int) -> DataFrame:
         for b in batches:
             for x in tb.slices(b, "text", SLICE_BYTES):
                 key, offs, d = ordered_sets(x, width, heat.value)
-                frag = (key >> (63 - HEAT_BITS - FRAGMENTS_BITS)) & ((1 << FRAGMENTS_BITS) - 1)
-                order = np.lexsort((key, frag, d))
-                key, frag, d = key[order], frag[order], d[order]
+                frag = fragment(key)
                 new = np.ones(len(key), dtype=bool)
                 new[1:] = (frag[1:] != frag[:-1]) | (d[1:] != d[:-1])
                 at = np.flatnonzero(new)
@@ -201,7 +203,7 @@ def jaccard_components(docs: DataFrame, width: int = WIDTH, percent: int = PERCE
     classes = written(sets, "jaccard-classes")
 
     index = (prof.join(classes.hint("merge"), [prof.doc_id == classes.rep, prof.set_hash == classes.set_hash], "left_semi")
-             .select(F.col("doc_id").alias("rep"), F.col("n_shingles").alias("n"), F.explode("prefix").alias("gram")))
+             .select(F.col("doc_id").alias("rep"), F.col("n_shingles").alias("n"), F.posexplode("prefix").alias("place", "gram")))
     shared = written(shared_grams(index), "jaccard-index")
     release(spark)
     links = linked_classes(shared, prof, base, heat, width, percent)
@@ -217,8 +219,8 @@ def jaccard_components(docs: DataFrame, width: int = WIDTH, percent: int = PERCE
 def shared_grams(index: DataFrame) -> DataFrame:
     """Index rows of n-grams that occur in two classes at least, most n-grams occurring in one only."""
     seen = Window.partitionBy("gram").orderBy("rep")
-    ends = index.select("gram", "rep", "n", F.lag("rep").over(seen).alias("before"), F.lead("rep").over(seen).alias("after"))
-    return ends.where("before is not null or after is not null").select("gram", "rep", "n")
+    ends = index.select("gram", "rep", "n", "place", F.lag("rep").over(seen).alias("before"), F.lead("rep").over(seen).alias("after"))
+    return ends.where("before is not null or after is not null").select("gram", "rep", "n", "place")
 
 
 def linked_classes(shared: DataFrame, prof: DataFrame, base: DataFrame, heat, width: int, percent: int) -> DataFrame:
@@ -252,25 +254,29 @@ def still_open(rows: DataFrame, roots: DataFrame) -> DataFrame:
 
 
 def candidates(rows: DataFrame, turn: int, percent: int, tested: DataFrame | None) -> DataFrame:
-    """Untested pairs (a, b, na, nb) that may reach the threshold: with a hub per n-gram, in the last turn all across components."""
+    """Untested pairs (a, b, na, nb) that may reach the threshold: with a hub per n-gram, in the last turn all across components.
+
+    ``need`` is the smallest overlap of two sets at the threshold.  All n-grams they share lie at or after the first one in
+    both sets, so that one has ``need`` n-grams at least from its place on in each: rows of other n-grams need not meet.
+    Of these rows, the last leaves no more shared n-grams than follow it in either set.
+    """
+    need = f"((cast({percent} * (na + nb) as bigint) + {99 + percent}) div {100 + percent})"
+    alike = f"100 * least(na, nb) >= {percent} * greatest(na, nb)"
+    beyond = lambda n: f"cast(({percent} * {n} + 99) div 100 - 1 as bigint)"  # noqa: E731  n-grams after the prefix
     if turn < HUB_ROUNDS:
         order = F.col("rep") if turn == 0 else F.xxhash64("rep", F.lit(turn))
         hubs = rows.groupBy("gram").agg(F.min(F.struct(order.alias("o"), "rep", "n", "root")).alias("hub"))
         pairs = (rows.join(hubs, "gram").where("root <> hub.root")
                  .selectExpr("rep as x", "n as nx", "hub.rep as y", "hub.n as ny"))
-    else:
-        one = rows.selectExpr("gram", "rep as x", "n as nx", "root as rx")
-        other = rows.selectExpr("gram", "rep as y", "n as ny", "root as ry")
-        pairs = one.join(other, "gram").where(f"x < y and rx <> ry and 100 * least(nx, ny) >= {percent} * greatest(nx, ny)")
-    pairs = pairs.selectExpr("least(x, y) as a", "greatest(x, y) as b", "if(x < y, nx, ny) as na", "if(x < y, ny, nx) as nb")
-    pairs = pairs.where(f"100 * least(na, nb) >= {percent} * greatest(na, nb)").groupBy("a", "b", "na", "nb").agg(
-        F.count("*").alias("met"))
-    beyond = lambda n: f"cast(({percent} * {n} + 99) div 100 - 1 as bigint)"  # noqa: E731  n-grams after the prefix
-    if turn < HUB_ROUNDS:
+        pairs = pairs.selectExpr("least(x, y) as a", "greatest(x, y) as b", "if(x < y, nx, ny) as na", "if(x < y, ny, nx) as nb")
+        pairs = pairs.where(alike).groupBy("a", "b", "na", "nb").agg(F.count("*").alias("met"))
         pairs = pairs.where(f"{HUB_SHARE} * met >= least(na - {beyond('na')}, nb - {beyond('nb')})")
     else:
-        # of the set whose prefix ends first, every n-gram up to there has been met or is not shared
-        pairs = pairs.where(f"{100 + percent} * (met + greatest({beyond('na')}, {beyond('nb')})) >= {percent} * (na + nb)")
+        one = rows.selectExpr("gram", "rep as a", "n as na", "place as pa", "root as ra")
+        other = rows.selectExpr("gram", "rep as b", "n as nb", "place as pb", "root as rb")
+        pairs = one.join(other, "gram").where(f"a < b and ra <> rb and {alike} and pa + {need} <= na and pb + {need} <= nb")
+        pairs = pairs.groupBy("a", "b", "na", "nb").agg(F.count("*").alias("met"), F.max("pa").alias("pa"), F.max("pb").alias("pb"))
+        pairs = pairs.where(f"met + least(na - 1 - pa, nb - 1 - pb) >= {need}")
     pairs = pairs.select("a", "b", "na", "nb")
     return pairs if tested is None else pairs.join(tested, ["a", "b"], "left_anti")
 

@@ -52,8 +52,12 @@ def shingle_set(text, width=4):
     return frozenset(tuple(w[i:i + width]) for i in range(len(w) - width + 1)) if len(w) >= width else frozenset([tuple(w)] if w else [])
 
 
-def brute_components(docs, percent=85):
-    sets = [(i, shingle_set(t)) for i, t in docs]
+def brute_components_of_width(docs, width, percent):
+    return [(i, c) for i, _, c in brute_components(docs, percent, width)]
+
+
+def brute_components(docs, percent=85, width=4):
+    sets = [(i, shingle_set(t, width)) for i, t in docs]
     root = {i: i for i, _ in sets}
 
     def find(x):
@@ -90,6 +94,24 @@ def test_jaccard_chain_is_one_component(spark):
     assert len({w[2] for w in want}) == 3 and 100 * len(sets[0] & sets[11]) < 85 * len(sets[0] | sets[11])
 
 
+def test_jaccard_of_documents_made_of_common_passages(spark):
+    """Texts of three of eight common passages and a few own words, near copies among them: every link is found."""
+    passages = [prose(100 + k, 60).replace("\n", " ") for k in range(8)]
+    docs = []
+    for i in range(140):
+        parts = [passages[(i * 7 + j * (1 + i % 3)) % 8] for j in range(3)]
+        docs.append((1000 - i, " ".join([*parts, prose(500 + i // 2 if i % 5 else 900 + i, 6 + i % 25).replace("\n", " ")])))
+    got = rows(jaccard.jaccard_components(spark.createDataFrame(docs, "doc_id bigint, text string"), 5, 80), "doc_id", "component_id")
+    want = brute_components_of_width(docs, 5, 80)
+    assert got == sorted(want) and 2 < len({c for _, c in want}) < 140
+
+
+def test_fragments_are_stretches_of_the_order():
+    key = np.sort(np.random.default_rng(1).integers(0, (1 << 63) - 1, 5000))
+    cut = jaccard.fragment(np.concatenate([key >> 5, key]))
+    assert (np.diff(jaccard.fragment(key)) >= 0).all() and cut.min() == 0 and len(np.unique(cut[:5000])) == 8
+
+
 def test_one_document_per_component(spark):
     left = [r[0] for r in rows(jaccard.one_per_component(odd(spark)), "doc_id")]
     assert left == [1, 2, 3, 4, 5, 8, 9, 10, 12, 13, None]
