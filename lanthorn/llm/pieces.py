@@ -21,9 +21,10 @@ returned.  Texts are never cut.
 
 from __future__ import annotations
 
+import re
+
 import numpy as np
 import pyarrow as pa
-import regex
 from pyspark.sql import DataFrame
 
 from lanthorn.llm.common import id_and_text
@@ -36,7 +37,8 @@ CACHE_WORDS = 400_000
 CACHE_PAIRS = 4_000_000
 LONG = 1 << 40
 ENCODED = "doc_id bigint, text string, n_pieces bigint, n_byte_pieces bigint, ids binary"
-_words = regex.compile(f"{MARK}*[^{MARK}]+|{MARK}+").findall
+DECODED = ENCODED + ", decoded string"
+_words = re.compile(f"{MARK}*[^{MARK}]+|{MARK}+").findall
 
 
 class PieceModel:
@@ -178,7 +180,9 @@ class Encoder:
         quads = rows.view(">u8").astype(np.uint64)
         order = np.lexsort(quads.T[::-1])
         keys = rows[order].view(f"S{WIDTH * kind.itemsize}").reshape(-1)
-        here = np.isin(self.m.spell[self.m.unknown + 1:], used).all(axis=1)
+        has = np.zeros(self.m.unknown + 1, dtype=bool)
+        has[used] = True
+        here = has[self.m.spell[self.m.unknown + 1:]].all(axis=1)
         piece = np.flatnonzero(here)
         spell, size = renumber[self.m.spell[self.m.unknown + 1:][piece]], self.m.length[self.m.unknown + 1:][piece]
         beyond = np.arange(WIDTH)[None, :] >= size[:, None]
@@ -259,12 +263,16 @@ class Encoder:
         return [b"".join(map(self.words.__getitem__, w)) for w in cut]
 
 
-def encode(docs: DataFrame, model: PieceModel, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, text, n_pieces, n_byte_pieces, ids): ids are int32, little endian, in a binary column."""
+def encode(docs: DataFrame, model: PieceModel, id_col: str = "doc_id", text_col: str = "text", back: bool = False) -> DataFrame:
+    """(doc_id, text, n_pieces, n_byte_pieces, ids): ids are int32, little endian, in a binary column.
+
+    With ``back`` a column ``decoded`` follows: what ``decode`` would make of the ids, in the same pass over the texts.
+    """
     shared = docs.sparkSession.sparkContext.broadcast(model)  # bounded by the vocabulary
 
     def run(batches):
         encoder = Encoder(shared.value)
+        plain = decoder(shared.value)
         is_byte = np.zeros(len(shared.value.raw), dtype=bool)
         is_byte[list(shared.value.byte_id.values())] = True
         for b in batches:
@@ -279,13 +287,16 @@ def encode(docs: DataFrame, model: PieceModel, id_col: str = "doc_id", text_col:
                 size = np.array([len(x) // 4 for x in ids], dtype=np.int64)
                 bytes_in = np.concatenate([[0], np.cumsum(is_byte[np.frombuffer(b"".join(ids), "<i4")])])
                 stop = np.cumsum(size)
-                yield pa.RecordBatch.from_arrays(
-                    [b.column(0).slice(at, end - at), b.column(1).slice(at, end - at), long_column(size),
-                     long_column(bytes_in[stop] - bytes_in[stop - size]), pa.array(ids, pa.binary())],
-                    names=["doc_id", "text", "n_pieces", "n_byte_pieces", "ids"])
+                columns = [b.column(0).slice(at, end - at), b.column(1).slice(at, end - at), long_column(size),
+                           long_column(bytes_in[stop] - bytes_in[stop - size]), pa.array(ids, pa.binary())]
+                names = ["doc_id", "text", "n_pieces", "n_byte_pieces", "ids"]
+                if back:
+                    columns.append(pa.array([plain(x) for x in ids], pa.string()))
+                    names.append("decoded")
+                yield pa.RecordBatch.from_arrays(columns, names=names)
                 at = end
 
-    return id_and_text(docs, id_col, text_col).mapInArrow(run, ENCODED)
+    return id_and_text(docs, id_col, text_col).mapInArrow(run, DECODED if back else ENCODED)
 
 
 def decoder(model: PieceModel):
@@ -310,7 +321,6 @@ def decoder(model: PieceModel):
 def decode(encoded: DataFrame, model: PieceModel) -> DataFrame:
     """The encoded rows with ``decoded`` text beside their other columns but ``ids``' use."""
     shared = encoded.sparkSession.sparkContext.broadcast(model)
-    schema = ENCODED + ", decoded string"
 
     def run(batches):
         back = decoder(shared.value)
@@ -319,4 +329,4 @@ def decode(encoded: DataFrame, model: PieceModel) -> DataFrame:
                 [*b.columns, pa.array([back(x) for x in b.column(4).to_pylist()], pa.string())],
                 names=[*b.schema.names, "decoded"])
 
-    return encoded.select("doc_id", "text", "n_pieces", "n_byte_pieces", "ids").mapInArrow(run, schema)
+    return encoded.select("doc_id", "text", "n_pieces", "n_byte_pieces", "ids").mapInArrow(run, DECODED)
