@@ -2,7 +2,10 @@
 
 A document's set holds the hashes of its distinct word shingles.  All n-grams have
 one global order: first by heat (a coarse class of how often the n-gram occurs,
-from a sketch summed over the corpus), then by hash.  The order is cut into
+from a sketch summed over the corpus), then by hash.  The sketch's sight ends at the noise of its cells, so n-grams of the
+coldest class that ``CROWD`` sets or more share are counted exactly (in the prefixes, then in the whole sets of those that
+hold one there), marked in a table of bits of fixed size and moved up one class; a full table would leave the order
+as it was, never wrong.  The order is cut into
 fragments, so each set falls into one segment per fragment.
 
 1. *Prefix index.*  Two sets that reach the threshold share one of the first
@@ -40,7 +43,11 @@ PERCENT = 85
 SKETCH = 1 << 19
 SKETCH_SLICES = 16
 HEAT_BITS = 5
+HASH_BITS = 63 - HEAT_BITS
 FRAGMENTS_BITS = 3
+CROWD = 8  # so many sets that share an n-gram of the coldest class move it up
+CROWD_BITS = 26  # of the table of crowded n-grams, 8 MiB whatever the corpus
+BITMAP_BITS = 1 << 15  # of one of Spark's bitmaps
 SLICE_BYTES = 1 << 19
 HUB_ROUNDS = 2
 HUB_SHARE = 4  # a hub pair is verified if it meets at a quarter of the shorter prefix at least
@@ -67,11 +74,23 @@ def shingles(x: tb.Texts, width: int) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate(out), np.concatenate(at)
 
 
-def ordered_sets(x: tb.Texts, width: int, heat: np.ndarray):
-    """Distinct shingles of every text of a slice in the global order: (order keys, offsets)."""
+def crowded(key: np.ndarray, marks: np.ndarray) -> np.ndarray:
+    """Whether n-grams (by order key) are of the coldest class and marked as crowded."""
+    cell = key & ((1 << CROWD_BITS) - 1)
+    return (key >> HASH_BITS == 0) & ((marks[cell >> 3] >> (cell & 7).astype(np.uint8)) & 1 == 1)
+
+
+def ordered_sets(x: tb.Texts, width: int, order_of):
+    """Distinct shingles of every text of a slice in the global order: (order keys, offsets, text per key).
+
+    ``order_of`` holds the heat classes and the marks of crowded n-grams.  The low ``HASH_BITS`` of a key do not depend on it.
+    """
+    heat, marks = order_of
     h, d = shingles(x, width)
     hot = heat[(h & tb.U64(SKETCH - 1)).astype(np.int64)].astype(tb.U64)
-    key = (hot << tb.U64(63 - HEAT_BITS)) | (h >> tb.U64(HEAT_BITS + 1))
+    key = (hot << tb.U64(HASH_BITS)) | (h >> tb.U64(HEAT_BITS + 1))
+    if marks is not None:
+        key |= crowded(key.astype(np.int64), marks).astype(tb.U64) << tb.U64(HASH_BITS)
     order = np.argsort(key)
     order = order[np.argsort(d[order].astype(np.uint16 if x.n < 65536 else np.int64), kind="stable")]
     key, d = key[order].astype(np.int64), d[order]
@@ -84,8 +103,8 @@ def ordered_sets(x: tb.Texts, width: int, heat: np.ndarray):
 
 def fragment(key: np.ndarray) -> np.ndarray:
     """Stretch of the global order an n-gram lies in: the coldest class makes several, each hotter class one."""
-    hot = key >> (63 - HEAT_BITS)
-    return np.where(hot == 0, key >> (63 - HEAT_BITS - FRAGMENTS_BITS), (1 << FRAGMENTS_BITS) - 1 + hot)
+    hot = key >> HASH_BITS
+    return np.where(hot == 0, key >> (HASH_BITS - FRAGMENTS_BITS), (1 << FRAGMENTS_BITS) - 1 + hot)
 
 
 def ngram_heat(docs: DataFrame, width: int, text_col: str = "text") -> np.ndarray:
@@ -106,9 +125,11 @@ def ngram_heat(docs: DataFrame, width: int, text_col: str = "text") -> np.ndarra
     return np.minimum(np.log2(excess).astype(np.int64), (1 << HEAT_BITS) - 1).astype(np.uint8)
 
 
-def profiles(docs: DataFrame, heat, width: int, percent: int) -> DataFrame:
+def profiles(docs: DataFrame, order_of, width: int, percent: int) -> DataFrame:
     """Per document: set size, set hash, the indexed prefix of its set, and parity bits of the set.
 
+    Only the prefix depends on the global order.
+
     A bit holds the parity of the n-grams that fall on it, so two sets' bits differ in no
     more places than the sets themselves: a bound that rules pairs out, never in.
     """
@@ -116,16 +137,17 @@ def profiles(docs: DataFrame, heat, width: int, percent: int) -> DataFrame:
     def run(batches):
         for b in batches:
             for x in tb.slices(b, "text", SLICE_BYTES):
-                key, offs, d = ordered_sets(x, width, heat.value)
+                key, offs, d = ordered_sets(x, width, order_of.value)
                 n = np.diff(offs)
-                mixed = np.concatenate([[tb.U64(0)], np.cumsum(tb.mix(key.astype(tb.U64)), dtype=tb.U64)])
+                grams = tb.mix((key & ((1 << HASH_BITS) - 1)).astype(tb.U64))
+                mixed = np.concatenate([[tb.U64(0)], np.cumsum(grams, dtype=tb.U64)])
                 sets = tb.mix((mixed[offs[1:]] - mixed[offs[:-1]]) + n.astype(tb.U64)).astype(np.int64)
                 keep = np.where(n > 0, n - (percent * n + 99) // 100 + 1, 0)
                 rank = np.arange(len(key)) - offs[d]
                 taken = rank < keep[d]
                 prefix = pa.ListArray.from_arrays(
                     pa.array(np.concatenate([[0], np.cumsum(keep)]), pa.int32()), pa.array(key[taken]))
-                bit = (tb.mix(key.astype(tb.U64)) & tb.U64(SIGNATURE_BITS - 1)).astype(np.int64)
+                bit = (grams & tb.U64(SIGNATURE_BITS - 1)).astype(np.int64)
                 place, times = np.unique(d * SIGNATURE_BITS + bit, return_counts=True)
                 odd = np.zeros(x.n * SIGNATURE_BITS, dtype=np.uint8)
                 odd[place[times & 1 == 1]] = 1
@@ -139,13 +161,83 @@ def profiles(docs: DataFrame, heat, width: int, percent: int) -> DataFrame:
     return docs.mapInArrow(run, PROFILE)
 
 
-def segments(docs: DataFrame, heat, width: int) -> DataFrame:
+def whole_sets(docs: DataFrame, order_of, width: int) -> DataFrame:
+    """(prefix): all n-grams of each set, the prefix cut nowhere."""
+
+    def run(batches):
+        for b in batches:
+            for x in tb.slices(b, "text", SLICE_BYTES):
+                key, offs, _ = ordered_sets(x, width, order_of.value)
+                yield pa.RecordBatch.from_arrays([pa.ListArray.from_arrays(pa.array(offs, pa.int32()), pa.array(key))], names=["prefix"])
+
+    return docs.mapInArrow(run, "prefix array<bigint>")
+
+
+def crowded_cells(prefixes: DataFrame) -> np.ndarray:
+    """Packed table of the cells of n-grams of the coldest class that ``CROWD`` prefixes or more hold."""
+    grams = prefixes.select(F.explode("prefix").alias("gram")).where(f"gram < {1 << HASH_BITS}")
+    many = grams.groupBy("gram").count().where(f"count >= {CROWD}").selectExpr(f"(gram & {(1 << CROWD_BITS) - 1}) + 1 as cell")
+    maps = (many.groupBy(F.bitmap_bucket_number("cell").alias("bucket"))
+            .agg(F.bitmap_construct_agg(F.bitmap_bit_position("cell")).alias("bits")))
+    out = np.zeros(((1 << CROWD_BITS) // BITMAP_BITS, BITMAP_BITS // 8), dtype=np.uint8)
+    for row in maps.toLocalIterator():  # CROWD_BITS bound their number
+        out[row["bucket"] - 1] = np.frombuffer(row["bits"], np.uint8)
+    return out.reshape(-1)
+
+
+def holders_of_crowded(prefixes: DataFrame, order_of) -> DataFrame:
+    """(rep) of the prefixes with a crowded n-gram: all others stay as they are, crowded n-grams coming later."""
+
+    def run(batches):
+        for b in batches:
+            grams = b.column(1)
+            at = np.repeat(np.arange(len(grams)), np.diff(grams.offsets.to_numpy()))
+            hit = crowded(grams.flatten().to_numpy(zero_copy_only=False), order_of.value[1])
+            rows = np.unique(at[hit])
+            yield pa.RecordBatch.from_arrays([b.column(0).take(pa.array(rows))], names=["rep"])
+
+    return prefixes.select("rep", "prefix").mapInArrow(run, "rep bigint")
+
+
+def indexed_prefixes(prof: DataFrame, classes: DataFrame, base: DataFrame, heat: np.ndarray, width: int, percent: int):
+    """(rep, n, prefix) of the classes, and the global order they are cut from, its crowded n-grams moved up."""
+    spark = prof.sparkSession
+
+    def of_classes(rows):
+        keep = [rows.doc_id == classes.rep, rows.set_hash == classes.set_hash]
+        once = rows.join(classes.hint("merge"), keep, "left_semi").dropDuplicates(["doc_id", "set_hash"])
+        return once.selectExpr("doc_id as rep", "n_shingles as n", "prefix")
+
+    def texts_of(reps):
+        need = written(reps.distinct().withColumnRenamed("rep", "doc_id"), "jaccard-moved")
+        # the ids are broadcast only below a checked count; beyond it the texts are shuffled
+        few = need.count() <= BROADCAST_IDS
+        return need, base.join(F.broadcast(need) if few else need.hint("merge"), "doc_id", "left_semi")
+
+    prefixes = written(of_classes(prof), "jaccard-prefixes")
+    marks = crowded_cells(prefixes)
+    order_of = spark.sparkContext.broadcast((heat, marks))
+    if not marks.any():
+        return prefixes, order_of
+    _, texts = texts_of(holders_of_crowded(prefixes, order_of))
+    plain = spark.sparkContext.broadcast((heat, None))
+    order_of = spark.sparkContext.broadcast((heat, marks | crowded_cells(whole_sets(texts, plain, width))))
+    release(spark)
+    moved, texts = texts_of(holders_of_crowded(prefixes, order_of))
+    again = of_classes(profiles(texts, order_of, width, percent))
+    stay = prefixes.join(moved.withColumnRenamed("doc_id", "rep").hint("merge"), "rep", "left_anti")
+    prefixes = written(stay.union(again), "jaccard-prefixes")
+    release(spark)
+    return prefixes, order_of
+
+
+def segments(docs: DataFrame, order_of, width: int) -> DataFrame:
     """(rep, frag, grams): each set cut at the fragment borders of the global order."""
 
     def run(batches):
         for b in batches:
             for x in tb.slices(b, "text", SLICE_BYTES):
-                key, offs, d = ordered_sets(x, width, heat.value)
+                key, offs, d = ordered_sets(x, width, order_of.value)
                 frag = fragment(key)
                 new = np.ones(len(key), dtype=bool)
                 new[1:] = (frag[1:] != frag[:-1]) | (d[1:] != d[:-1])
@@ -196,17 +288,17 @@ def jaccard_components(docs: DataFrame, width: int = WIDTH, percent: int = PERCE
     """(doc_id, n_shingles, component_id) of every document."""
     spark = docs.sparkSession
     base = id_and_bytes(docs, id_col, text_col)
-    heat = spark.sparkContext.broadcast(ngram_heat(base, width))  # SKETCH numbers, whatever the corpus
-    prof = written(profiles(base, heat, width, percent), "jaccard-profiles")
+    heat = ngram_heat(base, width)  # SKETCH numbers, whatever the corpus
+    prof = written(profiles(base, spark.sparkContext.broadcast((heat, None)), width, percent), "jaccard-profiles")
     sets = prof.where("n_shingles > 0 and doc_id is not null").groupBy("set_hash", "n_shingles").agg(
         F.min("doc_id").alias("rep"))
     classes = written(sets, "jaccard-classes")
 
-    index = (prof.join(classes.hint("merge"), [prof.doc_id == classes.rep, prof.set_hash == classes.set_hash], "left_semi")
-             .select(F.col("doc_id").alias("rep"), F.col("n_shingles").alias("n"), F.posexplode("prefix").alias("place", "gram")))
+    prefixes, order_of = indexed_prefixes(prof, classes, base, heat, width, percent)
+    index = prefixes.select("rep", "n", F.posexplode("prefix").alias("place", "gram"))
     shared = written(shared_grams(index), "jaccard-index")
     release(spark)
-    links = linked_classes(shared, prof, base, heat, width, percent)
+    links = linked_classes(shared, prof, base, order_of, width, percent)
 
     same = prof.select("doc_id", "n_shingles", "set_hash")
     known = same.join(classes.withColumnRenamed("n_shingles", "n"),
@@ -223,7 +315,7 @@ def shared_grams(index: DataFrame) -> DataFrame:
     return ends.where("before is not null or after is not null").select("gram", "rep", "n", "place")
 
 
-def linked_classes(shared: DataFrame, prof: DataFrame, base: DataFrame, heat, width: int, percent: int) -> DataFrame:
+def linked_classes(shared: DataFrame, prof: DataFrame, base: DataFrame, order_of, width: int, percent: int) -> DataFrame:
     """(node, root) of every linked class; each turn's shuffle files are released before the next."""
     spark = shared.sparkSession
     segs = links = roots = tested = None
@@ -235,7 +327,7 @@ def linked_classes(shared: DataFrame, prof: DataFrame, base: DataFrame, heat, wi
                 break
         pairs = written(near_enough(candidates(open_, turn, percent, tested), prof, percent), "jaccard-pairs")
         release(spark)
-        segs = segments_of(pairs, segs, base, heat, width)
+        segs = segments_of(pairs, segs, base, order_of, width)
         found = written(verified(pairs, segs, percent), "jaccard-links")
         release(spark)
         links = found if links is None else links.union(found)
@@ -290,7 +382,7 @@ def near_enough(pairs: DataFrame, prof: DataFrame, percent: int) -> DataFrame:
     return rows.select("a", "b", "na", "nb").distinct()
 
 
-def segments_of(pairs: DataFrame, segs: DataFrame | None, base: DataFrame, heat, width: int) -> DataFrame:
+def segments_of(pairs: DataFrame, segs: DataFrame | None, base: DataFrame, order_of, width: int) -> DataFrame:
     """``segs`` with the segments of the pairs' sets that it lacks."""
     need = pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct()
     if segs is not None:
@@ -302,7 +394,7 @@ def segments_of(pairs: DataFrame, segs: DataFrame | None, base: DataFrame, heat,
     # the ids are broadcast only below a checked count; beyond it the texts are shuffled
     need = F.broadcast(need) if count <= BROADCAST_IDS else need.hint("merge")
     texts = base.join(need, "doc_id", "left_semi").groupBy("doc_id").agg(F.min("text").alias("text"))
-    new = written(segments(texts, heat, width), "jaccard-segments")
+    new = written(segments(texts, order_of, width), "jaccard-segments")
     return new if segs is None else segs.union(new)
 
 

@@ -106,6 +106,32 @@ def test_jaccard_of_documents_made_of_common_passages(spark):
     assert got == sorted(want) and 2 < len({c for _, c in want}) < 140
 
 
+def test_jaccard_with_crowded_ngrams_that_the_sketch_does_not_see(spark, monkeypatch):
+    """With a blind sketch the exact counts alone move common n-grams up: same links, fewer meetings in the prefixes."""
+    passages = [prose(300 + k, 60).replace("\n", " ") for k in range(6)]
+    docs = [(i, " ".join([passages[i % 6], prose(700 + i // 3, 50 + i % 7).replace("\n", " ")])) for i in range(120)]
+    docs += docs[:3]  # repeated rows
+    table = spark.createDataFrame(docs, "doc_id bigint, text string")
+    want = sorted(set(brute_components_of_width(docs[:120], 5, 80)))
+    monkeypatch.setattr(jaccard, "ngram_heat", lambda *a: np.zeros(jaccard.SKETCH, dtype=np.uint8))
+    seen = []
+    shared_grams = jaccard.shared_grams
+    monkeypatch.setattr(jaccard, "shared_grams", lambda index: seen.append(index.groupBy("gram").count().agg({"count": "max"}).first()[0]) or shared_grams(index))
+    for crowd in (1000, 8):
+        monkeypatch.setattr(jaccard, "CROWD", crowd)
+        got = rows(jaccard.jaccard_components(table, 5, 80), "doc_id", "component_id")
+        assert sorted(set(got)) == want and len(got) == 123
+    assert seen[0] == 20 and seen[1] < 8
+
+
+def test_crowded_cells_are_those_of_shared_ngrams(spark):
+    grams = [0, 1, (1 << 15) - 1, 1 << 15, (1 << jaccard.CROWD_BITS) - 1, (1 << 40) + 77, (1 << jaccard.HASH_BITS) + 5]
+    lists = [(i, 9, grams) for i in range(jaccard.CROWD)] + [(99, 9, [3, 4])]
+    marks = jaccard.crowded_cells(spark.createDataFrame(lists, "rep bigint, n bigint, prefix array<bigint>"))
+    assert jaccard.crowded(np.array(grams), marks).tolist() == [True] * 6 + [False]
+    assert np.unpackbits(marks).sum() == 6
+
+
 def test_fragments_are_stretches_of_the_order():
     key = np.sort(np.random.default_rng(1).integers(0, (1 << 63) - 1, 5000))
     cut = jaccard.fragment(np.concatenate([key >> 5, key]))
