@@ -106,3 +106,16 @@ def test_upsert_is_idempotent(spark):
     twice = rt.upsert(once, upd, "k", "version")
     assert sorted(once.collect()) == sorted(twice.collect())
     assert {r["k"]: r["v"] for r in once.collect()} == {1: "a", 2: "B", 3: "c"}
+
+
+def test_answers_carry_no_more_of_a_text_than_they_show(spark):
+    long = "\n start " + "x" * 300 + "tail"
+    chunks = spark.createDataFrame([(1, 1, "a", long), (1, 2, "b", "tail " * 100), (2, 1, "c", None)],
+                                   "query_id bigint, rank int, id string, text string")
+    out = rt.answer_from_chunks(chunks)
+    rows = {r["query_id"]: r for r in out.collect()}
+    assert rows[1]["answer"] == rt.ANSWER_PREFIX + ("  start " + "x" * 300)[:200].strip() and rows[1]["sources"] == ["a", "b"]
+    assert rows[2]["answer"] == rt.ANSWER_PREFIX
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    inside = plan[plan.index("collect_list"):]
+    assert "substring" in inside
