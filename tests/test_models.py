@@ -78,3 +78,11 @@ def test_first_trees_of_a_forest(spark):
 
 def test_sklearn_feature_counts():
     assert md.sklearn_subset("sqrt", 15) == "3" and md.sklearn_subset("log2", 15) == "3"
+
+
+def test_regression_reads_its_tables_once(spark):
+    from conftest import SF_SMALL
+    from lanthorn.plans import models as pm
+    pred, _ = pm._regression(spark, SF_SMALL)
+    plan = pred._jdf.queryExecution().optimizedPlan().toString()
+    assert "Join" not in plan and "parquet" not in plan.lower()  # the written split is read, not the joins run again
