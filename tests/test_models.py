@@ -86,3 +86,11 @@ def test_regression_reads_its_tables_once(spark):
     pred, _ = pm._regression(spark, SF_SMALL)
     plan = pred._jdf.queryExecution().optimizedPlan().toString()
     assert "Join" not in plan and "parquet" not in plan.lower()  # the written split is read, not the joins run again
+
+
+def test_smote_rows_are_written_once(spark):
+    from conftest import SF_SMALL
+    from lanthorn.plans import models as pm
+    pr = pm.Prepared(spark, SF_SMALL)
+    plan = pm._smote_train(pr)._jdf.queryExecution().optimizedPlan().toString()
+    assert "CoGroup" not in plan and "Join" not in plan.split("InMemoryRelation")[-1]  # fits read written rows, no search again
