@@ -26,6 +26,7 @@ from pyspark.sql import functions as F
 
 from lanthorn.operators import evaluate as ev
 from lanthorn.operators import features as fe
+from lanthorn.operators.forest import Forest
 from lanthorn.operators.ordinal import rank_within
 from lanthorn.session import scratch_path
 
@@ -137,12 +138,10 @@ def decision_tree(label: str, max_depth: int = 5, seed: int = 42, max_bins: int
 
 
 def random_forest(label: str, p: int, trees: int = 100, max_depth: int | None = None,
-                  max_features: str = "sqrt", seed: int = 42, max_bins: int = MAX_BINS) -> RandomForestClassifier:
-    """Unbounded depth maps to Spark's largest depth (30)."""
-    return RandomForestClassifier(labelCol=label, featuresCol="features", numTrees=trees,
-                                  maxDepth=30 if max_depth is None else max_depth,
-                                  featureSubsetStrategy=sklearn_subset(max_features, p),
-                                  impurity="gini", seed=seed, maxBins=max_bins, **TREE_SPEED)
+                  max_features: str = "sqrt", seed: int = 42, max_bins: int = MAX_BINS, key: str = "id") -> Forest:
+    """Unbounded depth maps to Spark's largest depth (30).  ``key`` tells the rows apart in the bags."""
+    return Forest(labelCol=label, featuresCol="features", keyCol=key, numTrees=trees, maxDepth=30 if max_depth is None else max_depth,
+                  subset=int(sklearn_subset(max_features, p)), maxBins=max_bins, seed=seed)
 
 
 def with_scores(pred: DataFrame, prob: str = "probability") -> DataFrame:

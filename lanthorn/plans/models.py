@@ -49,7 +49,7 @@ class Prepared:
             return md.logistic_regression(LABEL, self.n_train)
         if name == "Decision Tree":
             return md.decision_tree(LABEL, 5)
-        return md.random_forest(LABEL, self.p, trees=100)
+        return md.random_forest(LABEL, self.p, trees=100, key="passenger_id")
 
 
 def _report(spark, sf_dir, names=BASE_MODELS) -> DataFrame:
