@@ -218,7 +218,7 @@ class Forest(_Forest, Estimator):
         open_ = {t: [0] for t in range(trees)} if n > SUBTREE_ROWS and deepest > 0 else {}
 
         def whole(batches):
-            b = pd.concat(list(batches))
+            b = pd.concat([pd.DataFrame({"b": [], "y": [], "r": []}, dtype=object), *batches])  # a partition may have no rows
             x = np.frombuffer(b"".join(b["b"]), np.uint8).reshape(len(b), p)
             return x, b["y"].to_numpy(dtype=np.int64), b["r"].to_numpy(dtype=np.int64)
 
@@ -348,7 +348,7 @@ class ForestModel(_Forest, Model, MLWritable, MLReadable):
             if not len(asked) or not len(grown):
                 return pd.DataFrame({"tree": [], "block": [], "id": [], "p1": []})
             tree = _unpack(grown.iloc[0])
-            share = tree["ones"] / tree["total"]
+            share = tree["ones"] / np.maximum(tree["total"], 1)  # a bag may be empty
             ids = np.frombuffer(b"".join(asked["id"]), np.int64)
             p1 = share[descend(tree, np.frombuffer(b"".join(asked["x"]), np.uint8).reshape(-1, p))]
             block = ids // CHUNK
