@@ -61,3 +61,27 @@ def test_grown_leaves_hold_the_rows_that_reach_them():
 
 def test_random_forest_is_the_scaled_one():
     assert isinstance(md.random_forest("y", 9, key="id"), fo.Forest) and md.random_forest("y", 9, key="id").getOrDefault("subset") == 3
+
+
+@pytest.mark.parametrize("small", [1 << 19, 60])
+def test_cut_counts_are_those_of_smaller_forests(spark, rows, monkeypatch, small):
+    monkeypatch.setattr(fo, "SUBTREE_ROWS", small)
+    seen, unseen = rows.where("id % 4 > 0"), rows.where("id % 4 = 0")
+    made = lambda t, d: fo.Forest(labelCol="y", keyCol="id", numTrees=t, maxDepth=d, subset=2).fit(seen)
+    counts = md.forest_grid_counts(made(5, 12), unseen, "y", [2, 5], [None, 1, 4], "unused")
+    assert len(counts) == 6
+    for t, d in ((2, None), (5, 1), (2, 4)):
+        out = made(t, 12 if d is None else d).transform(unseen).groupBy("prediction", "y").count().collect()
+        out = {(r["prediction"], r["y"]): r["count"] for r in out}
+        assert counts[t, d] == tuple(out.get(k, 0) for k in ((1, 1), (1, 0), (0, 1))), (t, d)
+
+
+def test_grid_uses_the_scaled_forest(spark, rows, monkeypatch):
+    def refused(*_, **__):
+        raise AssertionError("a forest of pyspark.ml sums every open node's histogram over all partitions")
+
+    monkeypatch.setattr(md, "RandomForestClassifier", refused)
+    named = rows.select("id", "y", fo.vector_to_array("features")[0].alias("a"), fo.vector_to_array("features")[1].alias("b"))
+    found, best = md.grid_search(named, "y", md.FeaturePrep(numeric=["a", "b"]), 2, trees=(3, 5), depths=(None, 4), folds=2, key="id")
+    assert [r[:3] for r in found] == [(t, d, m) for t in (3, 5) for d in (None, 4) for m in ("sqrt", "log2")]
+    assert all(r[3] > 0.9 for r in found) and best in [r[:3] for r in found]
