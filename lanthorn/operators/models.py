@@ -302,46 +302,16 @@ def grid_search(train: DataFrame, label: str, prep: FeaturePrep, p: int,
 
 
 def oob_score(data: DataFrame, label: str, key: str, trees: int = 100, max_depth: int | None = None,
-              max_features: str = "sqrt", p: int = 1, parallelism: int = 8, max_bins: int = MAX_BINS) -> DataFrame:
-    """Out-of-bag accuracy of a forest built from explicit bootstrap weights.
-
-    Tree t sees row r with weight Poisson(1) drawn from md5(r, t); rows with
-    weight 0 are out of bag for t.  Every tree is a one-tree forest with the
-    same per-node feature sampling, fitted as its own Spark job (a thread
-    pool keeps several jobs running).  A row's OOB vote is the mean class-1
-    probability over the trees that did not see it; rows never out of bag
-    are left out, as scikit-learn does.
-    """
-    def poisson_weight(t: int):
-        u = fe.md5_unit(F.col(key), F.lit(f"t{t}"))
-        # inverse CDF of Poisson(1) on u, as far as doubles tell it from 1
-        cdf, acc, term, k_ = [], 0.0, math.exp(-1.0), 0
-        while acc + term > acc and acc < 1.0:
-            acc += term
-            cdf.append(acc)
-            k_ += 1
-            term /= k_
-        expr = F.lit(float(len(cdf)))
-        for k_ in reversed(range(len(cdf))):
-            expr = F.when(u < F.lit(cdf[k_]), F.lit(float(k_))).otherwise(expr)
-        return expr
-
-    def fit_one(t: int) -> DataFrame:
-        w = data.withColumn("__w", poisson_weight(t))
-        rf = RandomForestClassifier(labelCol=label, featuresCol="features", numTrees=1, bootstrap=False,
-                                    maxDepth=30 if max_depth is None else max_depth,
-                                    featureSubsetStrategy=sklearn_subset(max_features, p), seed=42 + t,
-                                    weightCol="__w", maxBins=max_bins, **TREE_SPEED)
-        model = rf.fit(w.filter(F.col("__w") > 0))
-        oob = w.filter(F.col("__w") == 0)
-        return model.transform(oob).select(key, label, vector_to_array("probability")[1].alias("p1"))
-
-    # each tree's votes are written as they come, so the plan that adds them up is one scan
-    votes = scratch_path(data.sparkSession, "oob-votes")
+              max_features: str = "sqrt", p: int = 1, max_bins: int = MAX_BINS) -> DataFrame:
+    """Out-of-bag accuracy of one forest.
 
-    with ThreadPoolExecutor(max_workers=parallelism) as pool:
-        list(pool.map(lambda t: fit_one(t).write.mode("overwrite").parquet(f"{votes}/tree={t}"), range(trees)))
-    per_row = data.sparkSession.read.parquet(votes).groupBy(key, label).agg(F.avg("p1").alias("p1"))
+    Tree t sees row r with weight Poisson(1) drawn from a hash of the row and t; rows with weight 0 are out of bag for t.
+    A row's OOB vote is the mean class-1 probability over the trees that did not see it, copies of a key and label vote
+    as one; rows never out of bag are left out, as scikit-learn does, and so are rows without a key.
+    """
+    model = random_forest(label, p, trees, max_depth, max_features, max_bins=max_bins, key=key).fit(data)
+    rows = model.out_of_bag(data.select(key, label, "features")).where(F.col(key).isNotNull())
+    per_row = rows.groupBy(key, label).agg((F.sum("p1") / F.sum("n")).alias("p1"))
     return per_row.agg(F.avg(((F.col("p1") > 0.5).cast("int") == F.col(label)).cast("double"))
                        .alias("oob_score"), F.count(F.lit(1)).alias("rows_with_oob"))
 

@@ -85,3 +85,25 @@ def test_grid_uses_the_scaled_forest(spark, rows, monkeypatch):
     found, best = md.grid_search(named, "y", md.FeaturePrep(numeric=["a", "b"]), 2, trees=(3, 5), depths=(None, 4), folds=2, key="id")
     assert [r[:3] for r in found] == [(t, d, m) for t in (3, 5) for d in (None, 4) for m in ("sqrt", "log2")]
     assert all(r[3] > 0.9 for r in found) and best in [r[:3] for r in found]
+
+
+@pytest.mark.parametrize("small", [1 << 19, 60])
+def test_only_trees_without_the_row_vote_out_of_bag(spark, rows, monkeypatch, small):
+    monkeypatch.setattr(fo, "SUBTREE_ROWS", small)
+    model = fo.Forest(labelCol="y", keyCol="id", numTrees=6, maxDepth=8, subset=2).fit(rows)
+    row = rows.select("id", "y", F.xxhash64(F.col("id").alias("k"), fo.vector_to_array("features"), "y").alias("r")).toPandas()
+    lacks = sum((fo.bag(row["r"].to_numpy(), 42, t) == 0).astype(int) for t in range(6))
+    got = model.out_of_bag(rows).toPandas()
+    assert sorted(zip(got["id"], got["n"])) == sorted((i, n) for i, n in zip(row["id"], lacks) if n)
+    one = fo.Forest(labelCol="y", keyCol="id", numTrees=1, maxDepth=8, subset=2).fit(rows)  # the first tree alone
+    first = one.out_of_bag(rows).select("id", "p1").distinct().toPandas().set_index("id")["p1"]
+    share = one.transform(rows).select("id", fo.vector_to_array("probability")[1].alias("p")).distinct().toPandas().set_index("id")["p"]
+    assert 200 < len(first) < 500 and np.allclose(first, share[first.index])
+
+
+def test_oob_score_of_a_learnable_label_and_of_noise(spark, rows, monkeypatch):
+    monkeypatch.setattr(md, "RandomForestClassifier", None)  # no forest of pyspark.ml per bag
+    out = md.oob_score(rows, "y", "id", trees=25, max_depth=10, max_features="2", p=3).first()
+    assert out["oob_score"] > 0.9 and out["rows_with_oob"] == 900  # copies of a key vote as one
+    noise = rows.select("id", "features", (F.xxhash64("id") % 2 == 0).cast("int").alias("y"))
+    assert 0.4 < md.oob_score(noise, "y", "id", trees=12, max_features="2", p=3).first()["oob_score"] < 0.6
