@@ -107,3 +107,39 @@ def test_oob_score_of_a_learnable_label_and_of_noise(spark, rows, monkeypatch):
     assert out["oob_score"] > 0.9 and out["rows_with_oob"] == 900  # copies of a key vote as one
     noise = rows.select("id", "features", (F.xxhash64("id") % 2 == 0).cast("int").alias("y"))
     assert 0.4 < md.oob_score(noise, "y", "id", trees=12, max_features="2", p=3).first()["oob_score"] < 0.6
+
+
+def test_packed_rows_travel_and_walk_as_the_binned_ones():
+    r = np.random.default_rng(4)
+    for sizes in ([64] * 5 + [2] * 10, [256] * 20):  # one number a row, and several
+        x = np.stack([r.integers(0, n, 3000) for n in sizes], axis=1).astype(np.uint8)
+        y, w = (x[:, 0] > x[:, 1]).astype(np.uint8), fo.bag(np.arange(3000), 42, 1)
+        lay = fo.Packing(sizes)
+        rows = lay.receive(lay.send(lay.pack(x, y)))
+        assert (rows == lay.pack(x, y)).all() and (lay.words > 1) == (len(sizes) == 20) and lay.bytes < 8 or lay.words > 1
+        tree = fo.grow_packed(lay.weighed(rows, w), lay, 30, 4, np.random.default_rng(2))
+        by_bins = fo.grow(x[w > 0], y[w > 0], w[w > 0], 30, 4, np.random.default_rng(2))
+        assert all((tree[c] == by_bins[c]).all() for c in tree) and len(tree["left"]) > 100
+        assert (fo.descend_packed(tree, rows, lay) == fo.descend(tree, x)).all()
+
+
+@pytest.mark.parametrize("small", [1 << 19, 60])
+def test_rows_meet_whole_trees_as_they_meet_subtrees(spark, rows, monkeypatch, small):
+    monkeypatch.setattr(fo, "SUBTREE_ROWS", small)
+    model = fo.Forest(labelCol="y", keyCol="id", numTrees=6, maxDepth=8, subset=2).fit(rows)
+
+    def found():
+        out = model.transform(rows).select("id", F.round(fo.vector_to_array("probability")[1], 9).alias("p")).collect()
+        return sorted(map(tuple, out)), model.grid_counts(rows.withColumn("y", F.col("y")), [2, 6], [None, 2]), sorted(map(tuple, model.out_of_bag(rows).select("id", "n").collect()))
+
+    whole = found()
+    monkeypatch.setattr(fo, "TREE_BYTES", 0)
+    assert found() == whole
+
+
+def test_rows_are_sent_once_per_group_of_trees(spark, rows, monkeypatch):
+    seen = []
+    made = fo.Forest._whole_trees
+    monkeypatch.setattr(fo.Forest, "_whole_trees", lambda self, *a, **k: seen.append(made(self, *a, **k)) or seen[-1])
+    fo.Forest(labelCol="y", keyCol="id", numTrees=20, maxDepth=6, subset=2).fit(rows)
+    assert seen[0].count() == 20 and seen[0].rdd.getNumPartitions() == 3  # not a copy of the rows for each of 20 trees
