@@ -546,6 +546,53 @@ class Forest(_Forest, Estimator):
     def _fit(self, df: DataFrame) -> ForestModel:
         return self._fitted(*self._prepared(self._rows(df).select("x", "y", "r")))
 
+    def _voted_as_grown(self, data: DataFrame, sizes: dict, lay: Packing, depths: Sequence[int | None] = (None,), ends: Sequence[int] = ()) -> DataFrame:
+        """Class shares (``VOTES``) on the rows of kind 1 in ``data``, or, without such, on the rows outside of each tree's bag.
+
+        A tree votes in the task that has grown it, so it is not written.
+        """
+        seed, kind = self.getOrDefault("seed"), 1 if 1 in sizes else 0
+
+        def vote(group, kinds):
+            _, rows, r = kinds[0]
+            if kind not in kinds:
+                return
+            chunks, asked, _ = kinds[kind]
+            p1, n = np.zeros((len(depths), asked.shape[1])), np.zeros(asked.shape[1], np.int32)
+            for t in group:
+                tree = self._grown(rows, r, lay, t)
+                for a in range(0, asked.shape[1] if tree is not None else 0, CHUNK):
+                    s = np.arange(a, min(a + CHUNK, asked.shape[1]))
+                    s = s if kind else s[bag(r[a:a + CHUNK], seed, t) == 0]
+                    p1[:, s] += _walk(tree, asked.take(s, axis=1), lay, depths, 0, [None] * len(depths))
+                    n[s] += 1
+            yield _voted(group[0], chunks, p1, n)
+
+        return self._whole_trees(data, sizes, lay, vote, VOTES, ends)
+
+    def grid_counts(self, seen: DataFrame, unseen: DataFrame, trees: Sequence[int], depths: Sequence[int | None]) -> dict:
+        """``grid_counts`` on ``unseen`` of the forest fitted to ``seen``."""
+        data, n, thresholds, lay = self._prepared(self._rows(seen).select("x", "y", "r"))
+        chunks = _chunks(self._unseen(unseen), thresholds, lay)
+        m = chunks.agg(F.sum("size")).first()[0] or 0
+        if not m or not self._whole(max(n, m), lay):
+            model = self._fitted(data, n, thresholds, lay)
+            return _counted(model._votes(chunks, lay, depths, trees), chunks, trees, depths)
+        rows = [d.select(F.lit(k).alias("kind"), "chunk", "rows", r.alias("r")) for k, d, r in ((0, data, F.col("r")), (1, chunks, F.lit(None).cast("binary")))]
+        return _counted(self._voted_as_grown(rows[0].unionByName(rows[1]), {0: n, 1: m}, lay, depths, trees), chunks, trees, depths)
+
+    def out_of_bag(self, df: DataFrame) -> DataFrame:
+        """``out_of_bag`` on ``df`` of the forest fitted to it."""
+        name = f"__row_{uuid.uuid4().hex[:8]}"
+        rows = df.withColumn(name, F.monotonically_increasing_id()).checkpoint(eager=True)
+        data, n, thresholds, lay = self._prepared(self._rows(rows).select("x", "y", "r", F.col(name).alias("id")))
+        if self._whole(n, lay):
+            votes = self._voted_as_grown(data.select(F.lit(0).alias("kind"), "chunk", "rows", "r"), {0: n}, lay)
+        else:
+            votes = self._fitted(data, n, thresholds, lay)._votes(data, lay, out_of_bag=True)
+        sums = _added(votes, data, self.getOrDefault("numTrees"))
+        return rows.join(sums.withColumnRenamed("id", name), name).drop(name)
+
     def _fitted(self, data: DataFrame, n: int, thresholds: list, lay: Packing) -> ForestModel:
         get = lambda c: self.getOrDefault(c)
         spark, trees, bins, subset, seed, deepest = data.sparkSession, get("numTrees"), get("maxBins"), get("subset"), get("seed"), get("maxDepth")

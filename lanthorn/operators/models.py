@@ -28,7 +28,6 @@ from lanthorn.operators import evaluate as ev
 from lanthorn.operators import features as fe
 from lanthorn.operators.forest import Forest, ForestModel
 from lanthorn.operators.ordinal import rank_within
-from lanthorn.session import scratch_path
 
 
 def _num_lit(v: float) -> str:
@@ -277,7 +276,6 @@ def grid_search(train: DataFrame, label: str, prep: FeaturePrep, p: int,
     largest number of trees and the largest depth; a setting is its first trees, cut at the setting's depth.  The folds are
     fitted side by side.  Ties go to the setting named first.
     """
-    spark = train.sparkSession
     data = stratified_folds(train, label, key, folds).checkpoint(eager=True)
     named = [(t, d, m) for t in trees for d in depths for m in max_features]
     subsets = list(dict.fromkeys(sklearn_subset(m, p) for m in max_features))
@@ -287,9 +285,8 @@ def grid_search(train: DataFrame, label: str, prep: FeaturePrep, p: int,
         vectors = prep.fit(data.where(F.col("fold") != f)).transform(data).select(key, label, "fold", "features").checkpoint(eager=True)
         out = {}
         for subset in subsets:
-            model = random_forest(label, p, max(trees), deepest, subset, max_bins=max_bins, key=key).fit(vectors.where(F.col("fold") != f))
-            counts = forest_grid_counts(model, vectors.where(F.col("fold") == f), label, list(trees), list(depths),
-                                        scratch_path(spark, f"grid-{f}-{subset}"))
+            forest = random_forest(label, p, max(trees), deepest, subset, max_bins=max_bins, key=key)
+            counts = forest.grid_counts(vectors.where(F.col("fold") != f), vectors.where(F.col("fold") == f), list(trees), list(depths))
             for (t, d), (tp, fp, fn) in counts.items():
                 out[t, d, subset] = 2.0 * tp / (2 * tp + fp + fn) if tp else 0.0
         return out
@@ -309,8 +306,8 @@ def oob_score(data: DataFrame, label: str, key: str, trees: int = 100, max_depth
     A row's OOB vote is the mean class-1 probability over the trees that did not see it, copies of a key and label vote
     as one; rows never out of bag are left out, as scikit-learn does, and so are rows without a key.
     """
-    model = random_forest(label, p, trees, max_depth, max_features, max_bins=max_bins, key=key).fit(data)
-    rows = model.out_of_bag(data.select(key, label, "features")).where(F.col(key).isNotNull())
+    forest = random_forest(label, p, trees, max_depth, max_features, max_bins=max_bins, key=key)
+    rows = forest.out_of_bag(data.select(key, label, "features")).where(F.col(key).isNotNull())
     per_row = rows.groupBy(key, label).agg((F.sum("p1") / F.sum("n")).alias("p1"))
     return per_row.agg(F.avg(((F.col("p1") > 0.5).cast("int") == F.col(label)).cast("double"))
                        .alias("oob_score"), F.count(F.lit(1)).alias("rows_with_oob"))

@@ -143,3 +143,17 @@ def test_rows_are_sent_once_per_group_of_trees(spark, rows, monkeypatch):
     monkeypatch.setattr(fo.Forest, "_whole_trees", lambda self, *a, **k: seen.append(made(self, *a, **k)) or seen[-1])
     fo.Forest(labelCol="y", keyCol="id", numTrees=20, maxDepth=6, subset=2).fit(rows)
     assert seen[0].count() == 20 and seen[0].rdd.getNumPartitions() == 3  # not a copy of the rows for each of 20 trees
+
+
+@pytest.mark.parametrize("small", [1 << 19, 60])
+def test_trees_vote_where_they_are_grown_as_the_written_ones_do(spark, rows, monkeypatch, small):
+    monkeypatch.setattr(fo, "SUBTREE_ROWS", small)
+    seen, unseen = rows.where("id % 4 > 0"), rows.where("id % 4 = 0").withColumn("y", F.expr("if(id % 16 = 0, null, y)"))
+    forest = fo.Forest(labelCol="y", keyCol="id", numTrees=5, maxDepth=9, subset=2)
+    counts = forest.fit(seen).grid_counts(unseen, [2, 5], [None, 1, 4])
+    kept = lambda df: sorted((r["id"], round(r["p1"], 9), r["n"]) for r in df.collect())
+    votes = kept(forest.fit(rows).out_of_bag(rows))
+    if small > 60:  # no tree is written
+        monkeypatch.setattr(fo.Forest, "_fitted", None)
+    assert forest.grid_counts(seen, unseen, [2, 5], [None, 1, 4]) == counts
+    assert kept(forest.out_of_bag(rows)) == votes
