@@ -119,3 +119,16 @@ def test_answers_carry_no_more_of_a_text_than_they_show(spark):
     plan = out._jdf.queryExecution().optimizedPlan().toString()
     inside = plan[plan.index("collect_list"):]
     assert "substring" in inside
+
+
+def test_stored_index_holds_of_a_text_what_answers_show(spark):
+    from lanthorn.plans.support import stored_index
+
+    docs = spark.createDataFrame([(1, "alpha " * 500), (2, "beta gamma"), (2, "beta gamma"), (None, "delta"), (3, None)], "doc_id bigint, text string")
+    model = vx.fit_text_embedder(docs.fillna({"text": ""}), "text")
+    index = stored_index(spark, docs, model)
+    assert index.agg(F.max(F.length("text"))).first()[0] == 200
+    rows = sorted((r["key"] or 0, r["n"]) for r in index.groupBy("key").agg(F.count("*").alias("n")).collect())
+    assert rows == [(0, 1), (1, 1), (2, 4), (3, 1)]  # as chunk_index joins repeated and missing ids
+    whole = vx.embed_text(model, docs, "text").where("doc_id = 1").first()["embedding"]
+    assert index.where("key = 1").first()["embedding"] == whole  # the whole text is embedded
